@@ -50,9 +50,7 @@ def hot_items(spark, d):
     return hot_items_df(spark, d, 3)
 
 
-@query(
-    "hot_items_sql",
-    f"""
+HOT_ITEMS_SQL5 = f"""
 WITH {BEHAVIOR_CTE},
 c AS (
   SELECT item_id, count(item_id) AS cnt, window_end
@@ -62,8 +60,10 @@ c AS (
 SELECT item_id, cnt, window_end, row_num FROM (
   SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id) AS row_num FROM c)
 WHERE row_num <= 5
-""",
-)
+"""
+
+
+@query("hot_items_sql", HOT_ITEMS_SQL5)
 def hot_items_sql(spark, d):
     """The SQL job: view with three fields, hop window, row_number <= 5."""
     behavior_view(load(spark, d, "events")).select("item_id", "behavior", "ts").createOrReplaceTempView(
