@@ -84,38 +84,38 @@ def access_log_lines(events: DataFrame) -> DataFrame:
 def parse_behavior_csv(lines: DataFrame, col: str = "value") -> DataFrame:
     p = F.split(F.col(col), ",")
     return lines.select(
-        p[0].try_cast("bigint").alias("user_id"),
-        p[1].try_cast("bigint").alias("item_id"),
-        p[2].try_cast("int").alias("category_id"),
-        p[3].alias("behavior"),
-        from_epoch_seconds(p[4].try_cast("bigint")).alias("ts"),
+        F.get(p, 0).try_cast("bigint").alias("user_id"),
+        F.get(p, 1).try_cast("bigint").alias("item_id"),
+        F.get(p, 2).try_cast("int").alias("category_id"),
+        F.get(p, 3).alias("behavior"),
+        from_epoch_seconds(F.get(p, 4).try_cast("bigint")).alias("ts"),
     )
 
 
 def parse_sensor_csv(lines: DataFrame, col: str = "value") -> DataFrame:
     p = F.split(F.col(col), ",")
     return lines.select(
-        p[0].alias("id"),
-        from_epoch_millis(p[1].try_cast("bigint")).alias("ts"),
-        p[2].try_cast("double").alias("temperature"),
+        F.get(p, 0).alias("id"),
+        from_epoch_millis(F.get(p, 1).try_cast("bigint")).alias("ts"),
+        F.get(p, 2).try_cast("double").alias("temperature"),
     )
 
 
 def parse_key_time(lines: DataFrame, col: str = "value") -> DataFrame:
     p = F.split(F.col(col), " ")
-    return lines.select(p[0].alias("key"), from_epoch_seconds(p[1].try_cast("bigint")).alias("ts"))
+    return lines.select(F.get(p, 0).alias("key"), from_epoch_seconds(F.get(p, 1).try_cast("bigint")).alias("ts"))
 
 
 def parse_access_log(lines: DataFrame, col: str = "value") -> DataFrame:
     """Fields 0, 2, 3, 5, 6; the zone field (4) is ignored, the time is read
-    as written."""
+    as written (session zone UTC).  Unparseable times become null."""
     p = F.split(F.col(col), " ")
     return lines.select(
-        p[0].alias("ip"),
-        p[2].alias("user_id"),
-        F.to_timestamp_ntz(p[3], F.lit(ACCESS_TIME_PATTERN)).alias("ts"),
-        p[5].alias("method"),
-        p[6].alias("url"),
+        F.get(p, 0).alias("ip"),
+        F.get(p, 2).alias("user_id"),
+        F.try_to_timestamp(F.get(p, 3), F.lit(ACCESS_TIME_PATTERN)).cast("timestamp_ntz").alias("ts"),
+        F.get(p, 5).alias("method"),
+        F.get(p, 6).alias("url"),
     )
 
 
