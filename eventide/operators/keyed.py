@@ -20,6 +20,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_BUCKET = "1 day"
 _B = "_kb"  # bucket column
@@ -31,10 +32,45 @@ def _names(cols: str | Sequence[str]) -> list[str]:
 
 
 def with_bucket(df: DataFrame, ts: str, bucket: str = DEFAULT_BUCKET) -> DataFrame:
-    """Epoch-aligned time bucket (monotone in ``ts``)."""
+    """Epoch-aligned time bucket (monotone in ``ts``); an existing bucket
+    column (from an upstream keyed scan) is kept, so the next window reuses
+    the (key, bucket) partitioning instead of shuffling again."""
+    if _B in df.columns:
+        return df
     return df.withColumn(_B, F.window(F.col(ts), bucket).start)
 
 
+def with_key_surrogates(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Non-null stand-ins for the keys: (coalesce(k, zero), isnull(k)).  Scans
+    and their side-table joins partition and join on these, so a null key is
+    a group of its own and every step shares one partitioning."""
+    cols = []
+    for k in keys:
+        kn, ki = f"_kn_{k}", f"_ki_{k}"
+        if kn not in df.columns:
+            dt = df.schema[k].dataType
+            zero = F.lit("") if isinstance(dt, T.StringType) else (
+                F.lit(0).cast(dt) if isinstance(dt, T.NumericType) else None)
+            filled = F.coalesce(F.col(k), zero) if zero is not None else F.coalesce(F.col(k).cast("string"), F.lit(""))
+            df = df.withColumn(kn, filled).withColumn(ki, F.col(k).isNull())
+        cols += [kn, ki]
+    return df, cols
+
+
+def drop_key_surrogates(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith("_kn_") or c.startswith("_ki_")])
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where a null key matches a null key (a null key
+    is a group of its own, as in ``groupBy``/``partitionBy``)."""
+    r = right
+    for k in keys:
+        r = r.withColumnRenamed(k, f"_r_{k}")
+    cond = [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys]
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def keyed_shift(
     df: DataFrame,
     key: str | Sequence[str],
@@ -44,6 +80,7 @@ def keyed_shift(
     direction: str = "lead",
     prefix: str | None = None,
     bucket: str = DEFAULT_BUCKET,
+    keep_bucket: bool = False,
 ) -> DataFrame:
     """Add ``{prefix}{v}_{j}`` = value of ``v`` ``j`` rows ahead (``lead``) or
     behind (``lag``) within the key, ordered by ``order`` (first column is the
@@ -59,39 +96,40 @@ def keyed_shift(
     def ordering(cols):
         return [F.col(c).asc_nulls_first() if fwd else F.col(c).desc_nulls_last() for c in cols]
 
-    base = with_bucket(df, ts, bucket)
+    base, pk = with_key_surrogates(with_bucket(df, ts, bucket), keys)
     # first n rows of every (key, bucket) in scan direction; the row_number
     # filter becomes a partial group limit before the shuffle
-    w_b = Window.partitionBy(*keys, _B).orderBy(*ordering(order))
+    w_b = Window.partitionBy(*pk, _B).orderBy(*ordering(order))
     heads = (
-        base.select(*keys, _B, *carried)
+        base.select(*pk, _B, *carried)
         .withColumn("_rn", F.row_number().over(w_b))
         .where(F.col("_rn") <= n)
     )
     # over the small head table: the n heads following the last head of a
     # bucket are exactly the n rows following that bucket
-    w_h = Window.partitionBy(*keys).orderBy(*ordering([_B] + order))
+    w_h = Window.partitionBy(*pk).orderBy(*ordering([_B] + order))
     nxt = F.array(*[F.lead(F.struct(*carried), j).over(w_h) for j in range(1, n + 1)])
     ghosts = (
         heads.withColumn("_next_b", F.lead(_B).over(w_h))
         .withColumn("_g", nxt)
         .where(F.col("_next_b").isNull() | (F.col("_next_b") != F.col(_B)))
-        .select(*keys, _B, F.explode("_g").alias("_r"))
+        .select(*pk, _B, F.explode("_g").alias("_r"))
         .where(F.col("_r").isNotNull())
-        .select(*keys, _B, *[F.col(f"_r.{c}").alias(c) for c in carried])
+        .select(*pk, _B, *[F.col(f"_r.{c}").alias(c) for c in carried])
         .withColumn(_G, F.lit(True))
     )
     real = base.withColumn(_G, F.lit(False))
-    other = [c for c in real.columns if c not in set(keys + [_B, _G] + carried)]
+    other = [c for c in real.columns if c not in set(pk + [_B, _G] + carried)]
     for c in other:
         ghosts = ghosts.withColumn(c, F.lit(None).cast(real.schema[c].dataType))
     both = real.unionByName(ghosts)
-    w = Window.partitionBy(*keys, _B).orderBy(*ordering(order))
+    w = Window.partitionBy(*pk, _B).orderBy(*ordering(order))
     out = both
     for j in range(1, n + 1):
         for v in values:
             out = out.withColumn(f"{prefix}{v}_{j}" if n > 1 else f"{prefix}{v}", F.lead(v, j).over(w))
-    return out.where(~F.col(_G)).drop(_G, _B)
+    out = out.where(~F.col(_G)).drop(_G)
+    return out if keep_bucket else drop_key_surrogates(out.drop(_B))
 
 
 def keyed_prefix(
@@ -103,6 +141,7 @@ def keyed_prefix(
     agg: str = "sum",
     bucket: str = DEFAULT_BUCKET,
     exclusive: bool = False,
+    keep_bucket: bool = False,
 ) -> DataFrame:
     """Running ``agg`` (sum, min, max, count) of ``value`` per key in ``order``,
     including the current row (or excluding it when ``exclusive``)."""
@@ -110,14 +149,15 @@ def keyed_prefix(
     order = list(order)
     fn = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.count}[agg]
     merge = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.sum}[agg]
-    base = with_bucket(df, order[0], bucket).withColumn("_v", value)
+    base, pk = with_key_surrogates(with_bucket(df, order[0], bucket), keys)
+    base = base.withColumn("_v", value)
     hi = -1 if exclusive else 0
-    w_in = Window.partitionBy(*keys, _B).orderBy(*order).rowsBetween(Window.unboundedPreceding, hi)
+    w_in = Window.partitionBy(*pk, _B).orderBy(*order).rowsBetween(Window.unboundedPreceding, hi)
     local = base.withColumn("_local", fn("_v").over(w_in))
-    per_bucket = base.groupBy(*keys, _B).agg(fn("_v").alias("_bt"))
-    w_k = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(*keys, _B, merge("_bt").over(w_k).alias("_off"))
-    joined = local.join(offsets, on=keys + [_B], how="inner")
+    per_bucket = base.groupBy(*pk, _B).agg(fn("_v").alias("_bt"))
+    w_k = Window.partitionBy(*pk).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.select(*pk, _B, merge("_bt").over(w_k).alias("_off"))
+    joined = local.join(offsets, on=pk + [_B], how="inner")
     if agg in ("sum", "count"):
         combined = F.coalesce(F.col("_off"), F.lit(0)) + F.coalesce(F.col("_local"), F.lit(0))
         if agg == "sum":
@@ -126,7 +166,8 @@ def keyed_prefix(
         combined = F.least("_off", "_local")
     else:
         combined = F.greatest("_off", "_local")
-    return joined.withColumn(out, combined).drop("_v", "_local", "_off", _B)
+    res = joined.withColumn(out, combined).drop("_v", "_local", "_off")
+    return res if keep_bucket else drop_key_surrogates(res.drop(_B))
 
 
 def _seconds(d: str) -> int:
@@ -152,14 +193,13 @@ def keyed_range_list(
     copies = -(-_seconds(lookback) // _seconds(bucket))
     step = F.expr(f"INTERVAL {bucket}")
     b = F.window(F.col(ts), bucket).start
-    real = df.withColumn(_B, b).withColumn(_G, F.lit(False))
-    ghosts = (
-        df.select(*keys, ts, value, b.alias("_b0"))
-        .withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(copies))))
-        .select(*keys, ts, value, (F.col("_b0") + step * F.col("_k")).alias(_B))
-        .withColumn(_G, F.lit(True))
+    # each row once as itself (k = 0) and as context of the next buckets
+    both = (
+        df.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(copies))))
+        .withColumn(_B, b + step * F.col("_k"))
+        .withColumn(_G, F.col("_k") > 0)
+        .drop("_k")
     )
-    both = real.unionByName(ghosts, allowMissingColumns=True)
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     w = Window.partitionBy(*keys, _B).orderBy(micros).rangeBetween(-_seconds(lookback) * 1_000_000, 0)
     return both.withColumn(out, F.collect_list(value).over(w)).where(~F.col(_G)).drop(_B, _G)

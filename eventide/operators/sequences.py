@@ -13,8 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.operators.keyed import DEFAULT_BUCKET, keyed_prefix, keyed_shift
+from eventide.operators.keyed import DEFAULT_BUCKET, keyed_prefix, keyed_shift, null_safe_join
 from eventide.operators.windows import interval
+from eventide.session import fork_point
 
 ORDER = ("ts", "event_id")
 
@@ -98,11 +99,12 @@ def login_failures(
     t0 + limit count, a success at exactly t0 + limit cancels."""
     ts = order[0]
     is_succ = (F.col("event_type") == success).cast("int")
-    seg = keyed_prefix(logins, key, order, is_succ, "_seg", agg="sum", bucket=bucket)
+    # one segment id per login row; the segments feed three branches
+    seg = fork_point(keyed_prefix(logins, key, order, is_succ, "_seg", agg="sum", bucket=bucket))
     fails = seg.where(F.col("event_type") == fail)
     t0 = fails.groupBy(key, "_seg").agg(F.min(ts).alias("first_fail"))
     counted = (
-        fails.join(t0, [key, "_seg"])
+        null_safe_join(fails, t0, [key, "_seg"])
         .where(F.col(ts) <= F.col("first_fail") + interval(limit))
         .groupBy(key, "_seg", "first_fail")
         .agg(F.count(F.lit(1)).alias("fails"))
@@ -111,7 +113,7 @@ def login_failures(
         key, (F.col("_seg") - 1).alias("_seg"), F.col(ts).alias("_next_success")
     )
     return (
-        counted.join(nxt, [key, "_seg"], "left")
+        null_safe_join(counted, nxt, [key, "_seg"], "left")
         .where(
             (F.col("fails") > more_than)
             & (F.col("_next_success").isNull() | (F.col("_next_success") > F.col("first_fail") + interval(limit)))
@@ -139,15 +141,17 @@ def rising_runs(
     prev = F.col(f"_prev_{value}")
     first = prev.isNull() | (prev == 0.0) if zero_is_first else prev.isNull()
     brk = first | (F.col(value) < prev)
-    s = s.withColumn("_brk", brk).withColumn("_rise", ~F.col("_brk") & (F.col(value) > prev))
+    # the lagged rows feed the run ids' in-bucket and per-bucket passes
+    s = fork_point(
+        s.select(key, *order, brk.alias("_brk"), (~brk & (F.col(value) > prev)).alias("_rise"))
+    )
     runs = keyed_prefix(s, key, order, F.col("_brk").cast("int"), "_run", bucket=bucket)
-    per_run = runs.groupBy(key, "_run").agg(
-        F.min(ts).alias("_start"), F.min(F.when(F.col("_rise"), F.col(ts))).alias("armed")
+    per_run = fork_point(
+        runs.groupBy(key, "_run").agg(F.min(ts).alias("_start"), F.min(F.when(F.col("_rise"), F.col(ts))).alias("armed"))
     )
     nxt = per_run.select(key, (F.col("_run") - 1).alias("_run"), F.col("_start").alias("_next_start"))
     return (
-        per_run.where(F.col("armed").isNotNull())
-        .join(nxt, [key, "_run"], "left")
+        null_safe_join(per_run.where(F.col("armed").isNotNull()), nxt, [key, "_run"], "left")
         .where(F.col("_next_start").isNull() | (F.col("_next_start") > F.col("armed") + interval(duration)))
         .select(key, "armed")
     )

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from eventide.operators.keyed import keyed_prefix, keyed_range_list
+from eventide.operators.keyed import keyed_prefix, keyed_range_list, null_safe_join
 from eventide.operators.sequences import (
     followed_within,
     login_failures,
@@ -45,7 +45,7 @@ def rolling_sum(spark, d):
         F.min_by("event_type", F.struct("ts", "event_id")).alias("event_type")
     )
     run = keyed_prefix(ev.drop("event_type"), "user_id", ORDER, F.col("value").cast("decimal(18,2)"), "_rs")
-    return run.join(first, "user_id").select("user_id", "event_id", "event_type", F.col("_rs").cast("double").alias("value"))
+    return null_safe_join(run, first, ["user_id"]).select("user_id", "event_id", "event_type", F.col("_rs").cast("double").alias("value"))
 
 
 @query(
@@ -166,7 +166,7 @@ r AS (
 g AS (
   SELECT user_id, run, min(ts) AS start, min(CASE WHEN rise THEN ts END) AS armed FROM r GROUP BY user_id, run)
 SELECT a.user_id, a.armed
-FROM g a LEFT JOIN g b ON a.user_id = b.user_id AND b.run = a.run + 1
+FROM g a LEFT JOIN g b ON a.user_id IS NOT DISTINCT FROM b.user_id AND b.run = a.run + 1
 WHERE a.armed IS NOT NULL AND (b.start IS NULL OR b.start > a.armed + INTERVAL 6 HOUR)
 """,
 )
@@ -188,11 +188,11 @@ s AS (
 f AS (SELECT user_id, seg, min(ts) AS t0 FROM s WHERE t = 'fail' GROUP BY user_id, seg),
 c AS (
   SELECT f.user_id, f.seg, f.t0, count(*) AS n
-  FROM f JOIN s ON s.user_id = f.user_id AND s.seg = f.seg AND s.t = 'fail' AND s.ts <= f.t0 + INTERVAL 7 DAY
+  FROM f JOIN s ON s.user_id IS NOT DISTINCT FROM f.user_id AND s.seg = f.seg AND s.t = 'fail' AND s.ts <= f.t0 + INTERVAL 7 DAY
   GROUP BY ALL),
 nx AS (SELECT user_id, seg - 1 AS seg, ts AS nts FROM s WHERE t = 'success')
 SELECT c.user_id, c.t0 AS first_fail, c.n AS fails
-FROM c LEFT JOIN nx ON c.user_id = nx.user_id AND c.seg = nx.seg
+FROM c LEFT JOIN nx ON c.user_id IS NOT DISTINCT FROM nx.user_id AND c.seg = nx.seg
 WHERE c.n > 2 AND (nx.nts IS NULL OR nx.nts > c.t0 + INTERVAL 7 DAY)
 """,
 )

@@ -67,3 +67,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-path of the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def fork_point(df):
+    """Materialise a DataFrame that feeds several branches: a reliable
+    checkpoint in the shared checkpoint folder (survives executor loss, cuts
+    lineage), so each branch reads it instead of recomputing the shuffles
+    that produced it."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

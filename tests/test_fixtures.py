@@ -247,3 +247,9 @@ def test_running_count_window_is_bucketed(spark):
     w = Window.partitionBy(F.floor(F.col("event_id") / 1000)).orderBy("event_id")
     out = df.select("event_id", F.row_number().over(w).alias("n"))
     assert out.where("event_id = 1999").first().n == 1000
+
+
+def test_null_key_rows_are_kept_by_prefix_scans(spark):
+    df = _sensor(spark, [(None, t(0), 0, 1.0), (None, t(1), 1, 2.0), (1, t(2), 2, 5.0)])
+    out = keyed_prefix(df, "user_id", ["ts", "event_id"], F.col("temperature"), "s", bucket="1 second")
+    assert rows(out, "event_id", "s") == [(0, 1.0), (1, 3.0), (2, 5.0)]
