@@ -56,9 +56,19 @@ def rich_map(
     return df.mapInPandas(run, schema)
 
 
+# fixed values: the whitespace class of Java's "\\s" (space, tab, newline,
+# vertical tab, form feed, carriage return)
+JAVA_WS = " \t\n\x0b\f\r"
+
+
 def split_words(text: Column) -> Column:
-    """Java ``String.split("\\\\s")`` on a line: pieces between single
+    """Java ``String.split("\\s")`` on a line: pieces between single
     whitespace characters; trailing empty pieces are dropped, inner and
-    leading ones kept."""
-    trimmed = F.regexp_replace(text, r"\s+$", "")
-    return F.when((trimmed == "") & (text != ""), F.array().cast("array<string>")).otherwise(F.split(trimmed, r"\s"))
+    leading ones kept; a line of only whitespace gives no piece.
+
+    Whitespace is first mapped to a space (``translate``, a per-character
+    table), so the split is a single-character split and the trailing trim
+    a plain ``rtrim`` - no regular expression runs over the text."""
+    spaced = F.translate(text, JAVA_WS[1:], " " * (len(JAVA_WS) - 1))
+    trimmed = F.rtrim(spaced)
+    return F.when((trimmed == "") & (text != ""), F.array().cast("array<string>")).otherwise(F.split(trimmed, " "))
