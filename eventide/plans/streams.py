@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventide.operators.ranking import top_n_per_group
-from eventide.plans.registry import BEHAVIOR_CTE, query, slide_ends, tumble_end
+from eventide.operators.late import disordered_arrival
+from eventide.plans.registry import ARRIVAL, BEHAVIOR_CTE, query, slide_ends, tumble_end
 from eventide.plans.windows import HOT_ITEMS_SQL, HOT_ITEMS_SQL5, hot_items_df
 from eventide.sources.tables import behavior_view, load, sensor_view
 from eventide.streaming.sinks import (
@@ -31,6 +32,7 @@ from eventide.streaming.sources import (
     time_quantiles,
     to_event_time,
 )
+from eventide.streaming.late import late_split_writer, run_per_slice
 from eventide.streaming.state import jump_alerts, state_kinds
 
 DELAY = "10 minutes"
@@ -247,3 +249,70 @@ def sink_json_docs(spark, d):
     return read_json_docs(
         spark, dirs["output"], "window_end timestamp_ntz, item_id bigint, cnt bigint, rank bigint", field="slidingwindow"
     )
+
+
+# -- late data on streams: micro-batch = 3-day arrival slice ------------------
+
+TRIGGER_DAYS = 3
+STREAM_LATE_CTE = f"""
+a AS (SELECT *, {ARRIVAL} AS arrival,
+             time_bucket(INTERVAL '{TRIGGER_DAYS} days', {ARRIVAL}, TIMESTAMP '1970-01-01') AS batch FROM events),
+b AS (SELECT batch, max(ts) AS mx FROM a GROUP BY batch),
+w AS (SELECT batch, max(mx) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS wm FROM b),
+x AS (SELECT a.*, w.wm FROM a JOIN w USING (batch))
+"""
+
+
+def _arrivals(spark, d):
+    ev = load(spark, d, "events")
+    return ev.withColumn("arrival", disordered_arrival(ev)).select("event_id", "user_id", "ts", "arrival")
+
+
+@query(
+    "stream_late_split",
+    f"WITH {STREAM_LATE_CTE} SELECT event_id, CASE WHEN wm IS NOT NULL AND ts < wm THEN 'late' ELSE 'main' END AS tag FROM x",
+)
+def stream_late_split(spark, d):
+    """Late rows as a side output of a stream: rows arrive in 3-day arrival
+    micro-batches; a row behind the watermark of the earlier batches is
+    tagged late instead of being dropped."""
+    dirs = new_stream_dirs(spark, "late-split")
+    ev = _arrivals(spark, d)
+    out, state = dirs["output"], f"{dirs['base']}/batch-max"
+    src = dir_stream(spark, f"{dirs['input']}/slice-*", ev.schema, max_files=None)
+    writer = src.writeStream.foreachBatch(late_split_writer(state, out))
+    run_per_slice(ev, "arrival", TRIGGER_DAYS, dirs["input"], lambda: run_available(writer, dirs["checkpoint"]))
+    return spark.read.parquet(out).select("event_id", "tag")
+
+
+@query(
+    "stream_allowed_lateness",
+    f"""WITH {STREAM_LATE_CTE},
+y AS (SELECT user_id, {tumble_end('ts', '1 hour')} AS window_end, wm FROM x)
+SELECT user_id, window_end, count(*) AS n FROM y
+WHERE wm IS NULL OR window_end > wm - INTERVAL 1 HOUR
+GROUP BY user_id, window_end""",
+)
+def stream_allowed_lateness(spark, d):
+    """1 h windows with 1 h of allowed lateness on a stream: update mode with
+    the watermark delayed by the lateness, so late rows re-fire their window
+    until it is 1 h past its end; later rows are dropped.  The sink keeps the
+    last firing per window."""
+    dirs = new_stream_dirs(spark, "allowed-lateness")
+    ev = _arrivals(spark, d)
+    out = dirs["output"]
+    src = to_event_time(dir_stream(spark, f"{dirs['input']}/slice-*", ev.schema, max_files=None))
+    counts = (
+        src.withWatermark("ts", "1 hour")
+        .groupBy("user_id", F.window("ts", "1 hour"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("user_id", F.col("window.end").cast("timestamp_ntz").alias("window_end"), "n")
+    )
+
+    def write(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    writer = counts.writeStream.outputMode("update").foreachBatch(write)
+    run_per_slice(ev, "arrival", TRIGGER_DAYS, dirs["input"], lambda: run_available(writer, dirs["checkpoint"]))
+    fired = spark.read.parquet(out)
+    return fired.groupBy("user_id", "window_end").agg(F.max_by("n", "batch_id").alias("n"))
