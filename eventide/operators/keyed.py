@@ -37,7 +37,15 @@ def with_bucket(df: DataFrame, ts: str, bucket: str = DEFAULT_BUCKET) -> DataFra
     the (key, bucket) partitioning instead of shuffling again."""
     if _B in df.columns:
         return df
-    return df.withColumn(_B, F.window(F.col(ts), bucket).start)
+    return df.withColumn(_B, bucket_start(F.col(ts), bucket))
+
+
+def bucket_start(ts: Column, bucket: str) -> Column:
+    """Epoch-aligned bucket start by arithmetic (a null time stays a row in a
+    null bucket; ``F.window`` would filter it out)."""
+    us = _seconds(bucket) * 1_000_000
+    micros = F.unix_micros(ts.cast("timestamp"))
+    return F.timestamp_micros(micros - F.pmod(micros, F.lit(us))).cast("timestamp_ntz")
 
 
 def with_key_surrogates(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -192,7 +200,7 @@ def keyed_range_list(
     bucket = bucket or lookback
     copies = -(-_seconds(lookback) // _seconds(bucket))
     step = F.expr(f"INTERVAL {bucket}")
-    b = F.window(F.col(ts), bucket).start
+    b = bucket_start(F.col(ts), bucket)
     # each row once as itself (k = 0) and as context of the next buckets
     both = (
         df.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(copies))))

@@ -253,3 +253,14 @@ def test_null_key_rows_are_kept_by_prefix_scans(spark):
     df = _sensor(spark, [(None, t(0), 0, 1.0), (None, t(1), 1, 2.0), (1, t(2), 2, 5.0)])
     out = keyed_prefix(df, "user_id", ["ts", "event_id"], F.col("temperature"), "s", bucket="1 second")
     assert rows(out, "event_id", "s") == [(0, 1.0), (1, 3.0), (2, 5.0)]
+
+
+def test_null_event_time_rows_are_kept_by_keyed_scans(spark):
+    from eventide.operators.keyed import keyed_shift
+
+    df = _sensor(spark, [(1, None, 0, 1.0), (1, t(0), 1, 2.0), (1, t(90000), 2, 3.0)])
+    out = keyed_shift(df, "user_id", ["ts", "event_id"], ["temperature"], direction="lag", bucket="1 day")
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    exp = df.withColumn("lag_temperature", F.lag("temperature").over(w))
+    assert rows(out, "event_id", "lag_temperature") == rows(exp, "event_id", "lag_temperature")
+    assert out.count() == 3
