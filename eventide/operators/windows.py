@@ -48,20 +48,42 @@ def tumbling(df: DataFrame, ts: str, size: str, keys: Sequence[str], **aggs: Col
     )
 
 
+def _micros(ts: str) -> Column:
+    return F.unix_micros(F.col(ts).cast("timestamp"))
+
+
+def pane_of(ts: str, slide: str) -> Column:
+    """Start of the slide-sized pane holding ``ts``, as epoch microseconds
+    (integer arithmetic: cheaper to hash and to expand than timestamps)."""
+    us = _dur_seconds(slide) * 1_000_000
+    m = _micros(ts)
+    return m - F.pmod(m, F.lit(us))
+
+
 def explode_panes(panes: DataFrame, pane: str, size: str, slide: str) -> DataFrame:
-    """Replace the pane start column by the ends of every window holding it."""
+    """Replace the pane start (epoch micros) by ``_end_us``, the end of every
+    window holding the pane (size/slide rows per pane)."""
     if _dur_seconds(size) % _dur_seconds(slide):
         raise ValueError("window size must be a multiple of the slide")
-    start = F.col(pane)
-    ends = F.sequence(start + interval(slide), start + interval(size), interval(slide))
-    return panes.withColumn("window_end", F.explode(ends)).drop(pane)
+    k = _dur_seconds(size) // _dur_seconds(slide)
+    us = _dur_seconds(slide) * 1_000_000
+    return (
+        panes.withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(k))))
+        .withColumn("_end_us", F.col(pane) + F.col("_i").cast("long") * F.lit(us))
+        .drop(pane, "_i")
+    )
+
+
+def _end_ts() -> Column:
+    return F.timestamp_micros("_end_us").cast("timestamp_ntz").alias("window_end")
 
 
 def sliding_count(
     df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[str] = (), name: str = "n"
 ) -> DataFrame:
-    panes = df.groupBy(F.window(F.col(ts), slide).start.alias("_pane"), *keys).agg(F.count(F.lit(1)).alias("_c"))
-    return explode_panes(panes, "_pane", size, slide).groupBy("window_end", *keys).agg(F.sum("_c").alias(name))
+    panes = df.groupBy(pane_of(ts, slide).alias("_pane"), *keys).agg(F.count(F.lit(1)).alias("_c"))
+    counts = explode_panes(panes, "_pane", size, slide).groupBy("_end_us", *keys).agg(F.sum("_c").alias(name))
+    return counts.select(_end_ts(), *keys, name)
 
 
 def sliding_distinct(
@@ -69,17 +91,18 @@ def sliding_distinct(
 ) -> DataFrame:
     """Exact distinct count of ``col`` per sliding window: dedupe within a
     pane first, then across the panes of a window."""
-    panes = df.select(F.window(F.col(ts), slide).start.alias("_pane"), *keys, col).distinct()
+    panes = df.select(pane_of(ts, slide).alias("_pane"), *keys, col).distinct()
     exploded = explode_panes(panes, "_pane", size, slide)
-    return exploded.groupBy("window_end", *keys).agg(F.count_distinct(col).alias(name))
+    return exploded.groupBy("_end_us", *keys).agg(F.count_distinct(col).alias(name)).select(_end_ts(), *keys, name)
 
 
 def sliding_approx_distinct(
     df: DataFrame, ts: str, size: str, slide: str, col: str, keys: Sequence[str] = (), name: str = "n", rsd: float = 0.05
 ) -> DataFrame:
-    panes = df.select(F.window(F.col(ts), slide).start.alias("_pane"), *keys, col).distinct()
+    panes = df.select(pane_of(ts, slide).alias("_pane"), *keys, col).distinct()
     exploded = explode_panes(panes, "_pane", size, slide)
-    return exploded.groupBy("window_end", *keys).agg(F.approx_count_distinct(col, rsd).alias(name))
+    agg = exploded.groupBy("_end_us", *keys).agg(F.approx_count_distinct(col, rsd).alias(name))
+    return agg.select(_end_ts(), *keys, name)
 
 
 def hashed_bitmap_distinct(
