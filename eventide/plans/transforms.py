@@ -10,7 +10,7 @@ from eventide.functions.udfs import plus_one, register_sql_functions
 from eventide.operators.transforms import connect_comap, rich_map, side_outputs, split_words, tagged_union
 from eventide.operators.windows import tumbling
 from eventide.plans.registry import query, tumble_end
-from eventide.sources.tables import load
+from eventide.sources.tables import load, spread
 
 # Java String.split("\\s") on a line, in DuckDB terms
 _WORDS_SQL = (
@@ -62,7 +62,7 @@ def pandas_udf_map(spark, d):
 def word_count(spark, d):
     """flatMap(split on whitespace) + count per word over whole documents;
     partial counts per task before the exchange."""
-    docs = load(spark, d, "documents")
+    docs = spread(load(spark, d, "documents").select("text"))
     words = docs.select(F.explode(split_words(F.col("text"))).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
 

@@ -23,6 +23,18 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Parallelism floor for CPU-heavy per-row work (text splitting, line
+    rendering): when a scan yields fewer partitions than the cluster has
+    cores (one small file, one row group), spread the rows round-robin.  On
+    a large input the scan already has more splits than cores and nothing is
+    added."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def item_id_col(props: str = "props") -> Column:
     """Item id of a behaviour record: the integer ``k`` of the props JSON."""
     return F.get_json_object(F.col(props), "$.k").cast("bigint")
