@@ -177,9 +177,7 @@ def rising_run_alert(spark, d):
 
 # -- sequences and timers -----------------------------------------------------------------
 
-@query(
-    "login_fail_timer",
-    f"""
+LOGIN_FAIL_SQL = f"""
 WITH l AS (
   SELECT user_id, ts, event_id, CASE WHEN event_type = 'error' THEN 'fail' ELSE 'success' END AS t
   FROM events WHERE event_type IN ('error', 'signup')),
@@ -194,8 +192,10 @@ nx AS (SELECT user_id, seg - 1 AS seg, ts AS nts FROM s WHERE t = 'success')
 SELECT c.user_id, c.t0 AS first_fail, c.n AS fails
 FROM c LEFT JOIN nx ON c.user_id IS NOT DISTINCT FROM nx.user_id AND c.seg = nx.seg
 WHERE c.n > 2 AND (nx.nts IS NULL OR nx.nts > c.t0 + INTERVAL 7 DAY)
-""",
-)
+"""
+
+
+@query("login_fail_timer", LOGIN_FAIL_SQL)
 def login_fail_timer(spark, d):
     """More than two fails within 7 days of the first fail of a segment."""
     return login_failures(login_view(_events(spark, d)), "user_id", "7 days", 2)

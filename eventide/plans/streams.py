@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from eventide.operators.ranking import top_n_per_group
 from eventide.operators.late import disordered_arrival
 from eventide.plans.registry import ARRIVAL, BEHAVIOR_CTE, query, slide_ends, tumble_end
+from eventide.plans.keyed import LOGIN_FAIL_SQL
 from eventide.plans.windows import HOT_ITEMS_SQL, HOT_ITEMS_SQL5, hot_items_df
-from eventide.sources.tables import behavior_view, load, sensor_view
+from eventide.sources.tables import behavior_view, load, login_view, sensor_view
 from eventide.streaming.sinks import (
     read_json_docs,
     read_upserted,
@@ -33,7 +34,7 @@ from eventide.streaming.sources import (
     to_event_time,
 )
 from eventide.streaming.late import late_split_writer, run_per_slice
-from eventide.streaming.state import jump_alerts, state_kinds
+from eventide.streaming.state import jump_alerts, login_fail_alerts, state_kinds
 
 DELAY = "10 minutes"
 
@@ -316,3 +317,19 @@ def stream_allowed_lateness(spark, d):
     run_per_slice(ev, "arrival", TRIGGER_DAYS, dirs["input"], lambda: run_available(writer, dirs["checkpoint"]))
     fired = spark.read.parquet(out)
     return fired.groupBy("user_id", "window_end").agg(F.max_by("n", "batch_id").alias("n"))
+
+
+@query(
+    "stream_login_fail",
+    f"""SELECT * FROM ({LOGIN_FAIL_SQL})
+WHERE first_fail + INTERVAL 7 DAY < (SELECT max(ts) FROM events WHERE event_type IN ('error', 'signup'))""",
+)
+def stream_login_fail(spark, d):
+    """Login-failure timer on a stream (event-time timeouts in keyed state),
+    over 4 event-time slices; timers the final watermark has passed have
+    fired."""
+    dirs, src = _staged_events(spark, d, "login-fail")
+    logins = to_event_time(login_view(src)).withWatermark("ts", "0 seconds")
+    alerts = login_fail_alerts(logins, 7 * 86400, 2)
+    run_available(alerts.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append"), dirs["checkpoint"])
+    return spark.read.parquet(dirs["output"]).select("user_id", _ntz("first_fail"), "fails")

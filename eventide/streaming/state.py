@@ -95,3 +95,57 @@ def state_kinds(df: DataFrame, clear_on: str = "signup", keep_last: int = 3) ->
     return df.groupBy("user_id").applyInPandasWithState(
         fn, KINDS_OUT, KINDS_STATE, "append", GroupStateTimeout.NoTimeout
     )
+
+
+# -- event-time timer: login failures ----------------------------------------------
+
+LOGIN_OUT = "user_id long, first_fail timestamp, fails long"
+LOGIN_STATE = "timer_us long, fails long, pending boolean"
+
+
+def login_fail_alerts(df: DataFrame, limit_s: int, more_than: int = 2) -> DataFrame:
+    """Keyed timer rule on a stream.  The first fail after a success (or the
+    start) registers an event-time timer at t0 + limit; a success clears the
+    fails and deletes the timer; when the timer fires with more than
+    ``more_than`` fails, alert.  The timer is registered once per segment
+    between successes (its time stays set after firing).
+
+    A timer fires inside the key's own rows as soon as a row later than it
+    is applied (rows at exactly the timer time come first), and otherwise as
+    a state timeout once the watermark passes it."""
+    limit_us = limit_s * 1_000_000
+
+    def fn(key, pdfs, state: GroupState):
+        out = []
+        if state.hasTimedOut:
+            timer_us, fails, pending = state.get
+            if pending and fails > more_than:
+                out.append((int(key[0]), timer_us - limit_us, fails))
+            state.update((timer_us, 0, False))
+        else:
+            rows = _rows(pdfs)
+            timer_us, fails, pending = state.get if state.exists else (None, 0, False)
+            if not rows.empty:
+                ts_us = rows["ts"].to_numpy().astype("datetime64[us]").astype("int64")
+                for t, us in zip(rows["event_type"], ts_us):
+                    if pending and us > timer_us:  # the timer fires first
+                        if fails > more_than:
+                            out.append((int(key[0]), timer_us - limit_us, fails))
+                        fails, pending = 0, False
+                    if t == "fail":
+                        fails += 1
+                        if timer_us is None:
+                            timer_us, pending = int(us) + limit_us, True
+                    else:  # success
+                        fails, timer_us, pending = 0, None, False
+            state.update((timer_us, fails, pending))
+            if pending:
+                state.setTimeoutTimestamp(timer_us // 1000)
+        if out:
+            res = pd.DataFrame(out, columns=["user_id", "first_us", "fails"])
+            res["first_fail"] = pd.to_datetime(res["first_us"], unit="us")
+            yield res[["user_id", "first_fail", "fails"]]
+
+    return df.groupBy("user_id").applyInPandasWithState(
+        fn, LOGIN_OUT, LOGIN_STATE, "append", GroupStateTimeout.EventTimeTimeout
+    )
