@@ -218,26 +218,25 @@ def sink_upsert(spark, d):
     ev = load(spark, d, "events")
     cut = time_quantiles(ev, "ts", 2)[0]
     first_half = ev.where(F.col("ts") < F.lit(cut))
-    first_half.createOrReplaceTempView("eventide_half_events")
-    upsert_windows(_top5_sql(spark, "eventide_half_events"), target)
-    ev.createOrReplaceTempView("eventide_all_events")
-    full = _top5_sql(spark, "eventide_all_events")
+    upsert_windows(_top5_sql(spark, first_half), target)
+    full = _top5_sql(spark, ev)
     upsert_windows(full, target)
     upsert_windows(full, target)
     return read_upserted(spark, target).select("item_id", "cnt", "window_end", "row_num")
 
 
-def _top5_sql(spark, view):
-    behavior_view(spark.table(view)).select("item_id", "behavior", "ts").createOrReplaceTempView("eventide_upsert_src")
+def _top5_sql(spark, events):
+    src = behavior_view(events).select("item_id", "behavior", "ts")
     return spark.sql(
         """
         SELECT item_id, cnt, window_end, CAST(row_num AS BIGINT) AS row_num
         FROM (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id) AS row_num
               FROM (SELECT item_id, count(item_id) AS cnt, window(ts, '1 hour', '5 minutes').end AS window_end
-                    FROM eventide_upsert_src WHERE behavior = 'pv'
+                    FROM {src} WHERE behavior = 'pv'
                     GROUP BY window(ts, '1 hour', '5 minutes'), item_id))
         WHERE row_num <= 5
-        """
+        """,
+        src=src,
     )
 
 

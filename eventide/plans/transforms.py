@@ -121,5 +121,4 @@ def side_output_alarm(spark, d):
 def sql_scalar_udf(spark, d):
     """Scalar function registered for SQL: a(s) = s || '1'."""
     register_sql_functions(spark)
-    load(spark, d, "events").createOrReplaceTempView("eventide_events")
-    return spark.sql("SELECT event_id, a(event_type) AS c FROM eventide_events")
+    return spark.sql("SELECT event_id, a(event_type) AS c FROM {events}", events=load(spark, d, "events"))

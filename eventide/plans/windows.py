@@ -66,9 +66,7 @@ WHERE row_num <= 5
 @query("hot_items_sql", HOT_ITEMS_SQL5)
 def hot_items_sql(spark, d):
     """The SQL job: view with three fields, hop window, row_number <= 5."""
-    behavior_view(load(spark, d, "events")).select("item_id", "behavior", "ts").createOrReplaceTempView(
-        "eventide_data_table"
-    )
+    data_table = behavior_view(load(spark, d, "events")).select("item_id", "behavior", "ts")
     return spark.sql(
         """
         SELECT item_id, cnt, window_end, CAST(row_num AS BIGINT) AS row_num
@@ -76,11 +74,12 @@ def hot_items_sql(spark, d):
           SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id) AS row_num
           FROM (
             SELECT item_id, count(item_id) AS cnt, window(ts, '1 hour', '5 minutes').end AS window_end
-            FROM eventide_data_table
+            FROM {data_table}
             WHERE behavior = 'pv'
             GROUP BY window(ts, '1 hour', '5 minutes'), item_id))
         WHERE row_num <= 5
-        """
+        """,
+        data_table=data_table,
     )
 
 

@@ -71,3 +71,8 @@ def run_available(writer, checkpoint: str, timeout_s: float | None = None):
     if q.exception() is not None:
         raise q.exception()
     return q
+
+
+def console(df: DataFrame, mode: str = "append", rows: int = 20):
+    """Print sink: a stream writer to the console (batch frames: ``show``)."""
+    return df.writeStream.format("console").outputMode(mode).option("numRows", rows).option("truncate", False)

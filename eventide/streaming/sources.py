@@ -70,3 +70,9 @@ def new_stream_dirs(spark: SparkSession, name: str) -> dict[str, str]:
 def to_event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
     """Watermarks need TIMESTAMP (not NTZ); the session zone is UTC."""
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
+
+
+def socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:
+    """Text lines from a socket (the reference's interactive source).  Not
+    fault tolerant - for demos only; tests use file streams, no ports."""
+    return spark.readStream.format("socket").option("host", host).option("port", port).load()
