@@ -332,3 +332,31 @@ def stream_login_fail(spark, d):
     alerts = login_fail_alerts(logins, 7 * 86400, 2)
     run_available(alerts.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append"), dirs["checkpoint"])
     return spark.read.parquet(dirs["output"]).select("user_id", _ntz("first_fail"), "fails")
+
+
+@query(
+    "stream_uv_sliding",
+    f"""
+WITH {BEHAVIOR_CTE}
+SELECT window_end, count(DISTINCT user_id) AS n
+FROM (SELECT user_id, {slide_ends('ts', '60 minutes', '5 minutes')} AS window_end FROM behavior WHERE behavior = 'pv')
+WHERE window_end <= (SELECT max(ts) FROM events WHERE event_type = 'view') - INTERVAL '{DELAY}'
+GROUP BY window_end
+""",
+)
+def stream_uv_sliding(spark, d):
+    """Unique visitors per 1 h / 5 min window on a stream: two chained
+    aggregations in append mode (one row per window and user, then a count
+    per window), each window emitted once when closed."""
+    dirs = new_stream_dirs(spark, "uv-sliding")
+    pv = to_event_time(behavior_view(table_stream(spark, d, "events"))).where(F.col("behavior") == "pv")
+    per_user = (
+        pv.withWatermark("ts", DELAY)
+        .groupBy(F.window("ts", "1 hour", "5 minutes").alias("w"), "user_id")
+        .agg(F.count(F.lit(1)).alias("_c"))
+    )
+    uv = per_user.groupBy("w").agg(F.count(F.lit(1)).alias("n")).select(
+        F.col("w.end").cast("timestamp_ntz").alias("window_end"), "n"
+    )
+    run_available(uv.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append"), dirs["checkpoint"])
+    return spark.read.parquet(dirs["output"])
