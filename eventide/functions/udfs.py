@@ -71,6 +71,29 @@ def average_aggregate(keys: Sequence[str], value: str) -> AggregateFunction:
     )
 
 
+def bucket_count(df: DataFrame, per_partition: int = 4) -> int:
+    """Hash buckets for grouped Python stages: a few per input partition
+    (input partitions are ~128 MB on a cluster, so a bucket stays a few tens
+    of MB) and at least a few per core."""
+    return max(df.rdd.getNumPartitions() * per_partition, parallelism(df) * per_partition)
+
+
+def key_bucket(keys: Sequence[str], n: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(n))
+
+
+def each_group(f: Callable[[pd.DataFrame], pd.DataFrame], keys: Sequence[str]):
+    """Adapt a per-group function to the frame-of-groups contract of
+    ``window_process`` (one Python call per group: the slow path)."""
+    keys = list(keys)
+
+    def run(p: pd.DataFrame) -> pd.DataFrame:
+        parts = [f(g) for _, g in p.groupby(keys, sort=False, dropna=False)]
+        return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame()
+
+    return run
+
+
 def window_process(
     df: DataFrame,
     keys: Sequence[str],
@@ -79,20 +102,52 @@ def window_process(
     combine: Callable[[pd.DataFrame], pd.DataFrame] | None = None,
     salt_buckets: int = 0,
 ) -> DataFrame:
-    """Full-window function: ``fn`` sees the rows of a (window, key) group as
-    one pandas frame - the buffered slow path; prefer built-in aggregates.
-    With ``combine`` and ``salt_buckets`` > 0 a group is cut into that many
-    hash slices, ``fn`` runs per slice and ``combine`` merges the slice
-    results, so a hot group never sits whole in one Python worker."""
+    """Full-window function: ``fn`` gets a pandas frame holding *complete*
+    (window, key) groups - every row of each group it sees - and returns the
+    groups' results (vectorise it with ``groupby``, or wrap per-group code
+    with ``each_group``).  This is the buffered path; prefer built-in
+    aggregates.
+
+    Groups are hashed into buckets (a few per input partition) and one
+    Python call handles a bucket.  With ``combine`` and ``salt_buckets`` > 0
+    a group is also cut into hash slices: ``fn`` runs on the slices (the
+    slice id is a key column ``_salt``) and ``combine`` merges the slice
+    results per group, so a hot group never sits whole in one worker."""
     keys = list(keys)
-    n = parallelism(df)
+    n = bucket_count(df)
+
+    def strip(f):
+        return lambda p: f(p.drop(columns=["_bucket"]))
+
     if combine is None or salt_buckets <= 0:
-        return df.repartition(n, *keys).groupBy(*keys).applyInPandas(fn, schema)
+        b = df.withColumn("_bucket", key_bucket(keys, n))
+        return b.groupBy("_bucket").applyInPandas(strip(fn), schema)
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salt_buckets)))
-    first = salted.repartition(n, *keys, "_salt").groupBy(*keys, "_salt").applyInPandas(
-        lambda p: fn(p.drop(columns=["_salt"])), schema
-    )
-    return first.repartition(n, *keys).groupBy(*keys).applyInPandas(combine, schema)
+    salted = salted.withColumn("_bucket", key_bucket(keys + ["_salt"], n))
+    partial_schema = f"{schema}, _salt long"
+    first = salted.groupBy("_bucket").applyInPandas(strip(fn), partial_schema)
+    second = first.drop("_salt").withColumn("_bucket", key_bucket(keys, n))
+    return second.groupBy("_bucket").applyInPandas(strip(combine), schema)
+
+
+def cogroup_process(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
+    schema: str,
+) -> DataFrame:
+    """Co-process function over two inputs keyed alike: ``fn`` gets the left
+    and right rows of a hash bucket of keys (every key's rows of both sides
+    are in the same bucket) and handles the keys in it, vectorised."""
+    n = max(bucket_count(left), bucket_count(right))
+    lb = left.withColumn("_bucket", key_bucket([key], n))
+    rb = right.withColumn("_bucket", key_bucket([key], n))
+
+    def run(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
+        return fn(lp.drop(columns=["_bucket"]), rp.drop(columns=["_bucket"]))
+
+    return lb.groupBy("_bucket").cogroup(rb.groupBy("_bucket")).applyInPandas(run, schema)
 
 
 def parallelism(df: DataFrame) -> int:

@@ -6,7 +6,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
-from eventide.functions.udfs import parallelism
+from eventide.functions.udfs import cogroup_process
 from eventide.operators.joins import gated_forward, reconcile, self_left_join_count, timed_out
 from eventide.plans.registry import BEHAVIOR_CTE, query
 from eventide.sources.tables import behavior_view, load, order_events, pay_events
@@ -77,16 +77,15 @@ def cogroup_pandas(spark, d):
     p = li.groupBy(F.col("l_orderkey").alias("order_id")).agg(F.min("l_shipdate").alias("pay_ts"))
 
     def co(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        key = left["order_id"].iloc[0] if len(left) else right["order_id"].iloc[0]
-        ots = left["order_ts"].max() if len(left) else pd.NaT
-        pts = right["pay_ts"].min() if len(right) else pd.NaT
-        tag = "matched" if len(left) and len(right) else ("left_only" if len(left) else "right_only")
-        return pd.DataFrame({"tag": [tag], "order_id": [key], "order_ts": [ots], "pay_ts": [pts]})
+        # per key: at most one pending order and one pending receipt
+        o_last = left.groupby("order_id", as_index=False)["order_ts"].max()
+        p_first = right.groupby("order_id", as_index=False)["pay_ts"].min()
+        m = o_last.merge(p_first, on="order_id", how="outer", indicator=True)
+        m["tag"] = m["_merge"].map({"both": "matched", "left_only": "left_only", "right_only": "right_only"}).astype(str)
+        return m[["tag", "order_id", "order_ts", "pay_ts"]]
 
     schema = "tag string, order_id long, order_ts timestamp_ntz, pay_ts timestamp_ntz"
-    n = parallelism(o)
-    o, p = o.repartition(n, "order_id"), p.repartition(n, "order_id")
-    return o.groupBy("order_id").cogroup(p.groupBy("order_id")).applyInPandas(co, schema)
+    return cogroup_process(o, p, "order_id", co, schema)
 
 
 @query(

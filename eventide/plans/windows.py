@@ -258,27 +258,15 @@ def window_apply_pandas(spark, d):
     s = _sensor(spark, d).select("user_id", F.window("ts", "1 hour").end.alias("window_end"), "temperature")
 
     def min_max(p):
-        import pandas as pd
-
-        return pd.DataFrame(
-            {
-                "user_id": [p["user_id"].iloc[0]],
-                "window_end": [p["window_end"].iloc[0]],
-                "min_temp": [p["temperature"].min()],
-                "max_temp": [p["temperature"].max()],
-            }
+        # a frame of complete groups (slices): one row per group
+        keys = [c for c in ("user_id", "window_end", "_salt") if c in p.columns]
+        return p.groupby(keys, as_index=False, sort=False).agg(
+            min_temp=("temperature", "min"), max_temp=("temperature", "max")
         )
 
     def combine(p):
-        import pandas as pd
-
-        return pd.DataFrame(
-            {
-                "user_id": [p["user_id"].iloc[0]],
-                "window_end": [p["window_end"].iloc[0]],
-                "min_temp": [p["min_temp"].min()],
-                "max_temp": [p["max_temp"].max()],
-            }
+        return p.groupby(["user_id", "window_end"], as_index=False, sort=False).agg(
+            min_temp=("min_temp", "min"), max_temp=("max_temp", "max")
         )
 
     schema = "user_id long, window_end timestamp_ntz, min_temp double, max_temp double"

@@ -264,3 +264,27 @@ def test_null_event_time_rows_are_kept_by_keyed_scans(spark):
     exp = df.withColumn("lag_temperature", F.lag("temperature").over(w))
     assert rows(out, "event_id", "lag_temperature") == rows(exp, "event_id", "lag_temperature")
     assert out.count() == 3
+
+
+def test_window_process_per_group_and_salted(spark):
+    import pandas as pd
+
+    from eventide.functions.udfs import each_group, window_process
+
+    df = spark.createDataFrame([(1, "a", float(i)) for i in range(50)] + [(2, "b", 7.0)], "k long, w string, v double")
+
+    def span(g: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"k": [g.k.iloc[0]], "w": [g.w.iloc[0]], "lo": [g.v.min()], "hi": [g.v.max()]})
+
+    schema = "k long, w string, lo double, hi double"
+    plain = window_process(df, ["k", "w"], each_group(span, ["k", "w"]), schema)
+    assert rows(plain, "k", "lo", "hi") == [(1, 0.0, 49.0), (2, 7.0, 7.0)]
+
+    def part(p: pd.DataFrame) -> pd.DataFrame:
+        return p.groupby(["k", "w", "_salt"], as_index=False).agg(lo=("v", "min"), hi=("v", "max"))
+
+    def comb(p: pd.DataFrame) -> pd.DataFrame:
+        return p.groupby(["k", "w"], as_index=False).agg(lo=("lo", "min"), hi=("hi", "max"))
+
+    salted = window_process(df, ["k", "w"], part, schema, combine=comb, salt_buckets=8)
+    assert rows(salted, "k", "lo", "hi") == [(1, 0.0, 49.0), (2, 7.0, 7.0)]
