@@ -4,7 +4,6 @@ text source and parsed."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from eventide.plans.registry import query
 from eventide.sources import text
