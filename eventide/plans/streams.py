@@ -17,7 +17,7 @@ from eventide.operators.late import disordered_arrival
 from eventide.plans.registry import ARRIVAL, BEHAVIOR_CTE, query, slide_ends, tumble_end
 from eventide.plans.keyed import LOGIN_FAIL_SQL
 from eventide.plans.windows import HOT_ITEMS_SQL, HOT_ITEMS_SQL5, hot_items_df
-from eventide.sources.tables import behavior_view, load, login_view, sensor_view
+from eventide.sources.tables import behavior_view, load, login_view, page_views, sensor_view
 from eventide.streaming.sinks import (
     read_json_docs,
     read_upserted,
@@ -191,7 +191,7 @@ def stream_hot_items(spark, d):
     emitted once, when closed), then per micro-batch a bounded top-3 per
     window (group-limited ranking, no list of all items)."""
     dirs = new_stream_dirs(spark, "hot-items")
-    pv = to_event_time(behavior_view(table_stream(spark, d, "events"))).where(F.col("behavior") == "pv")
+    pv = to_event_time(page_views(table_stream(spark, d, "events")))
     counts = (
         pv.withWatermark("ts", DELAY)
         .groupBy(F.window("ts", "1 hour", "5 minutes"), "item_id")
@@ -349,7 +349,7 @@ def stream_uv_sliding(spark, d):
     aggregations in append mode (one row per window and user, then a count
     per window), each window emitted once when closed."""
     dirs = new_stream_dirs(spark, "uv-sliding")
-    pv = to_event_time(behavior_view(table_stream(spark, d, "events"))).where(F.col("behavior") == "pv")
+    pv = to_event_time(page_views(table_stream(spark, d, "events")))
     per_user = (
         pv.withWatermark("ts", DELAY)
         .groupBy(F.window("ts", "1 hour", "5 minutes").alias("w"), "user_id")

@@ -15,12 +15,12 @@ from eventide.operators.windows import (
     tumbling,
 )
 from eventide.plans.registry import BEHAVIOR_CTE, query, slide_ends, tumble_end
-from eventide.sources.tables import behavior_view, load, marketing_view, sensor_view
+from eventide.sources.tables import behavior_view, load, marketing_view, page_views, sensor_view
 from eventide.sources.text import access_log_lines, parse_access_log
 
 
 def _pv(spark, d):
-    return behavior_view(load(spark, d, "events")).where(F.col("behavior") == "pv")
+    return page_views(load(spark, d, "events"))
 
 
 # -- hot items: sliding 1 h / 5 min counts, top 3 per window ------------------
