@@ -201,8 +201,9 @@ def stream_hot_items(spark, d):
     out = dirs["output"]
 
     def top3(batch, batch_id):
+        # one directory per micro-batch, overwritten on replay: idempotent
         ranked = top_n_per_group(batch, ["window_end"], [F.desc("cnt"), F.asc("item_id")], 3)
-        ranked.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
+        ranked.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     run_available(counts.writeStream.foreachBatch(top3).outputMode("append"), dirs["checkpoint"])
     return spark.read.parquet(out).select("window_end", "item_id", "cnt", "rank")

@@ -52,9 +52,13 @@ def json_docs(df: DataFrame, field: str = "doc") -> DataFrame:
     return df.select(F.to_json(F.struct(F.struct(*df.columns).alias(field))).alias("value"))
 
 
-def write_json_docs(df: DataFrame, path: str, field: str = "doc") -> None:
-    """Bulk write of one micro-batch (or batch) as JSON lines."""
-    json_docs(df, field).write.mode("append").text(path)
+def write_json_docs(df: DataFrame, path: str, field: str = "doc", batch_id: int | None = None) -> None:
+    """Bulk write of a batch as JSON lines; with a micro-batch id the batch
+    goes to its own directory and a replay overwrites it (idempotent)."""
+    if batch_id is None:
+        json_docs(df, field).write.mode("append").text(path)
+    else:
+        json_docs(df, field).write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
 
 
 def read_json_docs(spark: SparkSession, path: str, schema: str, field: str = "doc") -> DataFrame:
