@@ -50,22 +50,24 @@ def main() -> None:
     reps = int(os.environ.get("BENCH_REPS", "3"))
     names = sys.argv[1:] or HEADLINE
     spark = get_session(app="eventide-bench")
-    out = {}
+    out, failed = {}, {}
     for name in names:
-        run(spark, name, sf)  # warm-up
-        out[name] = round(statistics.median(run(spark, name, sf) for _ in range(reps)), 3)
-    print(
-        json.dumps(
-            {
-                "metric": "sum_of_median_query_seconds",
-                "value": round(sum(out.values()), 3),
-                "unit": "sec",
-                "queries": out,
-                "sf": os.path.basename(sf.rstrip("/")).removeprefix("sf"),
-                "cpus": os.environ.get("BENCH_CPUS", "*"),
-            }
-        )
-    )
+        try:
+            run(spark, name, sf)  # warm-up
+            out[name] = round(statistics.median(run(spark, name, sf) for _ in range(reps)), 3)
+        except Exception as ex:  # noqa: BLE001 - report and keep measuring the rest
+            failed[name] = f"{type(ex).__name__}: {str(ex)[:200]}"
+    result = {
+        "metric": "sum_of_median_query_seconds",
+        "value": round(sum(out.values()), 3),
+        "unit": "sec",
+        "queries": out,
+        "sf": os.path.basename(sf.rstrip("/")).removeprefix("sf"),
+        "cpus": os.environ.get("BENCH_CPUS", "*"),
+    }
+    if failed:
+        result["failed"] = failed
+    print(json.dumps(result))
 
 
 if __name__ == "__main__":
