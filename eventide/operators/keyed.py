@@ -37,7 +37,19 @@ def with_bucket(df: DataFrame, ts: str, bucket: str = DEFAULT_BUCKET) -> DataFra
     the (key, bucket) partitioning instead of shuffling again."""
     if _B in df.columns:
         return df
-    return df.withColumn(_B, bucket_start(F.col(ts), bucket))
+    return df.withColumn(_B, bucket_index(F.col(ts), bucket))
+
+
+_NULL_BUCKET = -(2**63)  # rows without a time: one bucket, ordered first (ASC NULLS FIRST)
+
+
+def bucket_index(ts: Column, bucket: str) -> Column:
+    """Epoch-aligned bucket number (never null, so bucket joins are plain
+    equi-joins)."""
+    us = _seconds(bucket) * 1_000_000
+    micros = F.unix_micros(ts.cast("timestamp"))
+    start = micros - F.pmod(micros, F.lit(us))  # an exact multiple of the width
+    return F.coalesce((start / F.lit(us)).cast("long"), F.lit(_NULL_BUCKET).cast("long"))
 
 
 def bucket_start(ts: Column, bucket: str) -> Column:
@@ -118,9 +130,10 @@ def keyed_shift(
     w_h = Window.partitionBy(*pk).orderBy(*ordering([_B] + order))
     nxt = F.array(*[F.lead(F.struct(*carried), j).over(w_h) for j in range(1, n + 1)])
     ghosts = (
-        heads.withColumn("_next_b", F.lead(_B).over(w_h))
+        heads.withColumn("_next_rn", F.lead("_rn").over(w_h))
         .withColumn("_g", nxt)
-        .where(F.col("_next_b").isNull() | (F.col("_next_b") != F.col(_B)))
+        # last head of its bucket: the next head (if any) opens a new bucket
+        .where(F.col("_next_rn").isNull() | (F.col("_next_rn") == 1))
         .select(*pk, _B, F.explode("_g").alias("_r"))
         .where(F.col("_r").isNotNull())
         .select(*pk, _B, *[F.col(f"_r.{c}").alias(c) for c in carried])
