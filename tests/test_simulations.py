@@ -162,3 +162,82 @@ def test_gated_forward_matches_brute_force(spark, rows, dur, bucket):
         if any(k2 == k and t2 == "gate" and g <= s_ < g + dur for (k2, g, t2) in rows)
     )
     assert got == exp
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 2)), st.one_of(st.none(), st.sampled_from(["a", "b"]))), max_size=12))
+def test_self_left_join_count_matches_the_join(spark, rows):
+    from eventide.operators.joins import self_left_join_count
+
+    df = spark.createDataFrame(rows, "item long, beh string")
+    got = sorted(map(tuple, self_left_join_count(df, "item", "beh", 3, "cnt").collect()), key=repr)
+    lit = spark.sql(
+        """SELECT a.item, b.beh, count(a.item) AS cnt FROM {t} a
+           LEFT JOIN {t} b ON a.item = b.item AND a.beh = b.beh
+           LEFT JOIN {t} c ON a.item = c.item AND a.beh = c.beh
+           GROUP BY a.item, b.beh""",
+        t=df,
+    )
+    assert got == sorted(map(tuple, lit.collect()), key=repr)
+
+
+def simulate_rising(rows, dur):
+    """First rise after a fall (or the first reading) arms a timer at +dur;
+    a fall disarms; equal values keep it; one alert per run."""
+    out, st_ = [], {}
+    timers = []
+
+    def fire_until(t):
+        for tt, k in sorted(x for x in timers if x[0] < t):
+            timers.remove((tt, k))
+            s = st_[k]
+            if s["armed"] is not None and s["armed"] + dur == tt:
+                out.append((k, s["armed"]))
+                s["armed"], s["done"] = None, True
+
+    for k, s_, v in rows:
+        fire_until(s_)
+        s = st_.setdefault(k, {"prev": None, "armed": None, "done": False})
+        prev = s["prev"]
+        s["prev"] = v
+        if prev is None or v < prev:  # new run
+            s["armed"], s["done"] = None, False
+        elif v > prev and s["armed"] is None and not s["done"]:
+            s["armed"] = s_
+            timers.append((s_ + dur, k))
+    fire_until(float("inf"))
+    return sorted(out)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 3), st.integers(0, 3)), max_size=30), dur=st.integers(1, 6))
+def test_rising_runs_match_the_timer_program(spark, rows, dur):
+    from eventide.operators.sequences import rising_runs
+
+    timed = [(k, sum(x[1] for x in rows[: i + 1]) + i, v) for i, (k, _, v) in enumerate(rows)]
+    df = spark.createDataFrame(
+        [(k, at(s_), i, float(v)) for i, (k, s_, v) in enumerate(timed)], "user_id long, ts timestamp_ntz, event_id long, temperature double"
+    )
+    got = rising_runs(df, "user_id", "temperature", f"{dur} seconds", bucket="3 seconds")
+    got = sorted((r.user_id, int((r.armed - T0).total_seconds())) for r in got.collect())
+    assert got == simulate_rising(timed, dur)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 100), st.integers(0, 30)), max_size=30))
+def test_late_split_matches_micro_batch_watermarks(spark, rows):
+    from eventide.operators.late import split_late_records
+
+    # (event second, arrival delay); micro-batch = arrival in 10 s slices
+    data = [(i, at(s_), at(s_ + d)) for i, (s_, d) in enumerate(rows)]
+    df = spark.createDataFrame(data, "event_id long, ts timestamp_ntz, arrival timestamp_ntz")
+    got = sorted((r.event_id, r.tag) for r in split_late_records(df, "ts", "arrival", "10 seconds").collect())
+    batches = {}
+    for i, (s_, d) in enumerate(rows):
+        batches.setdefault((s_ + d) // 10, []).append((i, s_))
+    exp, wm = [], None
+    for b in sorted(batches):
+        exp += [(i, "late" if wm is not None and s_ < wm else "main") for i, s_ in batches[b]]
+        mx = max(s_ for _, s_ in batches[b])
+        wm = mx if wm is None else max(wm, mx)
+    assert got == sorted(exp)
