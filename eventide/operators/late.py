@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventide.operators.keyed import keyed_prefix
 from eventide.operators.windows import bucket_end, interval
 
 
@@ -24,10 +25,14 @@ def disordered_arrival(events: DataFrame, ts: str = "ts", max_delay_s: int = 108
 def batch_watermarks(
     df: DataFrame, ts: str, arrival: str, trigger: str, delay: str = "0 seconds"
 ) -> DataFrame:
-    """(batch, watermark): watermark in force while batch runs (null first)."""
+    """(batch, watermark): watermark in force while a batch runs (null for the
+    first).  The running max over batches is a bucketed prefix scan, so even
+    second-level triggers over years of data never meet in one task."""
     per = df.groupBy(F.window(F.col(arrival), trigger).start.alias("batch")).agg(F.max(ts).alias("_mx"))
-    w = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, -1)  # one row per batch
-    return per.select("batch", (F.max("_mx").over(w) - interval(delay)).alias("watermark"))
+    run = keyed_prefix(
+        per.withColumn("_all", F.lit(0)), "_all", ["batch"], F.col("_mx"), "_wm", agg="max", bucket="30 days", exclusive=True
+    )
+    return run.select("batch", (F.col("_wm") - interval(delay)).alias("watermark"))
 
 
 def with_watermark(df: DataFrame, ts: str, arrival: str, trigger: str, delay: str = "0 seconds") -> DataFrame:
