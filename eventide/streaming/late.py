@@ -23,30 +23,39 @@ def _micros(ts: str):
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
-def _watermark_before(spark: SparkSession, state_path: str, batch_id: int, delay_us: int):
-    """Watermark (epoch micros) in force for ``batch_id``: max event time of
-    the earlier batches minus the delay; one scalar per micro-batch."""
-    try:
-        row = spark.read.parquet(state_path).where(F.col("batch_id") < batch_id).agg(F.max("mx").alias("mx")).first()
-    except AnalysisException:
-        return None
-    return None if row is None or row.mx is None else row.mx - delay_us
+def _max_before(spark: SparkSession, state_path: str, batch_id: int):
+    """Max event time (epoch micros) of all batches before ``batch_id``: the
+    previous batch stores the running max, so one tiny file is read; the
+    full state is scanned only if that file is missing (first batch)."""
+    for path, cond in ((f"{state_path}/batch={batch_id - 1}", None), (state_path, F.col("batch_id") < batch_id)):
+        try:
+            df = spark.read.parquet(path)
+        except AnalysisException:
+            continue
+        if cond is not None:
+            df = df.where(cond)
+        row = df.agg(F.max("mx").alias("mx")).first()
+        return None if row is None else row.mx
+    return None
 
 
 def late_split_writer(state_path: str, out_path: str, ts: str = "ts", delay_us: int = 0):
     """``foreachBatch`` function: tag rows late (event time below the
-    watermark of earlier batches) or main, write them under the batch id."""
+    watermark of earlier batches) or main, write them under the batch id,
+    and store the running max event time for the next batch."""
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.persist()  # one micro-batch, read by two writes
         try:
-            wm = _watermark_before(spark, state_path, batch_id, delay_us)
+            prev = _max_before(spark, state_path, batch_id)
+            wm = None if prev is None else prev - delay_us
             late = F.lit(False) if wm is None else (_micros(ts) < F.lit(wm))
             tagged = batch.withColumn("tag", F.when(late, "late").otherwise("main"))
             tagged.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+            running = F.max(_micros(ts)) if prev is None else F.greatest(F.max(_micros(ts)), F.lit(prev))
             (
-                batch.agg(F.max(_micros(ts)).alias("mx"))
+                batch.agg(F.coalesce(running, F.lit(prev)).alias("mx"))
                 .withColumn("batch_id", F.lit(batch_id))
                 .write.mode("overwrite")
                 .parquet(f"{state_path}/batch={batch_id}")
