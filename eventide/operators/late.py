@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from eventide.operators.keyed import keyed_prefix
 from eventide.operators.windows import bucket_end, interval
+from eventide.session import fork_point
 
 
 def disordered_arrival(events: DataFrame, ts: str = "ts", max_delay_s: int = 10800, stride: int = 7919) -> Column:
@@ -22,27 +23,47 @@ def disordered_arrival(events: DataFrame, ts: str = "ts", max_delay_s: int = 108
     return F.col(ts) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("event_id") * stride) % max_delay_s)
 
 
+# at most this many micro-batches are ordered in one task; beyond it the
+# running max is a bucketed prefix scan
+SINGLE_TASK_MAX_BATCHES = 1_000_000
+
+
 def batch_watermarks(
-    df: DataFrame, ts: str, arrival: str, trigger: str, delay: str = "0 seconds"
+    df: DataFrame,
+    ts: str,
+    arrival: str,
+    trigger: str,
+    delay: str = "0 seconds",
+    single_task_max: int = SINGLE_TASK_MAX_BATCHES,
 ) -> DataFrame:
     """(batch, watermark): watermark in force while a batch runs (null for the
-    first).  The running max over batches is a bucketed prefix scan, so even
-    second-level triggers over years of data never meet in one task."""
+    first).  The per-batch table has one row per micro-batch; a running max
+    over it runs in one task only after counting it within
+    ``single_task_max``, else as a bucketed prefix scan over a materialised
+    copy."""
     per = df.groupBy(F.window(F.col(arrival), trigger).start.alias("batch")).agg(F.max(ts).alias("_mx"))
-    run = keyed_prefix(
-        per.withColumn("_all", F.lit(0)), "_all", ["batch"], F.col("_mx"), "_wm", agg="max", bucket="30 days", exclusive=True
-    )
+    if per.count() <= single_task_max:
+        w = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, -1)
+        run = per.select("batch", F.max("_mx").over(w).alias("_wm"))
+    else:
+        run = keyed_prefix(
+            fork_point(per).withColumn("_all", F.lit(0)), "_all", ["batch"], F.col("_mx"), "_wm", agg="max", bucket="30 days", exclusive=True
+        )
     return run.select("batch", (F.col("_wm") - interval(delay)).alias("watermark"))
 
 
-def with_watermark(df: DataFrame, ts: str, arrival: str, trigger: str, delay: str = "0 seconds") -> DataFrame:
-    wm = batch_watermarks(df, ts, arrival, trigger, delay)
+def with_watermark(
+    df: DataFrame, ts: str, arrival: str, trigger: str, delay: str = "0 seconds", single_task_max: int = SINGLE_TASK_MAX_BATCHES
+) -> DataFrame:
+    wm = batch_watermarks(df, ts, arrival, trigger, delay, single_task_max)
     return df.withColumn("batch", F.window(F.col(arrival), trigger).start).join(wm, "batch", "left")
 
 
-def split_late_records(df: DataFrame, ts: str, arrival: str, trigger: str, delay: str = "0 seconds") -> DataFrame:
+def split_late_records(
+    df: DataFrame, ts: str, arrival: str, trigger: str, delay: str = "0 seconds", single_task_max: int = SINGLE_TASK_MAX_BATCHES
+) -> DataFrame:
     """tag = late when the row's time is below the watermark of its batch."""
-    w = with_watermark(df, ts, arrival, trigger, delay)
+    w = with_watermark(df, ts, arrival, trigger, delay, single_task_max)
     late = F.col("watermark").isNotNull() & (F.col(ts) < F.col("watermark"))
     return w.withColumn("tag", F.when(late, "late").otherwise("main"))
 
