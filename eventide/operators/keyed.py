@@ -166,28 +166,51 @@ def keyed_prefix(
 ) -> DataFrame:
     """Running ``agg`` (sum, min, max, count) of ``value`` per key in ``order``,
     including the current row (or excluding it when ``exclusive``)."""
+    return keyed_prefixes(df, key, order, [(value, out, agg)], bucket, exclusive, keep_bucket)
+
+
+_FN = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
+_MERGE = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.sum}
+
+
+def keyed_prefixes(
+    df: DataFrame,
+    key: str | Sequence[str],
+    order: Sequence[str],
+    specs: Sequence[tuple[Column, str, str]],
+    bucket: str = DEFAULT_BUCKET,
+    exclusive: bool = False,
+    keep_bucket: bool = False,
+) -> DataFrame:
+    """Several running aggregates ``(value, out, agg)`` in one scan: one
+    in-bucket window pass, one per-bucket aggregate, one offsets join."""
     keys = _names(key)
     order = list(order)
-    fn = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.count}[agg]
-    merge = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.sum}[agg]
     base, pk = with_key_surrogates(with_bucket(df, order[0], bucket), keys)
-    base = base.withColumn("_v", value)
+    for i, (value, _, _) in enumerate(specs):
+        base = base.withColumn(f"_v{i}", value)
     hi = -1 if exclusive else 0
     w_in = Window.partitionBy(*pk, _B).orderBy(*order).rowsBetween(Window.unboundedPreceding, hi)
-    local = base.withColumn("_local", fn("_v").over(w_in))
-    per_bucket = base.groupBy(*pk, _B).agg(fn("_v").alias("_bt"))
+    local = base
+    for i, (_, _, agg) in enumerate(specs):
+        local = local.withColumn(f"_l{i}", _FN[agg](f"_v{i}").over(w_in))
+    per_bucket = base.groupBy(*pk, _B).agg(*[_FN[agg](f"_v{i}").alias(f"_bt{i}") for i, (_, _, agg) in enumerate(specs)])
     w_k = Window.partitionBy(*pk).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(*pk, _B, merge("_bt").over(w_k).alias("_off"))
-    joined = local.join(offsets, on=pk + [_B], how="inner")
-    if agg in ("sum", "count"):
-        combined = F.coalesce(F.col("_off"), F.lit(0)) + F.coalesce(F.col("_local"), F.lit(0))
-        if agg == "sum":
-            combined = F.when(F.col("_off").isNull() & F.col("_local").isNull(), F.lit(None)).otherwise(combined)
-    elif agg == "min":
-        combined = F.least("_off", "_local")
-    else:
-        combined = F.greatest("_off", "_local")
-    res = joined.withColumn(out, combined).drop("_v", "_local", "_off")
+    offsets = per_bucket.select(
+        *pk, _B, *[_MERGE[agg](f"_bt{i}").over(w_k).alias(f"_o{i}") for i, (_, _, agg) in enumerate(specs)]
+    )
+    res = local.join(offsets, on=pk + [_B], how="inner")
+    for i, (_, out, agg) in enumerate(specs):
+        off, loc = F.col(f"_o{i}"), F.col(f"_l{i}")
+        if agg in ("sum", "count"):
+            combined = F.coalesce(off, F.lit(0)) + F.coalesce(loc, F.lit(0))
+            if agg == "sum":
+                combined = F.when(off.isNull() & loc.isNull(), F.lit(None)).otherwise(combined)
+        elif agg == "min":
+            combined = F.least(off, loc)
+        else:
+            combined = F.greatest(off, loc)
+        res = res.withColumn(out, combined).drop(f"_v{i}", f"_l{i}", f"_o{i}")
     return res if keep_bucket else drop_key_surrogates(res.drop(_B))
 
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from eventide.operators.keyed import keyed_prefix, keyed_range_list, null_safe_join
+from eventide.operators.keyed import keyed_prefix, keyed_prefixes, keyed_range_list
 from eventide.operators.sequences import (
     followed_within,
     login_failures,
@@ -41,11 +41,14 @@ def rolling_sum(spark, d):
     """``keyBy(user).sum(value)``: one row per input with the running sum;
     the other field keeps the key's first row value."""
     ev = _events(spark, d)
-    first = ev.groupBy("user_id").agg(
-        F.min_by("event_type", F.struct("ts", "event_id")).alias("event_type")
+    # the key's first row is the running minimum of (ts, event_id, ...)
+    first = F.struct("ts", "event_id", "event_type")
+    run = keyed_prefixes(
+        ev, "user_id", ORDER, [(F.col("value").cast("decimal(18,2)"), "_rs", "sum"), (first, "_first", "min")]
+    )
+    return run.select(
+        "user_id", "event_id", F.col("_first.event_type").alias("event_type"), F.col("_rs").cast("double").alias("value")
     )
-    run = keyed_prefix(ev.drop("event_type"), "user_id", ORDER, F.col("value").cast("decimal(18,2)"), "_rs")
-    return null_safe_join(run, first, ["user_id"]).select("user_id", "event_id", "event_type", F.col("_rs").cast("double").alias("value"))
 
 
 @query(
