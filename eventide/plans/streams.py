@@ -82,12 +82,14 @@ def stream_restart_resume(spark, d):
     second half, resume on the same checkpoint; equals one run."""
     dirs = new_stream_dirs(spark, "restart")
     ev = load(spark, d, "events")
-    cut = time_quantiles(ev, "ts", 2)
-    stage_slices(ev.where(F.col("ts") < F.lit(cut[0])), dirs["input"], "ts", [], 0)
+    cut = time_quantiles(ev, "ts", 2) or [None]
+    first = ev if cut[0] is None else ev.where(F.col("ts") < F.lit(cut[0]))
+    stage_slices(first, dirs["input"], "ts", [], 0)
     src = dir_stream(spark, f"{dirs['input']}/slice-*", ev.schema, max_files=1)
     writer = _tumbling_stream(src).writeStream.format("parquet").option("path", dirs["output"]).outputMode("append")
     run_available(writer, dirs["checkpoint"])
-    stage_slices(ev.where(F.col("ts") >= F.lit(cut[0])), dirs["input"], "ts", [], 1)
+    second = ev.where(F.lit(False)) if cut[0] is None else ev.where(F.col("ts") >= F.lit(cut[0]))
+    stage_slices(second, dirs["input"], "ts", [], 1)
     src = dir_stream(spark, f"{dirs['input']}/slice-*", ev.schema, max_files=1)
     writer = _tumbling_stream(src).writeStream.format("parquet").option("path", dirs["output"]).outputMode("append")
     run_available(writer, dirs["checkpoint"])
@@ -217,8 +219,8 @@ def sink_upsert(spark, d):
     dirs = new_stream_dirs(spark, "upsert")
     target = dirs["output"]
     ev = load(spark, d, "events")
-    cut = time_quantiles(ev, "ts", 2)[0]
-    first_half = ev.where(F.col("ts") < F.lit(cut))
+    cut = (time_quantiles(ev, "ts", 2) or [None])[0]
+    first_half = ev if cut is None else ev.where(F.col("ts") < F.lit(cut))
     upsert_windows(_top5_sql(spark, first_half), target)
     full = _top5_sql(spark, ev)
     upsert_windows(full, target)
