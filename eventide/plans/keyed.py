@@ -204,9 +204,7 @@ def login_fail_timer(spark, d):
     return login_failures(login_view(_events(spark, d)), "user_id", "7 days", 2)
 
 
-@query(
-    "seq3_fail",
-    f"""
+SEQ3_SQL = f"""
 SELECT user_id, event_id AS event_id_1, e2 AS event_id_2, e3 AS event_id_3, ts AS first_ts, t3 AS last_ts
 FROM (SELECT user_id, event_id, ts, event_type,
              lead(event_type, 1) OVER ({W_ORDER}) AS y2, lead(event_type, 2) OVER ({W_ORDER}) AS y3,
@@ -214,8 +212,10 @@ FROM (SELECT user_id, event_id, ts, event_type,
              lead(ts, 2) OVER ({W_ORDER}) AS t3
       FROM events)
 WHERE event_type = 'error' AND y2 = 'error' AND y3 = 'error' AND t3 < ts + INTERVAL 7 DAY
-""",
-)
+"""
+
+
+@query("seq3_fail", SEQ3_SQL)
 def seq3_fail(spark, d):
     """Three consecutive fails (strict contiguity) within 7 days."""
     return strict_sequence(_events(spark, d), "user_id", "event_type", ["error"] * 3, "7 days")

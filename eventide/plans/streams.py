@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from eventide.operators.ranking import top_n_per_group
 from eventide.operators.late import disordered_arrival
 from eventide.plans.registry import ARRIVAL, BEHAVIOR_CTE, query, slide_ends, tumble_end
-from eventide.plans.keyed import LOGIN_FAIL_SQL
+from eventide.plans.keyed import LOGIN_FAIL_SQL, SEQ3_SQL
 from eventide.plans.windows import HOT_ITEMS_SQL, HOT_ITEMS_SQL5, hot_items_df
 from eventide.sources.tables import behavior_view, load, login_view, page_views, sensor_view
 from eventide.streaming.sinks import (
@@ -34,7 +34,13 @@ from eventide.streaming.sources import (
     to_event_time,
 )
 from eventide.streaming.late import late_split_writer, run_per_slice
-from eventide.streaming.state import jump_alerts, login_fail_alerts, state_kinds
+from eventide.streaming.state import (
+    jump_alerts,
+    login_fail_alerts,
+    sequence_matches,
+    state_kinds,
+    two_step_with_timeout,
+)
 
 DELAY = "10 minutes"
 
@@ -363,3 +369,42 @@ def stream_uv_sliding(spark, d):
     )
     run_available(uv.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append"), dirs["checkpoint"])
     return spark.read.parquet(dirs["output"])
+
+
+@query("stream_seq3_fail", SEQ3_SQL)
+def stream_seq3_fail(spark, d):
+    """Three consecutive errors within 7 days, matched on a stream of 4
+    event-time slices (matches may span micro-batches)."""
+    dirs, src = _staged_events(spark, d, "seq3")
+    matches = sequence_matches(to_event_time(src), "event_type", ["error"] * 3, 7 * 86400)
+    run_available(matches.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append"), dirs["checkpoint"])
+    out = spark.read.parquet(dirs["output"])
+    return out.select("user_id", "event_id_1", "event_id_2", "event_id_3", _ntz("first_ts"), _ntz("last_ts"))
+
+
+@query(
+    "stream_seq2",
+    """
+WITH s AS (
+  SELECT user_id, event_id, ts, event_type,
+         lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nt,
+         lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nts
+  FROM events)
+SELECT user_id, event_id, 'matched' AS outcome FROM s
+WHERE event_type = 'view' AND nt = 'purchase' AND nts < ts + INTERVAL 1 DAY
+UNION ALL
+SELECT user_id, event_id, 'timeout' AS outcome FROM s
+WHERE event_type = 'view'
+  AND ((nts IS NOT NULL AND nts >= ts + INTERVAL 1 DAY)
+       OR (nts IS NULL AND ts + INTERVAL 1 DAY < (SELECT max(ts) FROM events)))
+""",
+)
+def stream_seq2(spark, d):
+    """view -> next purchase within 1 day on a stream (4 event-time slices):
+    matches, and timeouts either when a late next event arrives or when the
+    watermark passes the deadline."""
+    dirs, src = _staged_events(spark, d, "seq2")
+    ev = to_event_time(src).withWatermark("ts", "0 seconds")
+    res = two_step_with_timeout(ev, "event_type", "view", "purchase", 86400)
+    run_available(res.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append"), dirs["checkpoint"])
+    return spark.read.parquet(dirs["output"])

@@ -149,3 +149,100 @@ def login_fail_alerts(df: DataFrame, limit_s: int, more_than: int = 2) -> DataFr
     return df.groupBy("user_id").applyInPandasWithState(
         fn, LOGIN_OUT, LOGIN_STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
+
+
+# -- strict sequence on a stream ------------------------------------------------------
+
+SEQ_STATE = "last_ids string, last_types string, last_us string"
+
+
+def sequence_matches(df: DataFrame, step_col: str, steps: list[str], within_s: int) -> DataFrame:
+    """begin.next.next... on a stream: the state keeps the key's last n-1
+    events (ids, step values, times), so a match that spans micro-batches is
+    found when its last event arrives; last minus first time strictly below
+    ``within_s``.  Overlapping matches are all emitted."""
+    n = len(steps)
+    within_us = within_s * 1_000_000
+    out_cols = ["user_id"] + [f"event_id_{j + 1}" for j in range(n)] + ["first_ts", "last_ts"]
+    out_schema = "user_id long, " + ", ".join(f"event_id_{j + 1} long" for j in range(n)) + ", first_ts timestamp, last_ts timestamp"
+
+    def fn(key, pdfs, state: GroupState):
+        rows = _rows(pdfs)
+        if rows.empty:
+            return
+        if state.exists:
+            ids_s, types_s, us_s = state.get
+            ids = [int(x) for x in ids_s.split(",")] if ids_s else []
+            types = types_s.split(",") if types_s else []
+            uss = [int(x) for x in us_s.split(",")] if us_s else []
+        else:
+            ids, types, uss = [], [], []
+        ids += [int(x) for x in rows["event_id"]]
+        types += list(rows[step_col])
+        uss += [int(x) for x in rows["ts"].to_numpy().astype("datetime64[us]").astype("int64")]
+        out = []
+        for end in range(n - 1, len(ids)):
+            start = end - n + 1
+            if types[start : end + 1] == steps and uss[end] - uss[start] < within_us:
+                out.append([int(key[0])] + ids[start : end + 1] + [uss[start], uss[end]])
+        keep = n - 1
+        tail = (ids[-keep:], types[-keep:], uss[-keep:]) if keep else ([], [], [])
+        state.update((",".join(map(str, tail[0])), ",".join(tail[1]), ",".join(map(str, tail[2]))))
+        if out:
+            res = pd.DataFrame(out, columns=out_cols[:-2] + ["first_us", "last_us"])
+            res["first_ts"] = pd.to_datetime(res.pop("first_us"), unit="us")
+            res["last_ts"] = pd.to_datetime(res.pop("last_us"), unit="us")
+            yield res[out_cols]
+
+    return df.groupBy("user_id").applyInPandasWithState(
+        fn, out_schema, SEQ_STATE, "append", GroupStateTimeout.NoTimeout
+    )
+
+
+# -- two-step pattern with timeout on a stream ---------------------------------------
+
+TWO_STEP_OUT = "user_id long, event_id long, outcome string"
+TWO_STEP_STATE = "pending_id long, pending_us long"
+
+
+def two_step_with_timeout(df: DataFrame, step_col: str, first: str, second: str, limit_s: int) -> DataFrame:
+    """``first`` followed by ``second`` as the key's very next event within
+    ``limit_s`` (strict).  A partial match ends as ``matched``, as
+    ``timeout`` (the next event came too late, or the watermark passed the
+    deadline with no next event), or silently when a different event comes
+    first.  Pending partial matches live in keyed state with an event-time
+    timeout at their deadline."""
+    limit_us = limit_s * 1_000_000
+
+    def fn(key, pdfs, state: GroupState):
+        out = []
+        k = int(key[0])
+        if state.hasTimedOut:
+            pid, _ = state.get
+            out.append((k, pid, "timeout"))
+            state.remove()
+        else:
+            rows = _rows(pdfs)
+            pid, pus = state.get if state.exists else (None, None)
+            if not rows.empty:
+                ts_us = rows["ts"].to_numpy().astype("datetime64[us]").astype("int64")
+                for eid, t, us in zip(rows["event_id"], rows[step_col], ts_us):
+                    if pid is not None:
+                        if us - pus >= limit_us:
+                            out.append((k, pid, "timeout"))
+                        elif t == second:
+                            out.append((k, pid, "matched"))
+                        pid, pus = None, None
+                    if t == first:
+                        pid, pus = int(eid), int(us)
+            if pid is None:
+                state.remove()
+            else:
+                state.update((pid, pus))
+                state.setTimeoutTimestamp((pus + limit_us) // 1000)
+        if out:
+            yield pd.DataFrame(out, columns=["user_id", "event_id", "outcome"])
+
+    return df.groupBy("user_id").applyInPandasWithState(
+        fn, TWO_STEP_OUT, TWO_STEP_STATE, "append", GroupStateTimeout.EventTimeTimeout
+    )
