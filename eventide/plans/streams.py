@@ -408,3 +408,29 @@ def stream_seq2(spark, d):
     res = two_step_with_timeout(ev, "event_type", "view", "purchase", 86400)
     run_available(res.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append"), dirs["checkpoint"])
     return spark.read.parquet(dirs["output"])
+
+
+@query(
+    "stream_gated_forward",
+    """
+SELECT r.event_id FROM events r
+WHERE EXISTS (SELECT 1 FROM events g WHERE g.event_type = 'signup' AND g.user_id = r.user_id
+              AND r.ts >= g.ts AND r.ts < g.ts + INTERVAL 1 DAY)
+""",
+)
+def stream_gated_forward(spark, d):
+    """Gated forwarding between two streams: readings pass while a gate of
+    their key is open (1 day); a left-semi stream-stream join with a time
+    range, so each reading passes once and gate state expires with the
+    watermark."""
+    dirs = new_stream_dirs(spark, "gated")
+    rows = to_event_time(table_stream(spark, d, "events").select("event_id", "user_id", "ts")).withWatermark("ts", "1 hour")
+    gates = (
+        to_event_time(table_stream(spark, d, "events").where(F.col("event_type") == "signup").select(
+            F.col("user_id").alias("g_user"), F.col("ts").alias("g_ts")), "g_ts")
+        .withWatermark("g_ts", "1 hour")
+    )
+    cond = F.expr("user_id = g_user AND ts >= g_ts AND ts < g_ts + INTERVAL 1 DAY")
+    passed = rows.join(gates, cond, "left_semi").select("event_id")
+    run_available(passed.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append"), dirs["checkpoint"])
+    return spark.read.parquet(dirs["output"])
