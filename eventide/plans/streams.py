@@ -17,7 +17,7 @@ from eventide.operators.late import disordered_arrival
 from eventide.plans.registry import ARRIVAL, BEHAVIOR_CTE, query, slide_ends, tumble_end
 from eventide.plans.keyed import LOGIN_FAIL_SQL, SEQ3_SQL
 from eventide.plans.windows import HOT_ITEMS_SQL, HOT_ITEMS_SQL5, hot_items_df
-from eventide.sources.tables import behavior_view, load, login_view, page_views, sensor_view
+from eventide.sources.tables import behavior_view, load, login_view, marketing_view, page_views, sensor_view
 from eventide.streaming.sinks import (
     read_json_docs,
     read_upserted,
@@ -434,3 +434,29 @@ def stream_gated_forward(spark, d):
     passed = rows.join(gates, cond, "left_semi").select("event_id")
     run_available(passed.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append"), dirs["checkpoint"])
     return spark.read.parquet(dirs["output"])
+
+
+@query(
+    "stream_marketing_by_channel",
+    f"""
+SELECT window_end, channel, behavior, count(*) AS n
+FROM (SELECT CASE WHEN user_id % 2 = 0 THEN 'AppStore' ELSE 'OtherStore' END AS channel,
+             event_type AS behavior, {slide_ends('ts', '5 hours', '1 hour')} AS window_end
+      FROM events WHERE event_type <> 'error')
+WHERE window_end <= (SELECT max(ts) FROM events WHERE event_type <> 'error') - INTERVAL '{DELAY}'
+GROUP BY window_end, channel, behavior
+""",
+)
+def stream_marketing_by_channel(spark, d):
+    """Marketing counts per (channel, behaviour) on a stream: sliding 5 h /
+    1 h windows in append mode, each window emitted once when closed."""
+    dirs = new_stream_dirs(spark, "marketing")
+    m = to_event_time(marketing_view(table_stream(spark, d, "events"))).where(F.col("behavior") != "error")
+    counts = (
+        m.withWatermark("ts", DELAY)
+        .groupBy(F.window("ts", "5 hours", "1 hour"), "channel", "behavior")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.col("window.end").cast("timestamp_ntz").alias("window_end"), "channel", "behavior", "n")
+    )
+    run_available(counts.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append"), dirs["checkpoint"])
+    return spark.read.parquet(dirs["output"])
