@@ -460,3 +460,59 @@ def stream_marketing_by_channel(spark, d):
     )
     run_available(counts.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append"), dirs["checkpoint"])
     return spark.read.parquet(dirs["output"])
+
+
+STREAM_RECON_CTE = """
+o AS (SELECT o_orderkey AS order_id, o_orderdate AS order_ts FROM orders WHERE o_orderstatus <> 'P'),
+p AS (SELECT l_orderkey AS order_id, l_shipdate AS pay_ts FROM lineitem WHERE l_linestatus = 'F'),
+wm AS (SELECT least((SELECT max(order_ts) FROM o), (SELECT max(pay_ts) FROM p)) - INTERVAL 1 DAY AS w)
+"""
+
+
+@query(
+    "stream_order_reconcile",
+    f"""
+WITH {STREAM_RECON_CTE}
+SELECT 'matched' AS tag, o.order_id, o.order_ts, p.pay_ts
+FROM o JOIN p ON o.order_id = p.order_id AND p.pay_ts BETWEEN o.order_ts AND o.order_ts + INTERVAL 90 DAY
+UNION ALL
+SELECT 'left_only' AS tag, order_id, order_ts, NULL AS pay_ts FROM o
+WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.order_id = o.order_id
+                  AND p.pay_ts BETWEEN o.order_ts AND o.order_ts + INTERVAL 90 DAY)
+  AND o.order_ts + INTERVAL 90 DAY < (SELECT w FROM wm)
+UNION ALL
+SELECT 'right_only' AS tag, order_id, NULL AS order_ts, pay_ts FROM p
+WHERE NOT EXISTS (SELECT 1 FROM o WHERE p.order_id = o.order_id
+                  AND p.pay_ts BETWEEN o.order_ts AND o.order_ts + INTERVAL 90 DAY)
+  AND p.pay_ts < (SELECT w FROM wm)
+""",
+)
+def stream_order_reconcile(spark, d):
+    """Order/receipt reconciliation between two streams: full outer
+    stream-stream join on the order with receipts due within 90 days of the
+    order; matched pairs at once, orders without a receipt and receipts
+    without an order once the watermark (min of both inputs, 1 day delay)
+    rules out a partner."""
+    dirs = new_stream_dirs(spark, "reconcile")
+    o = to_event_time(
+        table_stream(spark, d, "orders").where(F.col("o_orderstatus") != "P").select(
+            F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").alias("order_ts")),
+        "order_ts",
+    ).withWatermark("order_ts", "1 day")
+    p = to_event_time(
+        table_stream(spark, d, "lineitem").where(F.col("l_linestatus") == "F").select(
+            F.col("l_orderkey").alias("pay_order"), F.col("l_shipdate").alias("pay_ts")),
+        "pay_ts",
+    ).withWatermark("pay_ts", "1 day")
+    cond = F.expr("order_id = pay_order AND pay_ts >= order_ts AND pay_ts <= order_ts + INTERVAL 90 DAYS")
+    j = o.join(p, cond, "full_outer").select(
+        F.when(F.col("order_id").isNotNull() & F.col("pay_order").isNotNull(), "matched")
+        .when(F.col("pay_order").isNull(), "left_only")
+        .otherwise("right_only")
+        .alias("tag"),
+        F.coalesce("order_id", "pay_order").alias("order_id"),
+        F.col("order_ts").cast("timestamp_ntz").alias("order_ts"),
+        F.col("pay_ts").cast("timestamp_ntz").alias("pay_ts"),
+    )
+    run_available(j.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append"), dirs["checkpoint"])
+    return spark.read.parquet(dirs["output"])
