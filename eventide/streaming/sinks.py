@@ -23,15 +23,24 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def upsert_windows(batch: DataFrame, path: str, window_col: str = "window_end", part_col: str = "window_day") -> None:
-    """Replace all rows of the windows present in ``batch``."""
+def upsert_windows(
+    batch: DataFrame,
+    path: str,
+    window_col: str = "window_end",
+    part_col: str = "window_day",
+    row_keys: list[str] | None = None,
+) -> None:
+    """Replace all rows of the windows present in ``batch`` (default).  With
+    ``row_keys`` only rows with the same key are replaced - the reference's
+    update-else-insert by (item, window end), which keeps rank rows that
+    left a window's top-N; kept as an option for that behaviour."""
     spark = batch.sparkSession
     new = batch.withColumn(part_col, F.to_date(F.col(window_col)))
     old = _read_or_none(spark, path)
     if old is not None:
         touched_days = new.select(part_col).distinct()
-        touched_windows = new.select(window_col).distinct()
-        keep = old.join(touched_days, part_col, "left_semi").join(touched_windows, window_col, "left_anti")
+        replaced = new.select(*(row_keys or [window_col])).distinct()
+        keep = old.join(touched_days, part_col, "left_semi").join(replaced, row_keys or [window_col], "left_anti")
         # the merged rows are written over the partitions they were read from:
         # cut the lineage through the shared checkpoint folder first
         new = keep.unionByName(new).checkpoint(eager=True)

@@ -40,3 +40,22 @@ def test_replayed_batch_overwrites_its_output(spark):
     res = spark.read.parquet(out)
     assert res.count() == 2 * batch.count()
     assert res.where("batch_id = 1 AND tag = 'late'").count() > 0  # batch 1 sees batch 0's watermark
+
+
+def test_window_upsert_replaces_ranks_and_row_upsert_keeps_stale_ones(spark):
+    import datetime as dt
+
+    from eventide.streaming.sinks import read_upserted, upsert_windows
+
+    w = dt.datetime(2024, 1, 1, 1)
+    schema = "item_id long, cnt long, window_end timestamp_ntz, row_num long"
+    first = spark.createDataFrame([(1, 5, w, 1), (2, 4, w, 2)], schema)
+    second = spark.createDataFrame([(3, 9, w, 1), (1, 6, w, 2)], schema)  # item 2 left the top-2
+    by_window, by_row = scratch_path(spark, "t-upw"), scratch_path(spark, "t-upr")
+    for b in (first, second, second):  # the last write is a replay
+        upsert_windows(b, by_window)
+        upsert_windows(b, by_row, row_keys=["item_id", "window_end"])
+    got_w = sorted((r.item_id, r.row_num) for r in read_upserted(spark, by_window).collect())
+    got_r = sorted((r.item_id, r.row_num) for r in read_upserted(spark, by_row).collect())
+    assert got_w == [(1, 2), (3, 1)]
+    assert got_r == [(1, 2), (2, 2), (3, 1)]  # stale rank row of item 2 stays
