@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -78,15 +79,18 @@ def state_kinds(df: DataFrame, clear_on: str = "signup", keep_last: int = 3) ->
             cmap = dict((kv.split(":")[0], int(kv.split(":")[1])) for kv in counts.split(",")) if counts else {}
         else:
             seen, n, last_l, cmap, max_ts, min_v = 0, 0, [], {}, None, None
-        for t, ts, v in zip(rows["event_type"], rows["ts"], rows["value"]):
-            if t == clear_on:
-                n, last_l, cmap, max_ts, min_v = 0, [], {}, None, None
-            seen += 1
-            n += 1
-            last_l = (last_l + [t])[-keep_last:]
-            cmap[t] = cmap.get(t, 0) + 1
-            max_ts = ts if max_ts is None or ts > max_ts else max_ts
-            min_v = v if min_v is None or v < min_v else min_v
+        seen += len(rows)
+        clears = (rows["event_type"] == clear_on).to_numpy().nonzero()[0]
+        if len(clears):  # the last clear in the batch resets every state
+            rows = rows.iloc[clears[-1]:]
+            n, last_l, cmap, max_ts, min_v = 0, [], {}, None, None
+        n += len(rows)
+        last_l = (last_l + list(rows["event_type"]))[-keep_last:]
+        for t, c in rows["event_type"].value_counts().items():
+            cmap[t] = cmap.get(t, 0) + int(c)
+        b_max, b_min = rows["ts"].max(), float(rows["value"].min())
+        max_ts = b_max if max_ts is None or b_max > max_ts else max_ts
+        min_v = b_min if min_v is None or b_min < min_v else min_v
         counts = ",".join(f"{k}:{cmap[k]}" for k in sorted(cmap))
         snap = (int(seen), int(n), ",".join(last_l), counts, max_ts, float(min_v))
         state.update(snap)
@@ -181,9 +185,15 @@ def sequence_matches(df: DataFrame, step_col: str, steps: list[str], within_s: i
         types += list(rows[step_col])
         uss += [int(x) for x in rows["ts"].to_numpy().astype("datetime64[us]").astype("int64")]
         out = []
-        for end in range(n - 1, len(ids)):
-            start = end - n + 1
-            if types[start : end + 1] == steps and uss[end] - uss[start] < within_us:
+        if len(ids) >= n:
+            t_arr = np.asarray(types, dtype=object)
+            ok = np.ones(len(ids) - n + 1, dtype=bool)
+            for j, st in enumerate(steps):  # step j must hold at offset j
+                ok &= t_arr[j : len(ids) - n + 1 + j] == st
+            u = np.asarray(uss, dtype=np.int64)
+            ok &= (u[n - 1 :] - u[: len(ids) - n + 1]) < within_us
+            for start in ok.nonzero()[0]:
+                end = start + n - 1
                 out.append([int(key[0])] + ids[start : end + 1] + [uss[start], uss[end]])
         keep = n - 1
         tail = (ids[-keep:], types[-keep:], uss[-keep:]) if keep else ([], [], [])
@@ -225,16 +235,23 @@ def two_step_with_timeout(df: DataFrame, step_col: str, first: str, second: str,
             rows = _rows(pdfs)
             pid, pus = state.get if state.exists else (None, None)
             if not rows.empty:
-                ts_us = rows["ts"].to_numpy().astype("datetime64[us]").astype("int64")
-                for eid, t, us in zip(rows["event_id"], rows[step_col], ts_us):
-                    if pid is not None:
-                        if us - pus >= limit_us:
-                            out.append((k, pid, "timeout"))
-                        elif t == second:
-                            out.append((k, pid, "matched"))
-                        pid, pus = None, None
-                    if t == first:
-                        pid, pus = int(eid), int(us)
+                ids = rows["event_id"].to_numpy().astype("int64")
+                types = rows[step_col].to_numpy(dtype=object)
+                us = rows["ts"].to_numpy().astype("datetime64[us]").astype("int64")
+                if pid is not None:  # the pending first step from earlier batches
+                    ids = np.concatenate([[pid], ids])
+                    types = np.concatenate([[first], types])
+                    us = np.concatenate([[pus], us])
+                # a first step is decided by the key's very next event
+                starts = (types[:-1] == first).nonzero()[0]
+                late = (us[starts + 1] - us[starts]) >= limit_us
+                hit = ~late & (types[starts + 1] == second)
+                out += [(k, int(i), "timeout") for i in ids[starts[late]]]
+                out += [(k, int(i), "matched") for i in ids[starts[hit]]]
+                if types[-1] == first:
+                    pid, pus = int(ids[-1]), int(us[-1])
+                else:
+                    pid, pus = None, None
             if pid is None:
                 state.remove()
             else:
