@@ -28,6 +28,7 @@ from eventide.streaming.sinks import (
 from eventide.streaming.sources import (
     dir_stream,
     new_stream_dirs,
+    run_in_slices,
     stage_slices,
     table_stream,
     time_quantiles,
@@ -91,12 +92,12 @@ def stream_restart_resume(spark, d):
     cut = time_quantiles(ev, "ts", 2) or [None]
     first = ev if cut[0] is None else ev.where(F.col("ts") < F.lit(cut[0]))
     stage_slices(first, dirs["input"], "ts", [], 0)
-    src = dir_stream(spark, f"{dirs['input']}/slice-*", ev.schema, max_files=1)
+    src = dir_stream(spark, f"{dirs['input']}/slice-*", ev.schema, max_files=None)
     writer = _tumbling_stream(src).writeStream.format("parquet").option("path", dirs["output"]).outputMode("append")
     run_available(writer, dirs["checkpoint"])
     second = ev.where(F.lit(False)) if cut[0] is None else ev.where(F.col("ts") >= F.lit(cut[0]))
     stage_slices(second, dirs["input"], "ts", [], 1)
-    src = dir_stream(spark, f"{dirs['input']}/slice-*", ev.schema, max_files=1)
+    src = dir_stream(spark, f"{dirs['input']}/slice-*", ev.schema, max_files=None)
     writer = _tumbling_stream(src).writeStream.format("parquet").option("path", dirs["output"]).outputMode("append")
     run_available(writer, dirs["checkpoint"])
     return spark.read.parquet(dirs["output"])
@@ -129,10 +130,18 @@ def stream_order_timeout(spark, d):
 
 
 def _staged_events(spark, d, name, slices=4):
+    """Events as a stream of ``slices`` event-time slices; returns the stream
+    directories, the streaming source and a runner that stages and drains one
+    slice per ``availableNow`` run (one micro-batch per slice)."""
     dirs = new_stream_dirs(spark, name)
     ev = load(spark, d, "events")
-    stage_slices(ev, dirs["input"], "ts", time_quantiles(ev, "ts", slices))
-    return dirs, dir_stream(spark, f"{dirs['input']}/slice-*", ev.schema, max_files=1)
+    bounds = time_quantiles(ev, "ts", slices)
+    src = dir_stream(spark, f"{dirs['input']}/slice-*", ev.schema, max_files=None)
+
+    def run(writer):
+        run_in_slices(ev, "ts", bounds, dirs["input"], lambda: run_available(writer, dirs["checkpoint"]))
+
+    return dirs, src, run
 
 
 @query(
@@ -146,9 +155,9 @@ WHERE abs(value - prev) > 50
 def stream_temp_jump(spark, d):
     """Jump alert with keyed value state across micro-batches (4 event-time
     slices, one per trigger)."""
-    dirs, src = _staged_events(spark, d, "temp-jump")
+    dirs, src, run_slices = _staged_events(spark, d, "temp-jump")
     alerts = jump_alerts(to_event_time(sensor_view(src)), 50.0)
-    run_available(alerts.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append"), dirs["checkpoint"])
+    run_slices(alerts.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append"))
     return spark.read.parquet(dirs["output"]).select("user_id", _ntz("ts"), "event_id", "last", "cur")
 
 
@@ -171,9 +180,9 @@ FROM agg JOIN l3 USING (user_id) JOIN tc USING (user_id)
 def stream_state_kinds(spark, d):
     """Value, list, map and reducing state per user, cleared by signup; the
     latest snapshot per user after the stream has drained."""
-    dirs, src = _staged_events(spark, d, "state-kinds")
+    dirs, src, run_slices = _staged_events(spark, d, "state-kinds")
     snaps = state_kinds(to_event_time(src))
-    run_available(snaps.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append"), dirs["checkpoint"])
+    run_slices(snaps.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append"))
     out = spark.read.parquet(dirs["output"])
     latest = out.groupBy("user_id").agg(F.max_by(F.struct(*[c for c in out.columns if c != "user_id"]), "seen").alias("s"))
     return latest.select(
@@ -336,10 +345,10 @@ def stream_login_fail(spark, d):
     """Login-failure timer on a stream (event-time timeouts in keyed state),
     over 4 event-time slices; timers the final watermark has passed have
     fired."""
-    dirs, src = _staged_events(spark, d, "login-fail")
+    dirs, src, run_slices = _staged_events(spark, d, "login-fail")
     logins = to_event_time(login_view(src)).withWatermark("ts", "0 seconds")
     alerts = login_fail_alerts(logins, 7 * 86400, 2)
-    run_available(alerts.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append"), dirs["checkpoint"])
+    run_slices(alerts.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append"))
     return spark.read.parquet(dirs["output"]).select("user_id", _ntz("first_fail"), "fails")
 
 
@@ -375,9 +384,9 @@ def stream_uv_sliding(spark, d):
 def stream_seq3_fail(spark, d):
     """Three consecutive errors within 7 days, matched on a stream of 4
     event-time slices (matches may span micro-batches)."""
-    dirs, src = _staged_events(spark, d, "seq3")
+    dirs, src, run_slices = _staged_events(spark, d, "seq3")
     matches = sequence_matches(to_event_time(src), "event_type", ["error"] * 3, 7 * 86400)
-    run_available(matches.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append"), dirs["checkpoint"])
+    run_slices(matches.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append"))
     out = spark.read.parquet(dirs["output"])
     return out.select("user_id", "event_id_1", "event_id_2", "event_id_3", _ntz("first_ts"), _ntz("last_ts"))
 
@@ -403,10 +412,10 @@ def stream_seq2(spark, d):
     """view -> next purchase within 1 day on a stream (4 event-time slices):
     matches, and timeouts either when a late next event arrives or when the
     watermark passes the deadline."""
-    dirs, src = _staged_events(spark, d, "seq2")
+    dirs, src, run_slices = _staged_events(spark, d, "seq2")
     ev = to_event_time(src).withWatermark("ts", "0 seconds")
     res = two_step_with_timeout(ev, "event_type", "view", "purchase", 86400)
-    run_available(res.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append"), dirs["checkpoint"])
+    run_slices(res.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append"))
     return spark.read.parquet(dirs["output"])
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from eventide.streaming.sources import stage_slices
+from eventide.streaming.sources import run_in_slices
 
 
 def _micros(ts: str):
@@ -84,17 +84,5 @@ def arrival_slices(df: DataFrame, arrival: str, trigger_days: int) -> list[dt.da
 
 
 def run_per_slice(df: DataFrame, arrival: str, trigger_days: int, input_path: str, run) -> None:
-    """Stage one arrival slice at a time and let ``run()`` drain it as one
-    micro-batch (same checkpoint each time): batch boundaries are exactly the
-    arrival slices."""
-    bounds = arrival_slices(df, arrival, trigger_days)
-    edges = [None, *bounds, None]
-    for i in range(len(edges) - 1):
-        lo, hi = edges[i], edges[i + 1]
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col(arrival) >= F.lit(lo))
-        if hi is not None:
-            cond = cond & (F.col(arrival) < F.lit(hi))
-        stage_slices(df.where(cond), input_path, arrival, [], i)
-        run()
+    """Micro-batches = epoch-aligned arrival slices of ``trigger_days``."""
+    run_in_slices(df, arrival, arrival_slices(df, arrival, trigger_days), input_path, run)

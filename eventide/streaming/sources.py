@@ -49,6 +49,23 @@ def stage_slices(df: DataFrame, path: str, ts: str, bounds: list, start_index: i
     return out
 
 
+def run_in_slices(df: DataFrame, ts: str, bounds: list, input_path: str, run) -> None:
+    """Stage one event-time slice [b_i, b_i+1) at a time under
+    ``input_path/slice-<i>`` and let ``run()`` drain it (``availableNow`` on
+    one checkpoint): every micro-batch is exactly one slice, however many
+    files the slice was written as."""
+    edges = [None, *bounds, None]
+    for i in range(len(edges) - 1):
+        lo, hi = edges[i], edges[i + 1]
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (F.col(ts) >= F.lit(lo))
+        if hi is not None:
+            cond = cond & (F.col(ts) < F.lit(hi))
+        stage_slices(df.where(cond), input_path, ts, [], i)
+        run()
+
+
 def time_quantiles(df: DataFrame, ts: str, n: int) -> list:
     """n-1 event-time cut points splitting ``df`` into n similar slices
     (approximate quantiles: one pass, bounded memory)."""

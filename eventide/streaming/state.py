@@ -142,6 +142,11 @@ def login_fail_alerts(df: DataFrame, limit_s: int, more_than: int = 2) -> DataFr
                             timer_us, pending = int(us) + limit_us, True
                     else:  # success
                         fails, timer_us, pending = 0, None, False
+            if pending and timer_us // 1000 < state.getCurrentWatermarkMs():
+                # the watermark already passed the timer (rows arrived late)
+                if fails > more_than:
+                    out.append((int(key[0]), timer_us - limit_us, fails))
+                fails, pending = 0, False
             state.update((timer_us, fails, pending))
             if pending:
                 state.setTimeoutTimestamp(timer_us // 1000)
@@ -252,6 +257,9 @@ def two_step_with_timeout(df: DataFrame, step_col: str, first: str, second: str,
                     pid, pus = int(ids[-1]), int(us[-1])
                 else:
                     pid, pus = None, None
+            if pid is not None and (pus + limit_us) // 1000 < state.getCurrentWatermarkMs():
+                out.append((k, pid, "timeout"))  # deadline already behind the watermark
+                pid = None
             if pid is None:
                 state.remove()
             else:

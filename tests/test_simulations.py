@@ -241,3 +241,72 @@ def test_late_split_matches_micro_batch_watermarks(spark, rows):
         mx = max(s_ for _, s_ in batches[b])
         wm = mx if wm is None else max(wm, mx)
     assert got == sorted(exp)
+
+
+STREAM_SETTINGS = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+
+
+@STREAM_SETTINGS
+@given(rows=events(["fail", "fail", "success"]).filter(lambda r: len(r) >= 3), limit=st.integers(1, 8))
+def test_stream_login_timer_matches_the_timer_program(spark, rows, limit):
+    from pyspark.sql import functions as F
+
+    from eventide.streaming.sinks import run_available
+    from eventide.streaming.sources import dir_stream, new_stream_dirs, run_in_slices, to_event_time
+    from eventide.streaming.state import login_fail_alerts
+
+    df = frame(spark, rows)
+    dirs = new_stream_dirs(spark, "t-login")
+    cuts = sorted({at(rows[len(rows) // 3][1]), at(rows[2 * len(rows) // 3][1])})
+    src = dir_stream(spark, f"{dirs['input']}/slice-*", df.schema, max_files=None)
+    alerts = login_fail_alerts(to_event_time(src).withWatermark("ts", "0 seconds"), limit, 2)
+    w = alerts.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append")
+    run_in_slices(df, "ts", cuts, dirs["input"], lambda: run_available(w, dirs["checkpoint"]))
+    try:
+        out = spark.read.parquet(dirs["output"]).select("user_id", F.col("first_fail").cast("timestamp_ntz").alias("f"), "fails")
+        got = sorted((r.user_id, int((r.f - T0).total_seconds()), r.fails) for r in out.collect())
+    except Exception:  # no output file when nothing fired
+        got = []
+    last = max(s for _, s, _ in rows)
+    exp = [a for a in simulate_login(rows, limit, 2) if a[1] + limit < last]
+    assert got == exp
+
+
+@STREAM_SETTINGS
+@given(rows=events(["create", "pay", "other"]).filter(lambda r: len(r) >= 3), limit=st.integers(1, 8))
+def test_stream_two_step_matches_brute_force(spark, rows, limit):
+    from pyspark.sql import functions as F
+
+    from eventide.streaming.sinks import run_available
+    from eventide.streaming.sources import dir_stream, new_stream_dirs, run_in_slices, to_event_time
+    from eventide.streaming.state import two_step_with_timeout
+
+    df = frame(spark, rows)
+    dirs = new_stream_dirs(spark, "t-seq2")
+    cuts = sorted({at(rows[len(rows) // 2][1])})
+    src = dir_stream(spark, f"{dirs['input']}/slice-*", df.schema, max_files=None)
+    res = two_step_with_timeout(to_event_time(src).withWatermark("ts", "0 seconds"), "event_type", "create", "pay", limit)
+    w = res.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append")
+    run_in_slices(df, "ts", cuts, dirs["input"], lambda: run_available(w, dirs["checkpoint"]))
+    try:
+        got = sorted((r.event_id, r.outcome) for r in spark.read.parquet(dirs["output"]).collect())
+    except Exception:
+        got = []
+    last = max(s for _, s, _ in rows)
+    by_key = {}
+    for i, (k, s_, t) in enumerate(rows):
+        by_key.setdefault(k, []).append((s_, i, t))
+    exp = []
+    for xs in by_key.values():
+        for j, (s_, i, t) in enumerate(xs):
+            if t != "create":
+                continue
+            nxt = xs[j + 1] if j + 1 < len(xs) else None
+            if nxt is None:
+                if s_ + limit < last:  # the final watermark passed the deadline
+                    exp.append((i, "timeout"))
+            elif nxt[0] >= s_ + limit:
+                exp.append((i, "timeout"))
+            elif nxt[2] == "pay":
+                exp.append((i, "matched"))
+    assert got == sorted(exp)
