@@ -23,7 +23,10 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | N
     return r.parquet(sf_dir)
 
 
-def dir_stream(spark: SparkSession, path: str, schema, max_files: int | None = 1) -> DataFrame:
+def dir_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
+    """File stream over ``path`` (a glob).  ``max_files`` bounds a micro-batch
+    by file count; files of one batch are not taken in time order, so with
+    event-time state prefer draining whole slices (``run_in_slices``)."""
     r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
@@ -32,8 +35,7 @@ def dir_stream(spark: SparkSession, path: str, schema, max_files: int | None = 1
 
 def stage_slices(df: DataFrame, path: str, ts: str, bounds: list, start_index: int = 0) -> list[str]:
     """Write ``df`` as consecutive event-time slices [b_i, b_i+1) into
-    ``path/part-<i>``, one write after another (file time order = event time
-    order).  Returns the slice paths."""
+    ``path/slice-<i>``.  Returns the slice paths."""
     out = []
     edges = [None, *bounds, None]
     for i in range(len(edges) - 1):
