@@ -130,17 +130,28 @@ def login_fail_alerts(df: DataFrame, limit_s: int, more_than: int = 2) -> DataFr
             rows = _rows(pdfs)
             timer_us, fails, pending = state.get if state.exists else (None, 0, False)
             if not rows.empty:
-                ts_us = rows["ts"].to_numpy().astype("datetime64[us]").astype("int64")
-                for t, us in zip(rows["event_type"], ts_us):
-                    if pending and us > timer_us:  # the timer fires first
-                        if fails > more_than:
-                            out.append((int(key[0]), timer_us - limit_us, fails))
-                        fails, pending = 0, False
-                    if t == "fail":
-                        fails += 1
+                ev = rows["event_type"].to_numpy(dtype=object)
+                us = rows["ts"].to_numpy().astype("datetime64[us]").astype("int64")
+                cuts = [-1, *np.flatnonzero(ev != "fail").tolist(), len(ev)]
+                # runs of fails between successes, each handled with one search
+                for lo, hi in zip(cuts[:-1], cuts[1:]):
+                    run = us[lo + 1 : hi]
+                    if len(run):
                         if timer_us is None:
-                            timer_us, pending = int(us) + limit_us, True
-                    else:  # success
+                            timer_us, pending = int(run[0]) + limit_us, True
+                        if pending:
+                            j = int(np.searchsorted(run, timer_us, side="right"))  # first fail after the timer
+                            if j < len(run):
+                                if fails + j > more_than:
+                                    out.append((int(key[0]), timer_us - limit_us, fails + j))
+                                fails, pending = len(run) - j, False
+                            else:
+                                fails += len(run)
+                        else:
+                            fails += len(run)
+                    if hi < len(ev):  # a success: the timer may fire first, then all is cleared
+                        if pending and us[hi] > timer_us and fails > more_than:
+                            out.append((int(key[0]), timer_us - limit_us, fails))
                         fails, timer_us, pending = 0, None, False
             if pending and timer_us // 1000 < state.getCurrentWatermarkMs():
                 # the watermark already passed the timer (rows arrived late)
