@@ -36,6 +36,7 @@ from eventide.llm.graph import components
 
 BITS = 64
 SEED = 42
+PROBE_COST = 20  # of a probe row, which is shuffled, in comparisons of a candidate
 SLICE = 1 << 16  # shingles hashed at a time
 
 
@@ -158,7 +159,7 @@ def allocate(equal: list[float], shares: list[np.ndarray], sizes: list[int], n:
             return 0.0
         grow = shares[i][: t + 1].sum() / max(shares[i][0], 1e-18)
         balls = sum(_choose(sizes[i], k) for k in range(t + 1))
-        return n * balls + min(equal[i] * grow, float(n) * n)
+        return PROBE_COST * n * balls + min(equal[i] * grow, float(n) * n)
 
     best = {0: (0.0, [])}
     for i in range(len(equal)):
