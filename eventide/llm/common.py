@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import gc
 import sys
+import time
 from collections.abc import Callable
 from types import ModuleType
 
@@ -34,8 +35,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Let the driver forget finished plans, so that Spark's cleaner deletes
     the shuffle files of steps whose results are already staged."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the cleaner works behind the collector
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def words(text: Column) -> Column:

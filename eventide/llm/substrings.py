@@ -233,29 +233,43 @@ def _locate(table):
     return pa.table([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["uid", "a", "b", "doc_id", "window"])
 
 
+def _recurring(docs: DataFrame, shard_rows: int) -> DataFrame:
+    """(h, n, salts) of the anchors of more than one document."""
+    anchors = _anchors(docs).groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n"))
+    salts = F.ceil(F.col("n") / shard_rows).cast("int").alias("salts")
+    return staged(anchors.where("lo < hi").select("h", "n", salts), "substrings-anchors")
+
+
+def _spans(docs: DataFrame, recurring: DataFrame) -> DataFrame:
+    """(uid, spans): the stretches of each row that have a recurring anchor."""
+    rows = _stretches(docs).join(recurring.select("h", "salts"), "h")
+    return staged(rows.groupBy("uid").agg(F.collect_set(F.struct("first", "last", "h", "salts")).alias("spans")), "substrings-spans")
+
+
+def _found(docs: DataFrame, spans: DataFrame, shards: int) -> DataFrame:
+    cut = _cut_out(docs.join(spans, "uid"), shards)
+    return staged(cut.groupBy("shard").applyInArrow(_locate, "uid bigint, a int, b int, doc_id bigint, window string"), "substrings-found")
+
+
 def removals(docs: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(uid, ranges): ranges (a, b) of windows of a row that occur in an
     earlier document.  ``docs``: (doc_id, uid, text) without nulls."""
     spark = docs.sparkSession
-    anchors = _anchors(docs).groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n"))
-    salts = F.ceil(F.col("n") / shard_rows).cast("int").alias("salts")
-    recurring = staged(anchors.where("lo < hi").select("h", "n", salts), "substrings-anchors")
+    recurring = _recurring(docs, shard_rows)
     release(spark)
     rows = recurring.agg(F.sum("n")).first()[0] or 0
     shards = max(1, -(-rows // shard_rows))
-    spans = _stretches(docs).join(recurring.select("h", "salts"), "h")
-    spans = staged(spans.groupBy("uid").agg(F.collect_set(F.struct("first", "last", "h", "salts")).alias("spans")), "substrings-spans")
+    spans = _spans(docs, recurring)
     release(spark)
-    cut = _cut_out(docs.dropDuplicates(["uid"]).join(spans, "uid"), shards)
-    found = staged(
-        cut.groupBy("shard").applyInArrow(_locate, "uid bigint, a int, b int, doc_id bigint, window string"), "substrings-found"
-    )
+    found = _found(docs, spans, shards)
     release(spark)
     hot = found.where("window is not null")
     least = hot.groupBy("window").agg(F.min("doc_id").alias("least"))
     across = hot.join(least, "window").where("doc_id > least").select("uid", "a", "b")
     every = found.where("window is null").select("uid", "a", "b").union(across)
-    return staged(every.groupBy("uid").agg(F.collect_set(F.struct("a", "b")).alias("ranges")), "substrings-ranges")
+    ranges = staged(every.groupBy("uid").agg(F.collect_set(F.struct("a", "b")).alias("ranges")), "substrings-ranges")
+    release(spark)
+    return ranges
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
