@@ -147,7 +147,8 @@ def _stretches(docs: DataFrame) -> DataFrame:
 
 
 def _cut_out(docs: DataFrame, shards: int) -> DataFrame:
-    """(shard, salted, doc_id, uid, first, words): the stretches' text."""
+    """(shard, salted, doc_id, uid, firsts, words): the stretches' text; equal
+    stretches of a row are one, with all their places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -156,21 +157,21 @@ def _cut_out(docs: DataFrame, shards: int) -> DataFrame:
                 part = b.slice(k, 64)
                 for doc_id, uid, text, spans in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     words = text.encode().split()
+                    places: dict[tuple, list[int]] = {}
                     for s in spans:
-                        many = s["salts"]
-                        row = (
-                            (s["h"] % shards) + shards * (uid % many), many > 1, doc_id, uid, s["first"],
-                            b" ".join(words[s["first"] : s["last"] + WINDOW]).decode(),
-                        )
+                        own = b" ".join(words[s["first"] : s["last"] + WINDOW])
+                        places.setdefault((s["h"], s["salts"], own), []).append(s["first"])
+                    for (h, salts, own), firsts in places.items():
+                        row = ((h % shards) + shards * (uid % salts), salts > 1, doc_id, uid, firsts, own.decode())
                         for c, v in zip(out, row, strict=True):
                             c.append(v)
-                kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.string())
+                kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["shard", "salted", "doc_id", "uid", "first", "words"]
+                    [pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["shard", "salted", "doc_id", "uid", "firsts", "words"]
                 )
 
     return docs.select("doc_id", "uid", "text", "spans").mapInArrow(
-        run, "shard bigint, salted boolean, doc_id bigint, uid bigint, first int, words string"
+        run, "shard bigint, salted boolean, doc_id bigint, uid bigint, firsts array<int>, words string"
     )
 
 
@@ -181,54 +182,65 @@ def _symbol(k: int) -> str:
 
 def _locate(table):
     """One shard: ranges of windows (a to b) that occur in an earlier document,
-    and, of salted anchors, the windows of the first documents."""
+    and, of salted anchors, the windows of the first documents.  Copies of a
+    stretch are read once."""
     import ahocorasick
 
-    table = table.sort_by([("doc_id", "ascending")])
-    salted, ids, uids, firsts, texts = (table.column(c).to_pylist() for c in ("salted", "doc_id", "uid", "first", "words"))
+    encoded = table.column("words").combine_chunks().dictionary_encode()
+    which, texts = encoded.indices.to_numpy(), encoded.dictionary.to_pylist()
+    ids = table.column("doc_id").to_numpy()
+    least = np.full(len(texts), NO_ID)
+    most = np.full(len(texts), -NO_ID)
+    np.minimum.at(least, which, ids)
+    np.maximum.at(most, which, ids)
     symbols: dict[str, str] = {}
     lines = []
     for t in texts:
-        for w in (own := t.split(" ")):
+        own = t.split(" ")
+        for w in own:
             if w not in symbols:
                 symbols[w] = _symbol(len(symbols))
         lines.append("".join([symbols[w] for w in own]))
     first_doc: dict[str, int] = {}
     again = set()
-    for line, d in zip(lines, ids, strict=True):
+    for k in np.argsort(least, kind="stable").tolist():
+        line, low, high = lines[k], int(least[k]), int(most[k])
         for i in range(len(line) - WINDOW + 1):
             w = line[i : i + WINDOW]
-            if first_doc.setdefault(w, d) != d:
+            if first_doc.setdefault(w, low) != high:
                 again.add(w)
     machine = ahocorasick.Automaton()
     for w in again:
         machine.add_word(w, first_doc[w])
+    hits: list[list[tuple[int, int]]] = [[] for _ in texts]
+    if again:
+        machine.make_automaton()
+        hits = [[(end - WINDOW + 1, earliest) for end, earliest in machine.iter(line)] for line in lines]
+    del machine
     out: list[list] = [[], [], [], [], []]
 
     def put(*row) -> None:
         for c, v in zip(out, row, strict=True):
             c.append(v)
 
-    if again:
-        machine.make_automaton()
-    for line, text, d, uid, at, hot in zip(lines, texts, ids, uids, firsts, salted, strict=True):
-        run = None
-        for end, earliest in machine.iter(line) if again else ():
+    columns = (table.column(c).to_pylist() for c in ("salted", "uid", "firsts"))
+    for k, d, hot, uid, firsts in zip(which.tolist(), ids.tolist(), *columns, strict=True):
+        runs: list[list[int]] = []
+        for i, earliest in hits[k]:
             if earliest < d:
-                k = at + end - WINDOW + 1
-                if run and k == run[1] + 1:
-                    run[1] = k
+                if runs and i == runs[-1][1] + 1:
+                    runs[-1][1] = i
                 else:
-                    if run:
-                        put(uid, *run, None, None)
-                    run = [k, k]
-        if run:
-            put(uid, *run, None, None)
+                    runs.append([i, i])
+        for at in firsts:
+            for x, y in runs:
+                put(uid, at + x, at + y, None, None)
         if hot:
-            words = text.split(" ")
+            words, line = texts[k].split(" "), lines[k]
             for i in range(len(line) - WINDOW + 1):
                 if first_doc[line[i : i + WINDOW]] == d:
-                    put(uid, at + i, at + i, d, " ".join(words[i : i + WINDOW]))
+                    for at in firsts:
+                        put(uid, at + i, at + i, d, " ".join(words[i : i + WINDOW]))
     kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string())
     return pa.table([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["uid", "a", "b", "doc_id", "window"])
 
