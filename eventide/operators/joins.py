@@ -69,7 +69,7 @@ def gated_forward(
     )
     last_gate = F.last("_gate", ignorenulls=True).over(w)
     out = both.withColumn("_lg", last_gate).where(
-        (F.col("_is_gate") == 0) & F.col("_lg").isNotNull() & (F.col(ts) < F.col("_lg") + interval(duration))
+        F.col(key).isNotNull() & (F.col("_is_gate") == 0) & F.col("_lg").isNotNull() & (F.col(ts) < F.col("_lg") + interval(duration))
     )
     return out.drop("_b", "_gate", "_lg", "_is_gate")
 
@@ -77,16 +77,13 @@ def gated_forward(
 def timed_out(
     starts: DataFrame, follow: DataFrame, key: str, start_ts: str, follow_ts: str, limit: str
 ) -> DataFrame:
-    """Start rows with no follow-up row of the same key in
-    [start, start + limit] (both ends inclusive).  ``follow`` should be
-    distinct on (key, time) so a hot key is collapsed before the join."""
-    f = follow.select(F.col(key).alias("_fk"), F.col(follow_ts).alias("_ft"))
-    cond = (
-        (F.col(key) == F.col("_fk"))
-        & (F.col("_ft") >= F.col(start_ts))
-        & (F.col("_ft") <= F.col(start_ts) + interval(limit))
-    )
-    return starts.join(f, cond, "left_anti")
+    """Start rows whose key has no follow-up row at or before start + limit.
+    A follow-up that is earlier than the start counts as well: the start then
+    finds its key settled and arms no timer.  Only a key's first follow-up
+    matters, so the follow-ups of a hot key are combined before the shuffle."""
+    first = follow.groupBy(F.col(key).alias("_fk")).agg(F.min(follow_ts).alias("_ft"))
+    cond = (F.col(key) == F.col("_fk")) & (F.col("_ft") <= F.col(start_ts) + interval(limit))
+    return starts.join(first, cond, "left_anti")
 
 
 def self_left_join_count(df: DataFrame, a: str, b: str, ways: int = 3, name: str = "cnt") -> DataFrame:

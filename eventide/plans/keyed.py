@@ -116,7 +116,7 @@ def reduce_max_ts_min_temp(spark, d):
 )
 def running_count(spark, d):
     """Running record counter per bucket of 1000 ids (no global sort)."""
-    w = Window.partitionBy(F.floor(F.col("event_id") / 1000)).orderBy("event_id")
+    w = Window.partitionBy(F.expr("event_id div 1000")).orderBy("event_id")
     return _events(spark, d).select("event_id", F.row_number().over(w).cast("bigint").alias("n"))
 
 

@@ -30,7 +30,9 @@ def _max_before(spark: SparkSession, state_path: str, batch_id: int):
     for path, cond in ((f"{state_path}/batch={batch_id - 1}", None), (state_path, F.col("batch_id") < batch_id)):
         try:
             df = spark.read.parquet(path)
-        except AnalysisException:
+        except AnalysisException as ex:
+            if ex.getCondition() != "PATH_NOT_FOUND":
+                raise
             continue
         if cond is not None:
             df = df.where(cond)

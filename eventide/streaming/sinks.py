@@ -19,7 +19,9 @@ from pyspark.sql.utils import AnalysisException
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as ex:
+        if ex.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -76,13 +78,17 @@ def read_json_docs(spark: SparkSession, path: str, schema: str, field: str = "do
 
 def run_available(writer, checkpoint: str, timeout_s: float | None = None):
     """Start a stream writer with ``availableNow`` on a checkpoint, wait for it
-    to drain its input, stop.  Re-running on the same checkpoint resumes."""
+    to drain its input, stop.  Re-running on the same checkpoint resumes.  A
+    query that has not drained within ``timeout_s`` is stopped and an error."""
     q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination(timeout_s)
-    if q.isActive:
+    drained = not q.isActive
+    if not drained:
         q.stop()
     if q.exception() is not None:
         raise q.exception()
+    if not drained:
+        raise TimeoutError(f"the stream had not drained its input after {timeout_s} s")
     return q
 
 

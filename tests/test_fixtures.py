@@ -123,6 +123,12 @@ def test_order_timeout_timer_and_sequence(spark):
     assert rows(seq, "order_id", "outcome") == [(1, "timeout"), (2, "matched")]
 
 
+def test_payment_before_the_order(spark):
+    ev = _orders(spark, [(1, "pay", t(0), 0), (1, "create", t(3), 1), (2, "create", t(3), 2)])
+    creates, pays = ev.where("event_type = 'create'"), ev.where("event_type = 'pay'")
+    assert rows(timed_out(creates, pays, "order_id", "ts", "ts", "1 seconds"), "order_id") == [(2,)]
+
+
 def test_payment_exactly_at_limit(spark):
     ev = _orders(spark, [(1, "create", t(0), 0), (1, "pay", t(5), 1)])
     creates, pays = ev.where("event_type = 'create'"), ev.where("event_type = 'pay'")
