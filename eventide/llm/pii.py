@@ -49,6 +49,7 @@ TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 ROUNDS = 3
 MIN_SEEDS = 3  # known values that a pattern must extract
 CONFIDENT = 0.8
+REACH = 200  # characters around a base span in which its neighbouring words are looked for
 MIN_PATTERNS = 2  # confident patterns that must extract a new value
 
 
@@ -131,6 +132,18 @@ def span_string(spans: Column) -> Column:
     )
 
 
+LAST_WORDS = r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)[\x20\x09-\x0D]+$"
+NEXT_WORDS = r"^[\x20\x09-\x0D]+([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)"
+
+
+def _before(rest: Column) -> Column:
+    return F.lower(F.regexp_extract(rest, LAST_WORDS, 1)).alias("before")
+
+
+def _after(rest: Column) -> Column:
+    return F.lower(F.regexp_extract(rest, NEXT_WORDS, 1)).alias("after")
+
+
 def _contexts(text: Column) -> Column:
     """Array of identifier-like tokens with the two words before and after."""
     text = F.coalesce(text, F.lit(""))
@@ -140,11 +153,7 @@ def _contexts(text: Column) -> Column:
         return F.transform(
             found,
             lambda m, i: F.struct(
-                m["start"].alias("start"),
-                m["end"].alias("end"),
-                m["value"].alias("value"),
-                F.lower(F.regexp_extract(F.get(g, i), r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)[\x20\x09-\x0D]+$", 1)).alias("before"),
-                F.lower(F.regexp_extract(F.get(g, i + 1), r"^[\x20\x09-\x0D]+([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)", 1)).alias("after"),
+                m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value"), _before(F.get(g, i)), _after(F.get(g, i + 1))
             ),
         )
 
@@ -152,6 +161,22 @@ def _contexts(text: Column) -> Column:
     return let(_matches(text, TOKEN), lambda m: F.when(F.size(m) > 0, let(gaps, lambda g: around(m, g))).otherwise(empty))
 
 
+def _seeds(text: Column, base: Column) -> Column:
+    """The base spans with the two words before and after."""
+    text = F.coalesce(text, F.lit(""))
+    return F.transform(
+        base,
+        lambda s: F.struct(
+            s["start"].alias("start"),
+            s["end"].alias("end"),
+            s["value"].alias("value"),
+            _before(let(F.greatest(s["start"] - REACH, F.lit(0)), lambda a: F.substring(text, a + 1, s["start"] - a))),
+            _after(F.substring(text, s["end"] + 1, F.lit(REACH))),
+            s["kind"].alias("seed"),
+        ),
+    )
+
+
 def _trimmed(value: Column) -> Column:
     return F.regexp_replace(value, r"^[^A-Za-z0-9@+(]+|[^A-Za-z0-9)]+$", "")
 
@@ -170,14 +195,13 @@ def suits(kind: Column, value: Column) -> Column:
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, base) for each row of ``docs``: key identifies doc_id and
-    text, base is the array of base spans; and its identifier-like tokens."""
+    """(doc_id, key, base, seeds, tokens) for each row of ``docs``: key
+    identifies doc_id and text, base is the array of base spans, seeds the same
+    with their contexts, tokens the identifier-like tokens with theirs."""
+    both = let(base_spans(F.col("text")), lambda b: F.struct(b.alias("base"), _seeds(F.col("text"), b).alias("seeds")))
     return docs.select(
-        "doc_id",
-        F.xxhash64("doc_id", "text").alias("key"),
-        base_spans(F.col("text")).alias("base"),
-        _contexts(F.col("text")).alias("tokens"),
-    )
+        "doc_id", F.xxhash64("doc_id", "text").alias("key"), both.alias("x"), _contexts(F.col("text")).alias("tokens")
+    ).select("doc_id", "key", "x.base", "x.seeds", "tokens")
 
 
 def bootstrap(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -193,9 +217,11 @@ def bootstrap(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         F.col("t.after").alias("after"),
     ).where(F.length("value") >= 4)
     cut = cut.withColumn("end", F.col("start") + F.length("value"))
-    # the base span that covers the token, if any, tells the seed's kind
+    # base spans are the seeds, other tokens what may be found
     over = F.filter("base", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
-    cut = cut.withColumn("seed", F.get(over, F.lit(0))["kind"]).drop("base")
+    cut = cut.where(F.size(over) == 0).withColumn("seed", F.lit(None).cast("int"))
+    seeds = found.select("key", F.explode("seeds").alias("t")).select("key", "t.value", "t.start", "t.before", "t.after", "t.end", "t.seed")
+    cut = cut.drop("base").unionByName(seeds)
     sides = F.array(
         F.struct(F.lit("<").alias("side"), F.col("before").alias("words")),
         F.struct(F.lit(">").alias("side"), F.col("after").alias("words")),
