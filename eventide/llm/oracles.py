@@ -1,3 +1,40 @@
 """DuckDB SQL of the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+SUBSTRINGS = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS t
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+earliest AS (SELECT t, min(doc_id) AS m FROM win GROUP BY t),
+gone AS (SELECT DISTINCT doc_id, p FROM (
+           SELECT win.doc_id, unnest(range(i, i + 13)) AS p FROM win JOIN earliest USING (t) WHERE m < win.doc_id)),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d)
+SELECT d.doc_id, CAST(count(word.p) AS BIGINT) AS n_words, CAST(count(gone.p) AS BIGINT) AS n_removed,
+       sha256(coalesce(string_agg(x, ' ' ORDER BY word.p) FILTER (WHERE gone.p IS NULL), '')) AS kept_sha256
+FROM d LEFT JOIN word ON d.doc_id = word.doc_id LEFT JOIN gone ON word.doc_id = gone.doc_id AND word.p = gone.p
+GROUP BY d.doc_id
+"""
+
+_FOLDED = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+DECONTAMINATION = f"""
+WITH d AS (SELECT doc_id, {_FOLDED} AS w FROM documents),
+b AS (SELECT item_id, {_FOLDED} AS w FROM benchmark),
+pat AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS t
+        FROM (SELECT item_id, w, least(len(w), 10) AS k, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+size AS (SELECT DISTINCT k FROM pat),
+win AS (SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS t
+        FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, size WHERE len(w) >= k)),
+hit AS (SELECT win.doc_id, win.i, win.k, pat.item_id FROM win JOIN pat ON win.k = pat.k AND win.t = pat.t),
+word AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hit) GROUP BY doc_id),
+item AS (SELECT doc_id, count(*) AS n, string_agg(s, ',' ORDER BY s) AS l
+         FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(word.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(item.n, 0) AS BIGINT) AS n_items, sha256(coalesce(item.l, '')) AS items_sha256,
+       coalesce(word.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN word USING (doc_id) LEFT JOIN item USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op6_decontamination": DECONTAMINATION, "op9_substring_dedup": SUBSTRINGS}
