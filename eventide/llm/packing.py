@@ -28,7 +28,7 @@ from eventide.llm.common import kept_by_process, staged
 CAPACITY = 2048
 END_ID = 0
 SHARD_PIECES = 1 << 15
-MEMO_WORDS = 400_000  # words whose ids a task remembers
+MEMO_WORDS = 1_000_000  # words whose ids a task remembers
 GROUP = 256  # texts whose unknown words are encoded together
 
 
