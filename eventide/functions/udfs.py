@@ -54,20 +54,19 @@ class AggregateFunction:
 
 
 def average_aggregate(keys: Sequence[str], value: str) -> AggregateFunction:
-    """(sum, count) accumulator; result = sum / count.  Values carry two
-    decimals, so the sum is kept in exact integer cents."""
+    """(sum, count) accumulator over the values that are not null; result =
+    sum / count, null where a group has none."""
     keys = list(keys)
 
     def add(b: pd.DataFrame) -> pd.DataFrame:
-        b = b.assign(_cents=(b[value] * 100.0).round().astype("int64"))
-        out = b.groupby(keys, sort=False, dropna=False)["_cents"].agg(["sum", "count"]).reset_index()
-        return out.rename(columns={"sum": "acc_cents", "count": "acc_n"})
+        out = b.groupby(keys, sort=False, dropna=False)[value].agg(["sum", "count"]).reset_index()
+        return out.rename(columns={"sum": "acc_sum", "count": "acc_n"})
 
     return AggregateFunction(
-        acc_schema="acc_cents long, acc_n long",
+        acc_schema="acc_sum double, acc_n long",
         add=add,
-        merge={"acc_cents": F.sum, "acc_n": F.sum},
-        result=lambda: F.col("acc_cents").cast("double") / F.lit(100.0) / F.col("acc_n"),
+        merge={"acc_sum": F.sum, "acc_n": F.sum},
+        result=lambda: F.when(F.col("acc_n") > 0, F.col("acc_sum") / F.col("acc_n")),
     )
 
 

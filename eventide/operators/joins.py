@@ -90,15 +90,18 @@ def self_left_join_count(df: DataFrame, a: str, b: str, ways: int = 3, name: str
     """``SELECT t1.a, t2.b, count(t1.a) FROM t t1 LEFT JOIN t t2 ON (a, b)
     [LEFT JOIN t t3 ON (a, b) ...] GROUP BY t1.a, t2.b`` without materialising
     the m**ways joined rows: a group of m rows with both keys set yields m**ways
-    rows, a row with a null key joins nothing and keeps one row with t2.b null."""
+    rows, a row with a null key joins nothing and keeps one row with t2.b null.
+    The count is ``decimal(38, 0)``: m**3 leaves the range of a bigint at about
+    two million rows a group."""
     per = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("_m"), F.count(a).alias("_ma"))
     matched = F.col(a).isNotNull() & F.col(b).isNotNull()
-    m = F.col("_m")
+    wide = "decimal(38,0)"
+    m = F.col("_m").cast(wide)
     power = m
     for _ in range(ways - 1):
-        power = power * m
+        power = (power * m).cast(wide)
     return per.select(
         a,
         F.when(matched, F.col(b)).alias(b),
-        F.when(matched, power).otherwise(F.col("_ma")).alias("_c"),
-    ).groupBy(a, b).agg(F.sum("_c").alias(name))
+        F.when(matched, power).otherwise(F.col("_ma").cast(wide)).alias("_c"),
+    ).groupBy(a, b).agg(F.sum("_c").cast(wide).alias(name))

@@ -214,6 +214,14 @@ def keyed_prefixes(
     return res if keep_bucket else drop_key_surrogates(res.drop(_B))
 
 
+def keyed_positions(
+    df: DataFrame, key: str | Sequence[str], order: Sequence[str], out: str, bucket: str = DEFAULT_BUCKET
+) -> DataFrame:
+    """Appended-list state in row form: ``out`` is a row's place (from 1) in
+    the list of its key, in ``order``; ties in ``order`` are broken at will."""
+    return keyed_prefix(df, key, order, F.lit(1), out, agg="count", bucket=bucket)
+
+
 def _seconds(d: str) -> int:
     n, unit = d.split()
     return int(n) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]

@@ -103,10 +103,17 @@ def lateness_classes(
 
 def early_fire_counts(df: DataFrame, key: str, ts: str, size: str, step: str) -> DataFrame:
     """Event-time early firing: every ``step`` with data a (key, window) emits
-    its running count, and the final firing at the window end.  Aggregate to
-    (key, window, step) first; never expand rows per firing."""
+    its running count, and every window fires at its end, whether its last
+    step holds rows or not.  Steps without rows in between fire nothing: their
+    count is the previous one.  Aggregates to (key, window, step) first; no
+    row is expanded per firing."""
     steps = df.groupBy(
         key, F.window(F.col(ts), size).end.alias("window_end"), bucket_end(F.col(ts), step).alias("fire_ts")
     ).agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(key, "window_end").orderBy("fire_ts").rowsBetween(Window.unboundedPreceding, 0)
-    return steps.select(key, "window_end", "fire_ts", F.sum("_c").over(w).alias("n"))
+    after = F.lead("fire_ts").over(Window.partitionBy(key, "window_end").orderBy("fire_ts"))
+    fires = steps.select(key, "window_end", "fire_ts", F.sum("_c").over(w).alias("n"), after.isNull().alias("_last"))
+    end_too = F.when(
+        F.col("_last") & (F.col("fire_ts") < F.col("window_end")), F.array("fire_ts", "window_end")
+    ).otherwise(F.array("fire_ts"))
+    return fires.select(key, "window_end", F.explode(end_too).alias("fire_ts"), "n")

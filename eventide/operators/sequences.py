@@ -8,12 +8,15 @@ are ordinary (partially aggregated) group-bys and many-to-one joins.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from eventide.operators.keyed import DEFAULT_BUCKET, keyed_prefix, keyed_shift, null_safe_join
+from eventide.operators.keyed import DEFAULT_BUCKET, _seconds, keyed_prefix, keyed_shift, null_safe_join
 from eventide.operators.windows import interval
 from eventide.session import fork_point
 
@@ -131,30 +134,61 @@ def rising_runs(
     zero_is_first: bool = False,
     bucket: str = DEFAULT_BUCKET,
 ) -> DataFrame:
-    """Rising-value alert: the first rise of a run arms a timer at +duration;
-    a fall (or the first reading of a key) disarms; equal values keep it.
-    One alert per run when no fall arrives up to and including armed +
-    duration.  ``zero_is_first`` keeps the reference's default-value quirk
-    (a previous value of 0.0 counts as no previous value)."""
+    """Rising-value alert: a rise arms a timer at +duration where none is
+    armed; a fall (or the first reading of a key) disarms it; equal values and
+    further rises leave it.  A timer that gets past armed + duration without a
+    fall gives an alert, and the next rise arms another.  ``zero_is_first``
+    keeps the reference's default-value quirk (a previous value of 0.0 counts
+    as no previous value).
+
+    Only rises and the falls that end a run are kept.  Each run is read in
+    time order by one task, row by row with one armed time as state, so a hot
+    key is split by its runs.  Rows without a time arm nothing."""
     ts = order[0]
     s = keyed_shift(df, key, order, [value], n=1, direction="lag", prefix="_prev_", bucket=bucket)
     prev = F.col(f"_prev_{value}")
     first = prev.isNull() | (prev == 0.0) if zero_is_first else prev.isNull()
     brk = first | (F.col(value) < prev)
-    # the lagged rows feed the run ids' in-bucket and per-bucket passes
-    s = fork_point(
-        s.select(key, *order, brk.alias("_brk"), (~brk & (F.col(value) > prev)).alias("_rise"))
-    )
+    s = s.select(key, *order, brk.alias("_brk"), (~brk & (F.col(value) > prev)).alias("_rise"))
     runs = keyed_prefix(s, key, order, F.col("_brk").cast("int"), "_run", bucket=bucket)
-    per_run = fork_point(
-        runs.groupBy(key, "_run").agg(F.min(ts).alias("_start"), F.min(F.when(F.col("_rise"), F.col(ts))).alias("armed"))
-    )
-    nxt = per_run.select(key, (F.col("_run") - 1).alias("_run"), F.col("_start").alias("_next_start"))
-    return (
-        null_safe_join(per_run.where(F.col("armed").isNotNull()), nxt, [key, "_run"], "left")
-        .where(F.col("_next_start").isNull() | (F.col("_next_start") > F.col("armed") + interval(duration)))
-        .select(key, "armed")
+    # a break ends the run before its own
+    run = F.col("_run") - F.col("_brk").cast("int")
+    name = F.concat_ws(":", run.cast("string"), F.col(key).isNull().cast("string"), F.col(key).cast("string"))
+    steps = runs.where((F.col("_brk") | F.col("_rise")) & F.col(ts).isNotNull()).select(
+        name.alias("run"), F.col(key).alias("key"), F.col(ts).alias("ts"), F.col("_brk").alias("ends")
     )
+    dealt = steps.repartition("run").sortWithinPartitions("run", "ts", "ends")
+    limit = np.timedelta64(_seconds(duration), "s")
+    kind = T.StructType([T.StructField("key", df.schema[key].dataType), T.StructField("armed", df.schema[ts].dataType)])
+
+    def fire(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, armed, owner = None, None, None  # the open timer, its run and the key's value
+        for b in batches:
+            keys, times = [], []
+            columns = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.timestamp("us")).to_numpy(False), b.column(3).to_pylist()
+            for run, k, t, ends in zip(*columns, strict=True):
+                if run != name:
+                    if armed is not None:
+                        keys.append(owner)
+                        times.append(armed)
+                    name, armed, owner = run, None, k
+                if armed is not None and t > armed + limit:
+                    keys.append(owner)
+                    times.append(armed)
+                    armed = None
+                if ends:
+                    armed = None
+                elif armed is None:
+                    armed = t
+            yield _alerts(keys, times, b)
+        if armed is not None:
+            yield _alerts([owner], [armed], b)
+
+    def _alerts(keys: list, times: list, like: pa.RecordBatch) -> pa.RecordBatch:
+        columns = [pa.array(keys, like.column(1).type), pa.array(times, pa.timestamp("us")).cast(like.column(2).type)]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "armed"])
+
+    return dealt.mapInArrow(fire, kind).toDF(key, "armed")
 
 
 def value_jumps(

@@ -123,7 +123,7 @@ def gated_forward_q(spark, d):
     "left_join_3way_count",
     f"""
 WITH {BEHAVIOR_CTE}
-SELECT a.item_id, b.behavior, count(a.item_id) AS cnt
+SELECT a.item_id, b.behavior, CAST(count(a.item_id) AS VARCHAR) AS cnt
 FROM behavior a
 LEFT JOIN behavior b ON a.item_id = b.item_id AND a.behavior = b.behavior
 LEFT JOIN behavior c ON a.item_id = c.item_id AND a.behavior = c.behavior
@@ -132,6 +132,7 @@ GROUP BY a.item_id, b.behavior
 )
 def left_join_3way_count(spark, d):
     """Three-way self left join + count, by per-key counts (m**3) instead of
-    materialised joined rows."""
+    materialised joined rows; the count as text, exact at any size."""
     beh = behavior_view(load(spark, d, "events"))
-    return self_left_join_count(beh, "item_id", "behavior", ways=3, name="cnt")
+    counts = self_left_join_count(beh, "item_id", "behavior", ways=3, name="cnt")
+    return counts.withColumn("cnt", F.col("cnt").cast("string"))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from eventide.operators.keyed import keyed_prefix, keyed_prefixes, keyed_range_list
+from eventide.operators.keyed import keyed_positions, keyed_prefix, keyed_prefixes
 from eventide.operators.sequences import (
     followed_within,
     login_failures,
@@ -33,21 +33,22 @@ def _events(spark, d):
     f"""
 SELECT user_id, event_id,
        first_value(event_type) OVER ({W_ORDER} ROWS UNBOUNDED PRECEDING) AS event_type,
-       CAST(sum(CAST(value AS DECIMAL(18,2))) OVER ({W_ORDER} ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS value
+       round(sum(value) OVER ({W_ORDER} ROWS UNBOUNDED PRECEDING), 6) AS value
 FROM events
 """,
 )
 def rolling_sum(spark, d):
     """``keyBy(user).sum(value)``: one row per input with the running sum;
-    the other field keeps the key's first row value."""
+    the other field keeps the key's first row value.  The sum is one of
+    doubles; the result alone is rounded, as its last bits depend on order."""
     ev = _events(spark, d)
     # the key's first row is the running minimum of (ts, event_id, ...)
     first = F.struct("ts", "event_id", "event_type")
     run = keyed_prefixes(
-        ev, "user_id", ORDER, [(F.col("value").cast("decimal(18,2)"), "_rs", "sum"), (first, "_first", "min")]
+        ev, "user_id", ORDER, [(F.col("value"), "_rs", "sum"), (first, "_first", "min")]
     )
     return run.select(
-        "user_id", "event_id", F.col("_first.event_type").alias("event_type"), F.col("_rs").cast("double").alias("value")
+        "user_id", "event_id", F.col("_first.event_type").alias("event_type"), F.round("_rs", 6).alias("value")
     )
 
 
@@ -71,32 +72,29 @@ def rolling_min_by(spark, d):
 
 @query(
     "rolling_list_concat",
-    """
-SELECT user_id, event_id,
-       array_to_string(list(event_type) OVER (PARTITION BY user_id ORDER BY ts
-                       RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW), ',') AS types
-FROM events
+    f"""
+SELECT user_id, event_id, row_number() OVER ({W_ORDER}) AS pos, event_type FROM events
 """,
 )
 def rolling_list_concat(spark, d):
-    """Rolling list concatenation per key, over the last 7 days of rows."""
-    out = keyed_range_list(_events(spark, d), "user_id", "ts", "event_type", "7 days", "_l")
-    return out.select("user_id", "event_id", F.array_join("_l", ",").alias("types"))
+    """Rolling list concatenation per key, without bound, in row form: the
+    list at a row is the event types of the key's rows with the same or a
+    smaller ``pos``.  Linear where one list a row would be quadratic."""
+    return keyed_positions(_events(spark, d), "user_id", ORDER, "pos").select("user_id", "event_id", "pos", "event_type")
 
 
 @query(
     "rolling_sum_of_window_min",
     f"""
 SELECT user_id, window_end,
-       CAST(sum(CAST(m AS DECIMAL(18,2))) OVER (PARTITION BY user_id ORDER BY window_end
-            ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS s
+       round(sum(m) OVER (PARTITION BY user_id ORDER BY window_end ROWS UNBOUNDED PRECEDING), 6) AS s
 FROM (SELECT user_id, {tumble_end('ts', '1 hour')} AS window_end, min(value) AS m FROM events GROUP BY ALL)
 """,
 )
 def rolling_sum_of_window_min(spark, d):
     mins = tumbling(sensor_view(_events(spark, d)), "ts", "1 hour", ["user_id"], m=F.min("temperature"))
-    run = keyed_prefix(mins, "user_id", ["window_end"], F.col("m").cast("decimal(18,2)"), "_s")
-    return run.select("user_id", "window_end", F.col("_s").cast("double").alias("s"))
+    run = keyed_prefix(mins, "user_id", ["window_end"], F.col("m"), "_s")
+    return run.select("user_id", "window_end", F.round("_s", 6).alias("s"))
 
 
 @query(
@@ -159,22 +157,27 @@ def temp_jump_flagged(spark, d):
 @query(
     "rising_run_alert",
     f"""
-WITH s AS (
+WITH RECURSIVE s AS (
   SELECT user_id, ts, event_id, value, lag(value) OVER ({W_ORDER}) AS prev FROM events),
 r AS (
   SELECT *, sum(CASE WHEN prev IS NULL OR value < prev THEN 1 ELSE 0 END)
               OVER ({W_ORDER} ROWS UNBOUNDED PRECEDING) AS run,
          (prev IS NOT NULL AND value > prev) AS rise
   FROM s),
-g AS (
-  SELECT user_id, run, min(ts) AS start, min(CASE WHEN rise THEN ts END) AS armed FROM r GROUP BY user_id, run)
-SELECT a.user_id, a.armed
-FROM g a LEFT JOIN g b ON a.user_id IS NOT DISTINCT FROM b.user_id AND b.run = a.run + 1
-WHERE a.armed IS NOT NULL AND (b.start IS NULL OR b.start > a.armed + INTERVAL 6 HOUR)
+st AS (SELECT user_id, run, min(ts) AS start FROM r WHERE NOT rise AND (prev IS NULL OR value < prev) GROUP BY ALL),
+ri AS (SELECT user_id, run, list(ts ORDER BY ts) AS rises FROM r WHERE rise GROUP BY ALL),
+c AS (
+  SELECT user_id, run, rises, rises[1] AS armed FROM ri
+  UNION ALL
+  SELECT user_id, run, rises, list_filter(rises, lambda x: x > armed + INTERVAL 6 HOUR)[1]
+  FROM c WHERE list_filter(rises, lambda x: x > armed + INTERVAL 6 HOUR)[1] IS NOT NULL)
+SELECT c.user_id, c.armed
+FROM c LEFT JOIN st ON c.user_id IS NOT DISTINCT FROM st.user_id AND st.run = c.run + 1
+WHERE st.start IS NULL OR st.start > c.armed + INTERVAL 6 HOUR
 """,
 )
 def rising_run_alert(spark, d):
-    """No fall for 6 hours after the first rise of a run."""
+    """No fall for 6 hours after the rise that armed the timer."""
     return rising_runs(sensor_view(_events(spark, d)), "user_id", "temperature", "6 hours")
 
 

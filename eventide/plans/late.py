@@ -67,10 +67,11 @@ def allowed_lateness(spark, d):
 @query(
     "early_fire_counts",
     f"""
-SELECT user_id, window_end, fire_ts,
-       CAST(sum(c) OVER (PARTITION BY user_id, window_end ORDER BY fire_ts ROWS UNBOUNDED PRECEDING) AS BIGINT) AS n
-FROM (SELECT user_id, {tumble_end('ts', '1 hour')} AS window_end, {tumble_end('ts', '10 minutes')} AS fire_ts,
-             count(*) AS c FROM events GROUP BY ALL)
+WITH e AS (SELECT user_id, ts, {tumble_end('ts', '1 hour')} AS window_end, {tumble_end('ts', '10 minutes')} AS fire_ts FROM events),
+f AS (SELECT DISTINCT user_id, window_end, fire_ts FROM e UNION SELECT DISTINCT user_id, window_end, window_end FROM e)
+SELECT f.user_id, f.window_end, f.fire_ts, count(*) AS n
+FROM f JOIN e ON e.user_id IS NOT DISTINCT FROM f.user_id AND e.window_end = f.window_end AND e.ts < f.fire_ts
+GROUP BY ALL
 """,
 )
 def early_fire_counts_q(spark, d):

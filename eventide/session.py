@@ -50,8 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is.  Only where it is unset (local tests) a private folder is
-    created and registered.
+    used as is.  Only where it is unset and the master is local (tests) a
+    private folder is created; elsewhere executors could not see one, so that
+    is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -59,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="eventide-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir()

@@ -165,7 +165,9 @@ def test_self_left_join_count_matches_the_join(spark, rows):
     from eventide.operators.joins import self_left_join_count
 
     df = spark.createDataFrame(rows, "item long, beh string")
-    got = sorted(map(tuple, self_left_join_count(df, "item", "beh", 3, "cnt").collect()), key=repr)
+    counts = self_left_join_count(df, "item", "beh", 3, "cnt")
+    assert counts.schema["cnt"].dataType.simpleString() == "decimal(38,0)"
+    got = sorted(map(tuple, counts.withColumn("cnt", counts["cnt"].cast("long")).collect()), key=repr)
     lit = spark.sql(
         """SELECT a.item, b.beh, count(a.item) AS cnt FROM {t} a
            LEFT JOIN {t} b ON a.item = b.item AND a.beh = b.beh
@@ -178,7 +180,8 @@ def test_self_left_join_count_matches_the_join(spark, rows):
 
 def simulate_rising(rows, dur):
     """First rise after a fall (or the first reading) arms a timer at +dur;
-    a fall disarms; equal values keep it; one alert per run."""
+    a fall disarms; equal values keep it; after an alert the next rise arms
+    another."""
     out, st_ = [], {}
     timers = []
 
@@ -188,16 +191,16 @@ def simulate_rising(rows, dur):
             s = st_[k]
             if s["armed"] is not None and s["armed"] + dur == tt:
                 out.append((k, s["armed"]))
-                s["armed"], s["done"] = None, True
+                s["armed"] = None
 
     for k, s_, v in rows:
         fire_until(s_)
-        s = st_.setdefault(k, {"prev": None, "armed": None, "done": False})
+        s = st_.setdefault(k, {"prev": None, "armed": None})
         prev = s["prev"]
         s["prev"] = v
         if prev is None or v < prev:  # new run
-            s["armed"], s["done"] = None, False
-        elif v > prev and s["armed"] is None and not s["done"]:
+            s["armed"] = None
+        elif v > prev and s["armed"] is None:
             s["armed"] = s_
             timers.append((s_ + dur, k))
     fire_until(float("inf"))
