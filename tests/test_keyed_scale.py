@@ -62,3 +62,11 @@ def test_sequences_independent_of_bucket(spark, hot):
     s = hot.withColumnRenamed("value", "temperature")
     same(rising_runs(s, "user_id", "temperature", "6 hours", bucket="2 hours"),
          rising_runs(s, "user_id", "temperature", "6 hours", bucket="3650 days"))
+
+
+def test_list_positions_of_a_split_hot_key(spark, hot):
+    from eventide.operators.keyed import keyed_positions
+
+    cols = ["user_id", "event_id", "pos"]
+    same(keyed_positions(hot, "user_id", ["ts", "event_id"], "pos", bucket="6 hours").select(*cols),
+         keyed_positions(hot, "user_id", ["ts", "event_id"], "pos", bucket="3650 days").select(*cols))
