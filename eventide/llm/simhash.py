@@ -27,7 +27,7 @@ from itertools import combinations, islice, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -309,11 +309,20 @@ def near_duplicates(docs: DataFrame, size: int = 4, distance: int = 4) -> DataFr
     return classes(prints, distance)
 
 
+def _row_key() -> Column:
+    """Key of a row by doc_id and text; the length parts the two, null and
+    blank texts of an id are equal, a null doc_id equals no other."""
+    doc_id = F.col("doc_id").cast("string")
+    return F.md5(F.concat(F.coalesce(F.concat(F.length(doc_id), F.lit(":"), doc_id), F.lit("-")), F.coalesce("text", F.lit(""))))
+
+
 def one_of_each(docs: DataFrame, size: int = 4, distance: int = 4) -> DataFrame:
-    """Rows of ``docs`` that stand for their class: the row with the smallest
-    doc_id, and of equal doc_ids one."""
-    columns = docs.columns
-    found = near_duplicates(docs.select("doc_id", "text"), size, distance)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.min("fp").alias("fp")).select(F.col("doc_id").alias("__keep_id"))
-    kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["__keep_id"]))
-    return kept.select(*[docs[c] for c in columns]).dropDuplicates(["doc_id"])
+    """One row of ``docs`` for each class: the row with the smallest doc_id, a
+    null one only if all of the class are null, and of equal doc_ids the one
+    with the smallest row key.  Rows with equal doc_ids and different texts
+    are different rows."""
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", _row_key().alias("key"))
+    found = near_duplicates(docs.select(row.alias("doc_id"), "text"), size, distance)
+    keep = found.select(F.col("component_id.key").alias("__keep_key")).distinct()
+    kept = docs.withColumn("__keep_key", _row_key()).join(keep, "__keep_key").dropDuplicates(["__keep_key"])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -143,6 +143,23 @@ def test_one_of_each(docs):
     assert 2 not in {r.doc_id for r in kept.collect()}
 
 
+def test_one_of_each_class_whatever_the_ids(spark):
+    rows = [
+        (None, text(20, 200)),
+        (None, text(21, 200)),
+        (None, text(21, 200)),
+        (None, text(22, 200)),
+        (1, text(23, 200)),
+        (2, text(23, 200)),  # a copy of 1
+        (2, text(24, 200)),  # and the head of another class
+        (3, text(25, 200)),
+        (None, text(25, 200)),
+    ]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = [(None, text(20, 200)), (None, text(21, 200)), (None, text(22, 200)), (1, text(23, 200)), (2, text(24, 200)), (3, text(25, 200))]
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, want))
+
+
 @pytest.mark.parametrize("shard_rows", [20_000, 2])
 def test_substrings_against_all_windows(docs, none, shard_rows, monkeypatch):
     monkeypatch.setattr(substrings.removals, "__defaults__", (shard_rows,))
