@@ -48,8 +48,9 @@ FLOOR = 0.0
 SLICE = 1 << 18  # characters scored at a time
 
 # bounds of the sample that the machine is fitted on
-LANDMARKS = 64  # toxic stems and as many clean ones at most
-WEAKEST = 0.03  # of the best landmark's evidence
+LANDMARKS = 64  # clean stems at most; of toxic ones all that pass the test
+FALSE = 0.1  # expected share of landmarks that are telling by chance only
+BINS, TOP = 20, 100.0  # bins a nat, and most evidence told apart, in the test
 MAX_DOCS = 4000  # labelled documents
 MAX_SENTENCES = 40  # of each
 STEM = 8  # characters of a word that a landmark has at most
@@ -172,9 +173,24 @@ def _words(text):
     return F.array_distinct(F.transform(F.filter(words, lambda w: F.length(w) >= LETTERS), lambda w: F.substring(w, 1, STEM)))
 
 
+def _least_evidence(candidates: DataFrame, tested: int) -> float | None:
+    """Evidence from which stems are landmarks, by Benjamini and Hochberg's
+    step-up rule: among ``tested`` stems, at most a share of FALSE of those
+    that pass is expected to be there by chance.  Counted in bins of 1 / BINS
+    nats, rounded down; evidence beyond TOP passes at any size."""
+    bins = candidates.groupBy(F.floor(F.least("gain", F.lit(TOP)) * BINS).alias("bin")).count().collect()
+    least, passed = None, 0
+    for r in sorted(bins, key=lambda r: -r["bin"]):
+        passed += r["count"]
+        if tested * np.exp(-r["bin"] / BINS) <= FALSE * passed:
+            least = r["bin"] / BINS
+    return least
+
+
 def landmark_words(labelled: DataFrame, n: int = LANDMARKS) -> tuple[list[str], list[str]]:
-    """Stems that are most telling of toxic documents, and frequent stems of
-    clean ones, by counts of different texts over all rows of ``labelled``."""
+    """All stems that are telling of toxic documents, the most telling first,
+    and the n most frequent stems of clean ones, by counts of different texts
+    over all rows of ``labelled``."""
     labelled = labelled.dropDuplicates(["text", "toxic"])  # copies are one piece of evidence
     rows = labelled.select("toxic", F.explode(_words(F.col("text"))).alias("w"))
     counts = staged(
@@ -186,11 +202,16 @@ def landmark_words(labelled: DataFrame, n: int = LANDMARKS) -> tuple[list[str],
     if not size["bad"] or not size["good"]:
         return [], []
     p, q = (F.col("bad") + 0.5) / (size["bad"] + 1.0), (F.col("good") + 0.5) / (size["good"] + 1.0)
-    # evidence that the word is more frequent in toxic documents, in nats
-    gain = F.col("bad") * F.log(p / q)
+    # evidence in nats, for each stem by itself: exp(-gain) bounds the chance that
+    # as many of its texts are toxic if toxic texts use it like any others
+    share = size["bad"] / (size["bad"] + size["good"])
+    texts = F.col("bad") + F.col("good")
+    clean = F.when(F.col("good") > 0, F.col("good") * F.log(F.col("good") / texts / (1 - share))).otherwise(0.0)
+    gain = F.col("bad") * F.log(F.col("bad") / texts / share) + clean
     telling = counts.where((F.col("bad") >= 3) & (p > 8 * q)).select("w", gain.alias("gain"))
-    top = telling.orderBy(F.desc("gain"), "w").limit(n).collect()
-    bad = [r["w"] for r in top if r["gain"] >= WEAKEST * top[0]["gain"]]
+    least = _least_evidence(telling, counts.where(texts >= 3).count())
+    top = telling.where(F.col("gain") >= least).orderBy(F.desc("gain"), "w").collect() if least is not None else []
+    bad = [r["w"] for r in top]
     good = [r["w"] for r in counts.where(p < 2 * q).orderBy(F.desc("good"), "w").limit(n).collect()]
     return bad, good
 

@@ -301,6 +301,16 @@ def test_toxicity(spark):
     assert 0 <= model.score(None) < 0.3 and model.score("") == model.score(None)
 
 
+def test_landmarks_of_rare_insults(spark):
+    # four insults of a common language, 80 of rare ones
+    bad = [(f"{w} {text(1000 + k, 30)} n{k}", 1) for k in range(600) for w in ["blockhead", "numskull", "dimwitted", "simpleton"][k % 4 : k % 4 + 1]]
+    rare = [(f"{'bcdfghjklm'[k % 10]}{'aeiouwxy'[k // 10]}zurro {text(5000 + 10 * k + j, 30)} r{j}", 1) for k in range(80) for j in range(8)]
+    clean = [(f"{text(9000 + k, 30)} c{k}", 0) for k in range(3000)]
+    rows = [(i, t, y) for i, (t, y) in enumerate(bad + rare + clean)]
+    found, _ = toxicity.landmark_words(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    assert set(found) == {t.split()[0][: toxicity.STEM] for t, y in bad + rare}
+
+
 def test_toxicity_without_labels(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, toxic int")
     assert toxicity.fit(empty).score("anything") < 0.01
