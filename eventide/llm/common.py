@@ -62,3 +62,28 @@ def kept_by_process(key: tuple, make: Callable):
             mine.clear()
         mine[key] = make()
     return mine[key]
+
+
+#: A key is hot if more than one row in this many has it; so there are at most this many hot keys.
+HOT_SHARE = 4096
+
+
+def join_split(rows: DataFrame, found: DataFrame, on: list[str], weight: Column | None = None, total: int | None = None, share: int = HOT_SHARE) -> DataFrame:
+    """Inner join of ``rows`` with ``found`` (unique in ``on``, no null keys)
+    that no hot key slows down: the entries of hot keys, ``share`` at most
+    whatever the size of the input, are broadcast, so their rows stay where
+    they are; the other rows are shuffled, and no key has many of them.
+
+    ``weight`` is a column of ``found`` with the rows of a key in ``rows`` and
+    ``total`` the number of rows, where known; else both are counted.  Both
+    inputs are read more than once and should be staged."""
+    if weight is None:
+        sizes = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows"))
+        total = rows.count()
+        hot = sizes.where(F.col("__rows") * share > total).select(*on)
+        hot = found.join(F.broadcast(hot), on)
+    else:
+        hot = found.where(weight * share > total)
+    keys = hot.select(*on)
+    cold = found.join(F.broadcast(keys), on, "left_anti")
+    return rows.join(F.broadcast(hot), on).unionByName(rows.join(F.broadcast(keys), on, "left_anti").join(cold, on))

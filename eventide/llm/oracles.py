@@ -38,3 +38,37 @@ FROM d LEFT JOIN word USING (doc_id) LEFT JOIN item USING (doc_id)
 """
 
 ORACLES: dict[str, str] = {"op6_decontamination": DECONTAMINATION, "op9_substring_dedup": SUBSTRINGS}
+
+EXACT = r"""
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t, length(coalesce(text, '')) AS n,
+                  row_number() OVER () AS r FROM documents),
+o AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY n DESC, doc_id NULLS LAST, r) AS k FROM d)
+SELECT doc_id, first_value(doc_id) OVER (PARTITION BY t ORDER BY k) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       k = 1 AS kept, sha256(t) AS text_sha256
+FROM o
+"""
+
+ORACLES["op12_exact_dedup"] = EXACT
+
+COLLOCATIONS = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
+n AS (SELECT lang, count(*) AS n FROM g WHERE k = 1 GROUP BY lang),
+cut AS (SELECT lang, k, phrase, a, j, array_to_string(string_split(phrase, ' ')[1:j], ' ') AS x, array_to_string(string_split(phrase, ' ')[j + 1:k], ' ') AS y
+        FROM (SELECT *, unnest(range(1, k)) AS j FROM f WHERE k > 1 AND a >= 10)),
+s AS (SELECT cut.*, l.a AS l, r.a AS r, (1000000::HUGEINT * cut.a * cut.a) // (l.a::HUGEINT * r.a) AS score
+      FROM cut JOIN f l ON l.lang = cut.lang AND l.phrase = x JOIN f r ON r.lang = cut.lang AND r.phrase = y),
+low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inner_ AS (SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS m
+           FROM (SELECT lang, string_split(phrase, ' ') AS w, a, unnest([1, 2]) AS i FROM f WHERE k = 3 AND a >= 10) GROUP BY ALL),
+own AS (SELECT low.* FROM low LEFT JOIN inner_ USING (lang, phrase) WHERE m IS NULL OR 100 * m < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM own JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
+ORACLES["op11_collocations"] = COLLOCATIONS

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import decontam, packing, pii, quality, simhash, substrings, tokens, toolcalls, toxicity, warc
+from eventide.llm import collocations, decontam, exact, packing, pii, quality, simhash, substrings, tokens, toolcalls, toxicity, warc
 from eventide.llm.common import staged, table
 
 DISTANCE = 4
@@ -103,6 +103,14 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.mark_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -116,5 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_substring_dedup,
         op10_pii,
+        op11_collocations,
+        op12_exact_dedup,
     )
 }
