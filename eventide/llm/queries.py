@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import collocations, decontam, exact, packing, pii, quality, simhash, substrings, tokens, toolcalls, toxicity, warc
+from eventide.llm import alignment, collocations, decontam, exact, packing, pii, quality, simhash, substrings, tokens, toolcalls, toxicity, warc
 from eventide.llm.common import staged, table
 
 DISTANCE = 4
@@ -111,6 +111,28 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.mark_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+    def tokens(side: str):
+        return F.aggregate("groups", F.lit(0).cast("long"), lambda n, g: n + F.size(g[side]))
+
+    text = alignment.group_text(F.col("groups"))
+    rows = aligned.select(
+        "doc_id",
+        F.monotonically_increasing_id().alias("row"),
+        tokens("a").alias("n_a"),
+        tokens("b").alias("n_b"),
+        F.size("groups").cast("long").alias("n_groups"),
+        F.when(F.size("groups") > 0, F.sha2(text, 256)).otherwise("").alias("groups_sha256"),
+        "links",
+    )
+    rows = staged(rows, "alignment")  # row numbers hold from here
+    strength = alignment.link_strength(rows.select("row", "links"))
+    sums = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_links", "n_best", "count_sum")]
+    return rows.drop("links").join(strength, "row", "left").select("doc_id", "n_a", "n_b", "n_groups", *sums, "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -126,5 +148,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_pii,
         op11_collocations,
         op12_exact_dedup,
+        op13_alignment,
     )
 }

@@ -51,7 +51,7 @@ def test_queries_are_registered():
 
     names = entry.queries()
     assert {*QUERIES, "pipeline"} <= set(names)
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_quality_statistics(docs):
