@@ -246,7 +246,19 @@ def test_alignment_of_nothing(spark, none, tmp_path):
     assert query_on("op13_alignment", spark, none, tmp_path).collect() == []
 
 
-def test_parts_have_their_own_tokens():
-    pair = alignment.Pair(A_PATH, B_PATH)
-    for _, t, *_ in ROWS:
-        assert pair.ids(t or "") == pair._encode(" " + (t or ""))
+def test_rank_table_gives_the_tokenizers_ids():
+    from tokenizers import Tokenizer
+
+    encode, _ = alignment.byte_level_encoder(A_PATH)
+    a = Tokenizer.from_file(A_PATH)
+    a.encode_special_tokens = True
+    more = [" lead", "  two  spaces ", "tab\t x", "it's  we'll don't\n\n\n y", "\u3000 wide", "a\x1c b", "12345  678 ...", "trailing "]
+    for t in [*more, *(t for _, t, *_ in ROWS if t)]:
+        assert encode(t) == a.encode(t, add_special_tokens=False).ids
+
+
+def test_groups_as_arrays(docs):
+    got = alignment.align(docs, A_PATH, B_PATH).withColumn("g", alignment.group_ids(F.col("groups"))).collect()
+    for r in got:
+        assert len(r.g) == r.n_groups == sum(x.n for x in r.links)
+        assert sum(len(g.a) for g in r.g) == r.n_a and sum(len(g.b) for g in r.g) == r.n_b
