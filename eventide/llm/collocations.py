@@ -43,9 +43,9 @@ TOP = 2000
 SHARDS = 4
 NO_LANG = "und"
 FILTER_BITS = 1 << 27  # bits of the candidate table: 16 MB
-BLOCK_BYTES = 8 << 20  # text counted at a time
+BLOCK_BYTES = 4 << 20  # text counted at a time
 BLOCK_WORDS = (1 << 21) - 8  # three word numbers fit 63 bits
-RANGE_BYTES = 8 << 20  # text whose phrases one hash range holds, about
+RANGE_BYTES = 4 << 20  # text whose phrases one hash range holds, about
 
 #: Byte classes: 0 in a word, 1 between words, 2 between pieces.
 _CLASS = np.zeros(256, np.uint8)
