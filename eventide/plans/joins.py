@@ -9,25 +9,25 @@ from pyspark.sql import functions as F
 from eventide.functions.udfs import cogroup_process
 from eventide.operators.joins import gated_forward, reconcile, self_left_join_count, timed_out
 from eventide.plans.registry import BEHAVIOR_CTE, query
-from eventide.sources.tables import behavior_view, load, order_events, pay_events
+from eventide.sources.tables import behavior_view, load, order_events, pay_events, receipts
 
-# Order stream: orders not in status P; receipt stream: first shipment of the
-# filled (F) lines of an order.  Orders without filled lines stay unpaid,
-# receipts of P orders have no order event.
+# Order stream: all orders; receipt stream: the first shipment of each order.
+# A receipt is due within 30 days of its order: a later one leaves both sides
+# unmatched.
+DUE = "30 days"
 RECON_CTE = """
-o AS (SELECT o_orderkey AS order_id, o_orderdate AS order_ts FROM orders WHERE o_orderstatus <> 'P'),
-p AS (SELECT l_orderkey AS order_id, min(l_shipdate) AS pay_ts FROM lineitem WHERE l_linestatus = 'F' GROUP BY l_orderkey),
-j AS (SELECT coalesce(o.order_id, p.order_id) AS order_id, o.order_ts, p.pay_ts
-      FROM o FULL OUTER JOIN p ON o.order_id = p.order_id)
+p AS (SELECT l_orderkey AS order_id, min(l_shipdate) AS pay_ts FROM lineitem GROUP BY l_orderkey),
+a AS (SELECT coalesce(o.o_orderkey, p.order_id) AS order_id, o.o_orderdate AS order_ts, p.pay_ts
+      FROM orders o FULL OUTER JOIN p ON o.o_orderkey = p.order_id),
+j AS (SELECT order_id, order_ts, pay_ts FROM a WHERE pay_ts <= order_ts + INTERVAL 30 DAY
+      UNION ALL SELECT order_id, order_ts, NULL FROM a WHERE order_ts IS NOT NULL AND (pay_ts <= order_ts + INTERVAL 30 DAY) IS NOT TRUE
+      UNION ALL SELECT order_id, NULL, pay_ts FROM a WHERE pay_ts IS NOT NULL AND (pay_ts <= order_ts + INTERVAL 30 DAY) IS NOT TRUE)
 """
 
 
 def _recon(spark, d):
-    orders = load(spark, d, "orders").where(F.col("o_orderstatus") != "P")
-    o = order_events(orders).withColumnRenamed("ts", "order_ts")
-    li = load(spark, d, "lineitem").where(F.col("l_linestatus") == "F")
-    p = li.groupBy(F.col("l_orderkey").alias("order_id")).agg(F.min("l_shipdate").alias("pay_ts"))
-    return reconcile(o, p, "order_id", "order_ts", "pay_ts", tag="tag")
+    o = order_events(load(spark, d, "orders")).withColumnRenamed("ts", "order_ts")
+    return reconcile(o, receipts(load(spark, d, "lineitem")), "order_id", "order_ts", "pay_ts", bound=DUE)
 
 
 @query(
@@ -70,19 +70,18 @@ FROM j
 def cogroup_pandas(spark, d):
     """Co-process function over two keyed inputs (``cogroup().applyInPandas``):
     per key, one pending order and one pending receipt, matched or reported."""
-    orders = load(spark, d, "orders").where(F.col("o_orderstatus") != "P")
-    o = order_events(orders).withColumnRenamed("ts", "order_ts")
-    li = load(spark, d, "lineitem").where(F.col("l_linestatus") == "F")
-    # the receipt side is reduced to one row per key before the co-group
-    p = li.groupBy(F.col("l_orderkey").alias("order_id")).agg(F.min("l_shipdate").alias("pay_ts"))
+    o = order_events(load(spark, d, "orders")).withColumnRenamed("ts", "order_ts")
+    p = receipts(load(spark, d, "lineitem"))  # one row per key before the co-group
 
     def co(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        # per key: at most one pending order and one pending receipt
-        o_last = left.groupby("order_id", as_index=False)["order_ts"].max()
-        p_first = right.groupby("order_id", as_index=False)["pay_ts"].min()
-        m = o_last.merge(p_first, on="order_id", how="outer", indicator=True)
-        m["tag"] = m["_merge"].map({"both": "matched", "left_only": "left_only", "right_only": "right_only"}).astype(str)
-        return m[["tag", "order_id", "order_ts", "pay_ts"]]
+        both = left.merge(right, on="order_id", how="outer")
+        paid = both["pay_ts"] <= both["order_ts"] + pd.Timedelta(DUE)
+        parts = [
+            both[paid].assign(tag="matched"),
+            both[~paid & both["order_ts"].notna()].assign(tag="left_only", pay_ts=pd.NaT),
+            both[~paid & both["pay_ts"].notna()].assign(tag="right_only", order_ts=pd.NaT),
+        ]
+        return pd.concat(parts)[["tag", "order_id", "order_ts", "pay_ts"]]
 
     schema = "tag string, order_id long, order_ts timestamp_ntz, pay_ts timestamp_ntz"
     return cogroup_process(o, p, "order_id", co, schema)

@@ -7,8 +7,12 @@ time order, the shape the reference's ascending-time sources have.
 
 from __future__ import annotations
 
+import datetime as dt
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventide.session import ensure_utc, scratch_path
 
@@ -86,6 +90,52 @@ def new_stream_dirs(spark: SparkSession, name: str) -> dict[str, str]:
     return {"base": base, "input": f"{base}/input", "output": f"{base}/output", "checkpoint": f"{base}/checkpoint"}
 
 
+#: Event time of the row that ends an input: later than every real one.
+END_OF_TIME = dt.datetime(9000, 1, 1)
+
+
+@dataclass(frozen=True)
+class Tail:
+    """Folder that ends one input of a bounded stream."""
+
+    path: str
+    ts: str
+    schema: T.StructType
+
+    def close(self, spark: SparkSession) -> None:
+        """Write the closing row: null but for its event time."""
+        row = [F.lit(END_OF_TIME if f.name == self.ts else None).cast(f.dataType).alias(f.name) for f in self.schema]
+        spark.range(1).select(*row).write.mode("overwrite").parquet(f"{self.path}/closed")
+
+
+def watermarked(stream: DataFrame, ts: str, delay: str, tails: list[Tail], base: str) -> DataFrame:
+    """``stream`` with a watermark that can be brought to its end.
+
+    Spark keeps what the last row's watermark leaves open; a bounded source
+    ends with a final watermark that closes all windows, timers and joins.
+    The stream is joined by a second folder, empty until ``Tail.close`` puts a
+    row of ``END_OF_TIME`` there: that row moves the watermark and goes no
+    further.  (The filter names the event time, so it is not pushed below the
+    watermark.)  The tail is added to ``tails``, to be closed by
+    ``run_to_the_end``."""
+    tail = Tail(f"{base}/tail-{len(tails)}", ts, stream.schema)
+    spark = stream.sparkSession
+    # a query built anew on the same folders and checkpoint finds its tail again
+    spark.createDataFrame([], stream.schema).write.mode("ignore").parquet(f"{tail.path}/open")
+    tails.append(tail)
+    both = stream.unionByName(spark.readStream.schema(stream.schema).parquet(f"{tail.path}/*"))
+    return both.withWatermark(ts, delay).where(F.col(ts).isNull() | (F.col(ts) < F.lit(END_OF_TIME)))
+
+
+def run_to_the_end(run, spark: SparkSession, tails: list[Tail]) -> None:
+    """``run()`` drains what the inputs hold; then every input is closed and
+    drained again on the same checkpoint."""
+    run()
+    for tail in tails:
+        tail.close(spark)
+    run()
+
+
 def to_event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
     """Watermarks need TIMESTAMP (not NTZ); the session zone is UTC."""
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
