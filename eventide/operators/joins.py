@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventide.operators.keyed import keyed_prefix
 from eventide.operators.windows import interval
 
 
@@ -74,6 +75,34 @@ def gated_forward(
     return out.drop("_b", "_gate", "_lg", "_is_gate")
 
 
+def gated_forward_until(
+    rows: DataFrame,
+    gates: DataFrame,
+    key: str,
+    ts: str,
+    until: str,
+    bucket: str = "1 day",
+) -> DataFrame:
+    """Rows whose key has an open gate, where every gate row carries its own
+    end: opened at ``ts``, open while time < ``until``.
+
+    A short gate may open and close inside a long one, so the latest gate
+    alone does not decide; the latest end of all gates opened so far does.
+    That is a running maximum per key, taken in (key, bucket) parts with the
+    maximum of earlier buckets carried in, so neither a hot key nor a gate
+    open over many buckets is copied or collected.  A gate opens before a row
+    of the same instant; rows and gates without key or time pass and open
+    nothing; a gate that ends before it opens is never open."""
+    own = rows.columns
+    named = rows.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(own)], F.col(key).alias("_k"), F.col(ts).alias("_t"))
+    opened = gates.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(F.col(key).alias("_k"), F.col(ts).alias("_t"), F.col(until).alias("_until"))
+    both = named.where(F.col("_k").isNotNull() & F.col("_t").isNotNull()).withColumn("_o", F.lit(1))
+    both = both.unionByName(opened.withColumn("_o", F.lit(0)), allowMissingColumns=True)
+    scanned = keyed_prefix(both, "_k", ["_t", "_o"], F.col("_until"), "_open", agg="max", bucket=bucket)
+    passed = scanned.where((F.col("_o") == 1) & (F.col("_t") < F.col("_open")))
+    return passed.select(*[F.col(f"_r{i}").alias(c) for i, c in enumerate(own)])
+
+
 def timed_out(
     starts: DataFrame, follow: DataFrame, key: str, start_ts: str, follow_ts: str, limit: str
 ) -> DataFrame:

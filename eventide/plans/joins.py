@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from eventide.functions.udfs import cogroup_process
-from eventide.operators.joins import gated_forward, reconcile, self_left_join_count, timed_out
+from eventide.operators.joins import gated_forward, gated_forward_until, reconcile, self_left_join_count, timed_out
 from eventide.plans.registry import BEHAVIOR_CTE, query
 from eventide.sources.tables import behavior_view, load, order_events, pay_events, receipts
 
@@ -118,6 +118,24 @@ def gated_forward_q(spark, d):
     return gated_forward(ev.select("event_id", "user_id", "ts"), gates, "user_id", "ts", "1 day").select("event_id")
 
 
+@query(
+    "gated_forward_durations",
+    """
+SELECT r.event_id FROM events r
+WHERE EXISTS (SELECT 1 FROM events g WHERE g.event_type = 'signup' AND g.user_id = r.user_id
+              AND r.ts >= g.ts AND r.ts < g.ts + to_minutes(CAST(floor(g.value * 60) AS BIGINT)))
+""",
+)
+def gated_forward_durations(spark, d):
+    """Readings pass while a gate of their key is open; every gate (signup)
+    carries its own duration: its ``value`` in hours, to the minute."""
+    ev = load(spark, d, "events")
+    minutes = F.floor(F.col("value") * 60).cast("int")
+    gates = ev.where(F.col("event_type") == "signup").select(
+        "user_id", "ts", (F.col("ts") + F.make_dt_interval(mins=minutes)).alias("until"))
+    return gated_forward_until(ev.select("event_id", "user_id", "ts"), gates, "user_id", "ts", "until").select("event_id")
+
+
 @query(
     "left_join_3way_count",
     f"""

@@ -7,7 +7,9 @@ from __future__ import annotations
 from eventide.operators.late import (
     disordered_arrival,
     early_fire_counts,
+    firing_grid,
     lateness_classes,
+    lateness_firings,
     split_late_records,
     split_late_windows,
 )
@@ -78,3 +80,41 @@ def early_fire_counts_q(spark, d):
     """1 h windows that fire early every 10 minutes of event time (with data)
     and at the end; each firing emits the running count."""
     return early_fire_counts(load(spark, d, "events"), "user_id", "ts", "1 hour", "10 minutes")
+
+
+@query(
+    "lateness_firings",
+    f"""WITH {WM_CTE},
+nx AS (SELECT batch, max(mx) OVER (ORDER BY batch) AS after FROM b),
+y AS (SELECT user_id, {tumble_end('ts', '1 hour')} AS window_end, batch, wm FROM x),
+c AS (SELECT window_end, (SELECT min(batch) FROM nx WHERE after >= window_end) AS closed_in FROM (SELECT DISTINCT window_end FROM y)),
+f AS (SELECT user_id, window_end, CASE WHEN closed_in IS NOT NULL THEN greatest(batch, closed_in) END AS fired_in, count(*) AS c
+      FROM y JOIN c USING (window_end) WHERE wm IS NULL OR window_end + INTERVAL 1 HOUR > wm GROUP BY ALL)
+SELECT user_id, window_end, fired_in,
+       CAST(sum(c) OVER (PARTITION BY user_id, window_end ORDER BY fired_in NULLS LAST) AS BIGINT) AS n,
+       CASE WHEN row_number() OVER (PARTITION BY user_id, window_end ORDER BY fired_in NULLS LAST) = 1 THEN 'first' ELSE 'update' END AS kind
+FROM f""",
+)
+def lateness_firings_q(spark, d):
+    """Every firing of the 1 h windows with 1 h of allowed lateness: the first
+    result and the updates by late rows, with the count so far."""
+    return lateness_firings(_arrived(spark, d), "user_id", "ts", "arrival", "1 hour", "1 hour", "1 hour")
+
+
+@query(
+    "early_fire_grid",
+    f"""
+WITH e AS (SELECT user_id, ts, time_bucket(INTERVAL '10 minutes', ts) AS step, {tumble_end('ts', '1 hour')} AS window_end FROM events),
+w AS (SELECT user_id, window_end, min(step) AS first FROM e GROUP BY ALL),
+p AS (SELECT DISTINCT step AS fire_ts FROM e),
+f AS (SELECT user_id, window_end, fire_ts FROM w JOIN p ON fire_ts > first AND fire_ts < window_end
+      UNION ALL SELECT user_id, window_end, window_end FROM w)
+SELECT f.user_id, f.window_end, f.fire_ts, count(*) AS n
+FROM f JOIN e ON e.user_id IS NOT DISTINCT FROM f.user_id AND e.window_end = f.window_end AND e.ts < f.fire_ts
+GROUP BY ALL
+""",
+)
+def early_fire_grid(spark, d):
+    """1 h windows that fire whenever the watermark enters a further step of 10
+    minutes, with or without rows of their own, and at their end."""
+    return firing_grid(load(spark, d, "events"), "user_id", "ts", "1 hour", "10 minutes")
