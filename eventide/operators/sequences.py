@@ -9,10 +9,11 @@ are ordinary (partially aggregated) group-bys and many-to-one joins.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,13 +22,22 @@ from eventide.operators.windows import interval
 from eventide.session import fork_point
 
 ORDER = ("ts", "event_id")
+BITS = "_step_bits"
+
+
+def step_bits(steps: Sequence[Column]) -> Column:
+    """One number a row: bit j is set if the row satisfies step j."""
+    if len(steps) > 62:
+        raise ValueError("at most 62 steps")
+    bits = [F.when(step, F.lit(1 << j).cast("long")).otherwise(F.lit(0).cast("long")) for j, step in enumerate(steps)]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits)
 
 
 def strict_sequence(
     df: DataFrame,
     key: str,
-    step_col: str,
-    steps: Sequence[str],
+    step_col: str | None,
+    steps: Sequence[str | Column],
     within: str,
     carry: Sequence[str] = ("event_id",),
     order: Sequence[str] = ORDER,
@@ -35,11 +45,17 @@ def strict_sequence(
 ) -> DataFrame:
     """Matches of ``steps`` on consecutive rows of a key (begin.next.next...),
     last minus first time strictly below ``within``; overlapping matches are
-    all kept (no skip strategy).  Output: key, ``e1..en`` of each carried
-    column (suffixes ``_1..``) and ``first_ts``/``last_ts``."""
+    all kept (no skip strategy).  A step is any predicate over a row's columns
+    (one that is null is not satisfied), or a value of ``step_col``.  Output:
+    key, ``e1..en`` of each carried column (suffixes ``_1..``) and
+    ``first_ts``/``last_ts``.
+
+    A row's predicates become bits of one number; a match has bit j in the row
+    j places on, so the numbers are shifted along the key and combined."""
     n = len(steps)
     ts = order[0]
-    vals = list(dict.fromkeys([step_col, ts, *carry]))
+    df = df.withColumn(BITS, step_bits([F.col(step_col) == st if isinstance(st, str) else st for st in steps]))
+    vals = list(dict.fromkeys([BITS, ts, *carry]))
     s = keyed_shift(df, key, order, vals, n=n - 1, direction="lead", prefix="_nx_", bucket=bucket) if n > 1 else df
 
     def at(v, j):
@@ -47,10 +63,8 @@ def strict_sequence(
             return F.col(v)
         return F.col(f"_nx_{v}_{j}") if n > 2 else F.col(f"_nx_{v}")
 
-    cond = F.lit(True)
-    for j, st in enumerate(steps):
-        cond = cond & (at(step_col, j) == F.lit(st))
-    cond = cond & (at(ts, n - 1) < at(ts, 0) + interval(within))
+    hit = reduce(lambda a, b: a.bitwiseAND(b), [F.shiftright(at(BITS, j), j) for j in range(n)]).bitwiseAND(F.lit(1).cast("long"))
+    cond = (hit == 1) & (at(ts, n - 1) < at(ts, 0) + interval(within))
     out = [F.col(key)]
     for c in carry:
         out += [at(c, j).alias(f"{c}_{j + 1}") for j in range(n)]

@@ -36,12 +36,12 @@ from eventide.streaming.sources import (
     to_event_time,
     watermarked,
 )
+from eventide.streaming.carry import counter_writer, last_state, sequence_writer, state_kinds_writer, state_list
+from eventide.streaming.changelog import VersionedTable, top_n_writer
 from eventide.streaming.late import late_split_writer, run_per_slice
 from eventide.streaming.state import (
     jump_alerts,
     login_fail_alerts,
-    sequence_matches,
-    state_kinds,
     two_step_with_timeout,
 )
 
@@ -173,33 +173,60 @@ def stream_temp_jump(spark, d):
     return spark.read.parquet(dirs["output"]).select("user_id", _ntz("ts"), "event_id", "last", "cur")
 
 
+STATE_CTE = """
+o AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+ls AS (SELECT user_id, max(rn) AS srn FROM o WHERE event_type = 'signup' GROUP BY user_id),
+seg AS (SELECT o.*, rn - coalesce(ls.srn, 1) + 1 AS pos FROM o LEFT JOIN ls ON ls.user_id IS NOT DISTINCT FROM o.user_id
+        WHERE o.rn >= coalesce(ls.srn, 1))
+"""
+
+
+def _run_state_kinds(spark, d):
+    dirs, src, run_slices = _staged_events(spark, d, "state-kinds")
+    clear, item, value = F.col("event_type") == "signup", F.col("event_type"), F.col("value")
+    writer = state_kinds_writer(dirs["output"], "user_id", clear, item, value)
+    run_slices(to_event_time(src).writeStream.foreachBatch(writer))
+    return dirs["output"]
+
+
 @query(
     "stream_state_kinds",
-    """
-WITH o AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
-ls AS (SELECT user_id, max(rn) AS srn FROM o WHERE event_type = 'signup' GROUP BY user_id),
-seg AS (SELECT o.* FROM o LEFT JOIN ls USING (user_id) WHERE o.rn >= coalesce(ls.srn, 1)),
+    f"""
+WITH {STATE_CTE},
 agg AS (SELECT user_id, count(*) AS n, max(ts) AS max_ts, min(value) AS min_value FROM seg GROUP BY user_id),
-l3 AS (SELECT user_id, string_agg(event_type, ',' ORDER BY rn) AS last_types
-       FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rn DESC) AS k FROM seg) WHERE k <= 3
-       GROUP BY user_id),
 tc AS (SELECT user_id, string_agg(event_type || ':' || c, ',' ORDER BY event_type) AS type_counts
        FROM (SELECT user_id, event_type, count(*) AS c FROM seg GROUP BY ALL) GROUP BY user_id)
-SELECT agg.user_id, n, last_types, type_counts, max_ts, min_value
-FROM agg JOIN l3 USING (user_id) JOIN tc USING (user_id)
+SELECT agg.user_id, n, type_counts, max_ts, min_value
+FROM agg JOIN tc ON agg.user_id IS NOT DISTINCT FROM tc.user_id
 """,
 )
 def stream_state_kinds(spark, d):
-    """Value, list, map and reducing state per user, cleared by signup; the
-    latest snapshot per user after the stream has drained."""
-    dirs, src, run_slices = _staged_events(spark, d, "state-kinds")
-    snaps = state_kinds(to_event_time(src))
-    run_slices(snaps.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append"))
-    out = spark.read.parquet(dirs["output"])
-    latest = out.groupBy("user_id").agg(F.max_by(F.struct(*[c for c in out.columns if c != "user_id"]), "seen").alias("s"))
-    return latest.select(
-        "user_id", "s.n", "s.last_types", "s.type_counts", F.col("s.max_ts").cast("timestamp_ntz").alias("max_ts"), "s.min_value"
-    )
+    """Value, map and reducing state per user, cleared by signup, after the
+    stream (4 event-time slices) has drained; the map's entries as text."""
+    path = _run_state_kinds(spark, d)
+    now, counts = last_state(spark, path, "values"), last_state(spark, path, "counts")
+    entry = F.struct("item", F.concat_ws(":", "item", "c").alias("t"))
+    texts = counts.groupBy("user_id").agg(F.array_sort(F.collect_list(entry)).alias("e")).select(F.col("user_id").alias("_u"), F.array_join("e.t", ",").alias("type_counts"))
+    out = now.join(texts, now["user_id"].eqNullSafe(texts["_u"]))
+    return out.select("user_id", "n", "type_counts", _ntz("max_ts"), "min_value")
+
+
+@query("stream_state_list", f"WITH {STATE_CTE} SELECT user_id, pos, event_id, event_type FROM seg")
+def stream_state_list(spark, d):
+    """List state per user, cleared by signup: all entries since then, as rows
+    with their place in the list."""
+    held = state_list(spark, _run_state_kinds(spark, d), "user_id")
+    return held.select("user_id", "pos", "event_id", F.col("item").alias("event_type"))
+
+
+@query("stream_counter", "SELECT count(*) AS n FROM events")
+def stream_counter(spark, d):
+    """Running counter restored from its list state: two of the slices are
+    counted by a second query on the same checkpoint, which knows nothing of
+    the first but the list."""
+    dirs, src, run_slices = _staged_events(spark, d, "counter")
+    run_slices(src.writeStream.foreachBatch(counter_writer(dirs["output"])))
+    return spark.read.parquet(f"{dirs['output']}/counter").agg(F.sum("n").alias("n"))
 
 
 @query(
@@ -271,6 +298,60 @@ def _top5_sql(spark, events):
     )
 
 
+def _run_changelog(spark, d):
+    """Top 5 items per hop window, kept by an update-mode stream over 4
+    event-time slices."""
+    dirs, src, run_slices = _staged_events(spark, d, "changelog")
+    pv = to_event_time(page_views(src)).withWatermark("ts", DELAY)
+    counts = (
+        pv.groupBy(F.window("ts", "1 hour", "5 minutes"), "item_id")
+        .agg(F.count("item_id").alias("cnt"))
+        .select(F.col("window.end").cast("timestamp_ntz").alias("window_end"), "item_id", "cnt")
+    )
+    writer = top_n_writer(dirs["output"], ["window_end"], ["item_id"], [F.desc("cnt"), F.asc("item_id")], 5, "row_num")
+    run_slices(counts.writeStream.outputMode("update").foreachBatch(writer))
+    return VersionedTable(spark, f"{dirs['output']}/top", ["window_end"])
+
+
+@query("stream_upsert_top5", HOT_ITEMS_SQL5)
+def stream_upsert_top5(spark, d):
+    """The SQL top 5 as a table that an updating stream keeps: rows that leave
+    a window's top 5 leave the table."""
+    return _run_changelog(spark, d).read().select("item_id", "cnt", "window_end", "row_num")
+
+
+@query("stream_changelog_top5", HOT_ITEMS_SQL5)
+def stream_changelog_top5(spark, d):
+    """The same table from its changelog: the rows whose additions outnumber
+    their removals."""
+    names = ["item_id", "cnt", "window_end", "row_num"]
+    return _run_changelog(spark, d).changes().groupBy(*names).agg(F.sum("sign").alias("_s")).where("_s > 0").select(*names)
+
+
+@query("stream_json_docs", HOT_ITEMS_SQL)
+def stream_json_docs(spark, d):
+    """JSON documents written by a stream: each micro-batch puts the top 3 of
+    the windows it closes into a folder of its own."""
+    dirs, tails = new_stream_dirs(spark, "stream-json-docs"), []
+    pv = to_event_time(page_views(table_stream(spark, d, "events")))
+    counts = (
+        watermarked(pv, "ts", DELAY, tails, dirs["base"])
+        .groupBy(F.window("ts", "1 hour", "5 minutes"), "item_id")
+        .agg(F.count(F.lit(1)).alias("cnt"))
+        .select(F.col("window.end").cast("timestamp_ntz").alias("window_end"), "item_id", "cnt")
+    )
+
+    def write(batch, batch_id):
+        top = top_n_per_group(batch, ["window_end"], [F.desc("cnt"), F.asc("item_id")], 3)
+        write_json_docs(top, dirs["output"], "slidingwindow", batch_id)
+
+    writer = counts.writeStream.foreachBatch(write).outputMode("append")
+    run_to_the_end(lambda: run_available(writer, dirs["checkpoint"]), spark, tails)
+    return read_json_docs(
+        spark, dirs["output"], "window_end timestamp_ntz, item_id bigint, cnt bigint, rank bigint", field="slidingwindow"
+    )
+
+
 @query("sink_json_docs", HOT_ITEMS_SQL)
 def sink_json_docs(spark, d):
     """Search-index style sink: one JSON document per result row, written in
@@ -392,9 +473,9 @@ def stream_seq3_fail(spark, d):
     """Three consecutive errors within 7 days, matched on a stream of 4
     event-time slices (matches may span micro-batches)."""
     dirs, src, run_slices = _staged_events(spark, d, "seq3")
-    matches = sequence_matches(to_event_time(src), "event_type", ["error"] * 3, 7 * 86400)
-    run_slices(matches.writeStream.format("parquet").option("path", dirs["output"]).outputMode("append"))
-    out = spark.read.parquet(dirs["output"])
+    fail = F.col("event_type") == "error"
+    run_slices(to_event_time(src).writeStream.foreachBatch(sequence_writer(dirs["output"], "user_id", [fail] * 3, "7 days")))
+    out = spark.read.parquet(f"{dirs['output']}/matches")
     return out.select("user_id", "event_id_1", "event_id_2", "event_id_3", _ntz("first_ts"), _ntz("last_ts"))
 
 

@@ -5,7 +5,8 @@ arrive as pandas frames and the key's state tuple is read and updated.
 Rows of a key inside one micro-batch are ordered by (ts, event_id) before
 they are applied, so results equal the batch (window function) forms.  The
 per-call memory is one key's rows of one micro-batch, which the source
-bounds (``maxFilesPerTrigger`` / ``maxBytesPerTrigger``).
+bounds (``maxFilesPerTrigger`` / ``maxBytesPerTrigger``).  Where a key may be
+hot, use the split forms in ``eventide.streaming.carry``.
 """
 
 from __future__ import annotations
@@ -25,6 +26,11 @@ def _rows(pdfs: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return pd.concat(frames, ignore_index=True).sort_values(["ts", "event_id"], kind="stable")
 
 
+def _key(key: tuple):
+    """The key's value; null is a key of its own."""
+    return None if pd.isna(key[0]) else int(key[0])
+
+
 # -- value state: jump alert ---------------------------------------------------
 
 JUMP_OUT = "user_id long, ts timestamp, event_id long, last double, cur double"
@@ -54,53 +60,6 @@ def jump_alerts(df: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-# -- value, list, map and reducing state in one processor -------------------
-
-KINDS_OUT = (
-    "user_id long, seen long, n long, last_types string, type_counts string, max_ts timestamp, min_value double"
-)
-KINDS_STATE = "seen long, n long, last_types string, type_counts string, max_ts timestamp, min_value double"
-
-
-def state_kinds(df: DataFrame, clear_on: str = "signup", keep_last: int = 3) -> DataFrame:
-    """Per user: a counter (value state), the last ``keep_last`` event types
-    (list state), a count per type (map state) and (max ts, min value)
-    (reducing state).  A ``clear_on`` event clears every state first, then is
-    applied itself.  Emits the state after each micro-batch; ``seen`` (never
-    cleared) orders the snapshots."""
-
-    def fn(key, pdfs, state: GroupState):
-        rows = _rows(pdfs)
-        if rows.empty:
-            return
-        if state.exists:
-            seen, n, last, counts, max_ts, min_v = state.get
-            last_l = last.split(",") if last else []
-            cmap = dict((kv.split(":")[0], int(kv.split(":")[1])) for kv in counts.split(",")) if counts else {}
-        else:
-            seen, n, last_l, cmap, max_ts, min_v = 0, 0, [], {}, None, None
-        seen += len(rows)
-        clears = (rows["event_type"] == clear_on).to_numpy().nonzero()[0]
-        if len(clears):  # the last clear in the batch resets every state
-            rows = rows.iloc[clears[-1]:]
-            n, last_l, cmap, max_ts, min_v = 0, [], {}, None, None
-        n += len(rows)
-        last_l = (last_l + list(rows["event_type"]))[-keep_last:]
-        for t, c in rows["event_type"].value_counts().items():
-            cmap[t] = cmap.get(t, 0) + int(c)
-        b_max, b_min = rows["ts"].max(), float(rows["value"].min())
-        max_ts = b_max if max_ts is None or b_max > max_ts else max_ts
-        min_v = b_min if min_v is None or b_min < min_v else min_v
-        counts = ",".join(f"{k}:{cmap[k]}" for k in sorted(cmap))
-        snap = (int(seen), int(n), ",".join(last_l), counts, max_ts, float(min_v))
-        state.update(snap)
-        yield pd.DataFrame([(int(key[0]),) + snap], columns=[c.split()[0] for c in KINDS_OUT.split(", ")])
-
-    return df.groupBy("user_id").applyInPandasWithState(
-        fn, KINDS_OUT, KINDS_STATE, "append", GroupStateTimeout.NoTimeout
-    )
-
-
 # -- event-time timer: login failures ----------------------------------------------
 
 LOGIN_OUT = "user_id long, first_fail timestamp, fails long"
@@ -124,7 +83,7 @@ def login_fail_alerts(df: DataFrame, limit_s: int, more_than: int = 2) -> DataFr
         if state.hasTimedOut:
             timer_us, fails, pending = state.get
             if pending and fails > more_than:
-                out.append((int(key[0]), timer_us - limit_us, fails))
+                out.append((_key(key), timer_us - limit_us, fails))
             state.update((timer_us, 0, False))
         else:
             rows = _rows(pdfs)
@@ -143,7 +102,7 @@ def login_fail_alerts(df: DataFrame, limit_s: int, more_than: int = 2) -> DataFr
                             j = int(np.searchsorted(run, timer_us, side="right"))  # first fail after the timer
                             if j < len(run):
                                 if fails + j > more_than:
-                                    out.append((int(key[0]), timer_us - limit_us, fails + j))
+                                    out.append((_key(key), timer_us - limit_us, fails + j))
                                 fails, pending = len(run) - j, False
                             else:
                                 fails += len(run)
@@ -151,18 +110,18 @@ def login_fail_alerts(df: DataFrame, limit_s: int, more_than: int = 2) -> DataFr
                             fails += len(run)
                     if hi < len(ev):  # a success: the timer may fire first, then all is cleared
                         if pending and us[hi] > timer_us and fails > more_than:
-                            out.append((int(key[0]), timer_us - limit_us, fails))
+                            out.append((_key(key), timer_us - limit_us, fails))
                         fails, timer_us, pending = 0, None, False
             if pending and timer_us // 1000 < state.getCurrentWatermarkMs():
                 # the watermark already passed the timer (rows arrived late)
                 if fails > more_than:
-                    out.append((int(key[0]), timer_us - limit_us, fails))
+                    out.append((_key(key), timer_us - limit_us, fails))
                 fails, pending = 0, False
             state.update((timer_us, fails, pending))
             if pending:
                 state.setTimeoutTimestamp(timer_us // 1000)
         if out:
-            res = pd.DataFrame(out, columns=["user_id", "first_us", "fails"])
+            res = pd.DataFrame(out, columns=["user_id", "first_us", "fails"]).astype({"user_id": "Int64"})
             res["first_fail"] = pd.to_datetime(res["first_us"], unit="us")
             yield res[["user_id", "first_fail", "fails"]]
 
@@ -171,60 +130,6 @@ def login_fail_alerts(df: DataFrame, limit_s: int, more_than: int = 2) -> DataFr
     )
 
 
-# -- strict sequence on a stream ------------------------------------------------------
-
-SEQ_STATE = "last_ids string, last_types string, last_us string"
-
-
-def sequence_matches(df: DataFrame, step_col: str, steps: list[str], within_s: int) -> DataFrame:
-    """begin.next.next... on a stream: the state keeps the key's last n-1
-    events (ids, step values, times), so a match that spans micro-batches is
-    found when its last event arrives; last minus first time strictly below
-    ``within_s``.  Overlapping matches are all emitted."""
-    n = len(steps)
-    within_us = within_s * 1_000_000
-    out_cols = ["user_id"] + [f"event_id_{j + 1}" for j in range(n)] + ["first_ts", "last_ts"]
-    out_schema = "user_id long, " + ", ".join(f"event_id_{j + 1} long" for j in range(n)) + ", first_ts timestamp, last_ts timestamp"
-
-    def fn(key, pdfs, state: GroupState):
-        rows = _rows(pdfs)
-        if rows.empty:
-            return
-        if state.exists:
-            ids_s, types_s, us_s = state.get
-            ids = [int(x) for x in ids_s.split(",")] if ids_s else []
-            types = types_s.split(",") if types_s else []
-            uss = [int(x) for x in us_s.split(",")] if us_s else []
-        else:
-            ids, types, uss = [], [], []
-        ids += [int(x) for x in rows["event_id"]]
-        types += list(rows[step_col])
-        uss += [int(x) for x in rows["ts"].to_numpy().astype("datetime64[us]").astype("int64")]
-        out = []
-        if len(ids) >= n:
-            t_arr = np.asarray(types, dtype=object)
-            ok = np.ones(len(ids) - n + 1, dtype=bool)
-            for j, st in enumerate(steps):  # step j must hold at offset j
-                ok &= t_arr[j : len(ids) - n + 1 + j] == st
-            u = np.asarray(uss, dtype=np.int64)
-            ok &= (u[n - 1 :] - u[: len(ids) - n + 1]) < within_us
-            for start in ok.nonzero()[0]:
-                end = start + n - 1
-                out.append([int(key[0])] + ids[start : end + 1] + [uss[start], uss[end]])
-        keep = n - 1
-        tail = (ids[-keep:], types[-keep:], uss[-keep:]) if keep else ([], [], [])
-        state.update((",".join(map(str, tail[0])), ",".join(tail[1]), ",".join(map(str, tail[2]))))
-        if out:
-            res = pd.DataFrame(out, columns=out_cols[:-2] + ["first_us", "last_us"])
-            res["first_ts"] = pd.to_datetime(res.pop("first_us"), unit="us")
-            res["last_ts"] = pd.to_datetime(res.pop("last_us"), unit="us")
-            yield res[out_cols]
-
-    return df.groupBy("user_id").applyInPandasWithState(
-        fn, out_schema, SEQ_STATE, "append", GroupStateTimeout.NoTimeout
-    )
-
-
 # -- two-step pattern with timeout on a stream ---------------------------------------
 
 TWO_STEP_OUT = "user_id long, event_id long, outcome string"
@@ -242,7 +147,7 @@ def two_step_with_timeout(df: DataFrame, step_col: str, first: str, second: str,
 
     def fn(key, pdfs, state: GroupState):
         out = []
-        k = int(key[0])
+        k = _key(key)
         if state.hasTimedOut:
             pid, _ = state.get
             out.append((k, pid, "timeout"))
@@ -277,7 +182,7 @@ def two_step_with_timeout(df: DataFrame, step_col: str, first: str, second: str,
                 state.update((pid, pus))
                 state.setTimeoutTimestamp((pus + limit_us) // 1000)
         if out:
-            yield pd.DataFrame(out, columns=["user_id", "event_id", "outcome"])
+            yield pd.DataFrame(out, columns=["user_id", "event_id", "outcome"]).astype({"user_id": "Int64"})
 
     return df.groupBy("user_id").applyInPandasWithState(
         fn, TWO_STEP_OUT, TWO_STEP_STATE, "append", GroupStateTimeout.EventTimeTimeout
