@@ -115,6 +115,27 @@ def timed_out(
     return starts.join(first, cond, "left_anti")
 
 
+def left_join_salted(
+    left: DataFrame, right: DataFrame, keys: list[str], hot_share: float = 1 / 256, salts: int = 16
+) -> DataFrame:
+    """Left outer equi-join on any number of keys that a hot key does not slow
+    down.
+
+    The keys of ``left`` that may hold more than ``hot_share`` of its rows are
+    found by a frequent-items sketch (one pass, about ``1 / hot_share`` hashes
+    whatever the input; it may name too many, never too few).  Rows of those
+    keys are dealt over ``salts`` parts on the left and copied to each of them
+    on the right; all others have one part.  A null key joins nothing and keeps
+    its left row.  Columns of both sides but for the keys must differ."""
+    h = F.xxhash64(*keys)
+    found = left.select(h.alias("h")).freqItems(["h"], hot_share).first()[0] or []
+    hot = h.isin([int(x) for x in found]) if found else F.lit(False)
+    part = F.when(hot, F.pmod(F.xxhash64(*left.columns, F.monotonically_increasing_id()), F.lit(salts))).otherwise(F.lit(0)).cast("int")
+    copies = F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
+    a, b = left.withColumn("_part", part), right.withColumn("_part", copies)
+    return a.join(b, [*keys, "_part"], "left").drop("_part")
+
+
 def self_left_join_count(df: DataFrame, a: str, b: str, ways: int = 3, name: str = "cnt") -> DataFrame:
     """``SELECT t1.a, t2.b, count(t1.a) FROM t t1 LEFT JOIN t t2 ON (a, b)
     [LEFT JOIN t t3 ON (a, b) ...] GROUP BY t1.a, t2.b`` without materialising

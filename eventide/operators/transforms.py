@@ -26,13 +26,20 @@ def connect_comap(left: DataFrame, right: DataFrame, f1: Column, f2: Column, nam
 
 def side_outputs(df: DataFrame, outputs: dict[str, Column | None], tag: str = "tag") -> DataFrame:
     """Main output plus side outputs from one parent, as one frame with a tag
-    column; ``None`` predicate = every row (the main output).  Read a side
-    output back with ``where(tag = name)``."""
-    parts = []
-    for name, pred in outputs.items():
-        part = df if pred is None else df.where(pred)
-        parts.append((name, part))
-    return tagged_union(parts, tag)
+    column; ``None`` predicate = every row (the main output).  The parent is
+    read once: a row gets the array of the outputs it belongs to, and the array
+    is exploded.  Read a side output back with ``where(tag = name)``, or write
+    all of them at once with ``write_outputs``."""
+    tags = [F.lit(name) if pred is None else F.when(pred, name) for name, pred in outputs.items()]
+    return df.withColumn(tag, F.explode(F.array_compact(F.array(*tags))))
+
+
+def write_outputs(tagged: DataFrame, path: str, tag: str = "tag") -> dict[str, DataFrame]:
+    """Write all outputs in one pass, a folder each, and read each back."""
+    tagged.write.mode("overwrite").partitionBy(tag).parquet(path)
+    spark = tagged.sparkSession
+    whole = spark.read.parquet(path)
+    return {r[0]: whole.where(F.col(tag) == r[0]).drop(tag) for r in whole.select(tag).distinct().toLocalIterator()}
 
 
 def rich_map(

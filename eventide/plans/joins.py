@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from eventide.functions.udfs import cogroup_process
-from eventide.operators.joins import gated_forward, gated_forward_until, reconcile, self_left_join_count, timed_out
+from eventide.operators.joins import gated_forward, gated_forward_until, left_join_salted, reconcile, self_left_join_count, timed_out
 from eventide.plans.registry import BEHAVIOR_CTE, query
 from eventide.sources.tables import behavior_view, load, order_events, pay_events, receipts
 
@@ -153,3 +153,19 @@ def left_join_3way_count(spark, d):
     beh = behavior_view(load(spark, d, "events"))
     counts = self_left_join_count(beh, "item_id", "behavior", ways=3, name="cnt")
     return counts.withColumn("cnt", F.col("cnt").cast("string"))
+
+
+@query(
+    "left_join_two_keys",
+    """
+SELECT e.event_id, coalesce(s.event_id, -1) AS signup_id
+FROM events e LEFT JOIN events s
+  ON s.event_type = 'signup' AND s.user_id = e.user_id AND CAST(s.ts AS DATE) = CAST(e.ts AS DATE)
+""",
+)
+def left_join_two_keys(spark, d):
+    """Every event with the signups of its user on its day, or -1 where there is
+    none: a left outer join on two keys."""
+    ev = load(spark, d, "events").select("event_id", "user_id", F.to_date("ts").alias("day"), "event_type")
+    signups = ev.where(F.col("event_type") == "signup").select("user_id", "day", F.col("event_id").alias("signup_id"))
+    return left_join_salted(ev.drop("event_type"), signups, ["user_id", "day"]).select("event_id", F.coalesce("signup_id", F.lit(-1)).alias("signup_id"))

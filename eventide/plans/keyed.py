@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from eventide.functions.alerts import alert_text
 from eventide.operators.keyed import keyed_positions, keyed_prefix, keyed_prefixes
 from eventide.operators.sequences import (
     followed_within,
@@ -224,6 +225,42 @@ def seq3_fail(spark, d):
     return strict_sequence(_events(spark, d), "user_id", "event_type", ["error"] * 3, "7 days")
 
 
+@query(
+    "seq3_fail_text",
+    f"""
+WITH l AS (
+  SELECT user_id, ts, event_id, '10.0.0.' || CAST(json_extract_string(props, '$.k') AS BIGINT) AS ip,
+         CASE WHEN event_type = 'error' THEN 'fail' ELSE 'success' END AS t
+  FROM events WHERE event_type IN ('error', 'signup')),
+s AS (SELECT *, lead(t, 1) OVER ({W_ORDER}) AS t2, lead(t, 2) OVER ({W_ORDER}) AS t3, lead(ip, 1) OVER ({W_ORDER}) AS ip2,
+             lead(ip, 2) OVER ({W_ORDER}) AS ip3, lead(ts, 2) OVER ({W_ORDER}) AS ts3 FROM l)
+SELECT user_id, 'user ' || coalesce(CAST(user_id AS VARCHAR), 'null') || ' failed to log in three times in a row, from '
+       || coalesce(ip, 'null') || '; ' || coalesce(ip2, 'null') || '; ' || coalesce(ip3, 'null') AS message
+FROM s WHERE t = 'fail' AND t2 = 'fail' AND t3 = 'fail' AND ts3 < ts + INTERVAL 7 DAY
+""",
+)
+def seq3_fail_text(spark, d):
+    """Three consecutive login failures, each step a predicate of its own, as
+    alert texts with the addresses."""
+    logins = login_view(_events(spark, d))
+    fail = F.col("event_type") == "fail"
+    steps = [fail, F.col("event_type") != "success", F.col("event_type").startswith("f")]
+    found = strict_sequence(logins, "user_id", None, steps, "7 days", carry=["ip"])
+    text = alert_text("user {user_id} failed to log in three times in a row, from {ip_1}; {ip_2}; {ip_3}")
+    return found.select("user_id", text.alias("message"))
+
+
+@query(
+    "login_fail_text",
+    f"""SELECT 'user ' || coalesce(CAST(user_id AS VARCHAR), 'null') || ': ' || fails || ' failed logins since '
+        || strftime(first_fail, '%Y-%m-%d %H:%M:%S') AS message FROM ({LOGIN_FAIL_SQL})""",
+)
+def login_fail_text(spark, d):
+    """The login-failure alerts as texts."""
+    text = alert_text("user {user_id}: {fails} failed logins since {since}", since=F.date_format("first_fail", "yyyy-MM-dd HH:mm:ss"))
+    return login_failures(login_view(_events(spark, d)), "user_id", "7 days", 2).select(text.alias("message"))
+
+
 _SEQ2 = f"""
 WITH s AS (
   SELECT user_id, event_id, ts, event_type,

@@ -221,9 +221,9 @@ def stream_state_list(spark, d):
 
 @query("stream_counter", "SELECT count(*) AS n FROM events")
 def stream_counter(spark, d):
-    """Running counter restored from its list state: two of the slices are
-    counted by a second query on the same checkpoint, which knows nothing of
-    the first but the list."""
+    """Running counter in list state: each of the 4 slices is counted by a query
+    started anew on the same checkpoint, which adds its tasks' numbers to the
+    list that the others left."""
     dirs, src, run_slices = _staged_events(spark, d, "counter")
     run_slices(src.writeStream.foreachBatch(counter_writer(dirs["output"])))
     return spark.read.parquet(f"{dirs['output']}/counter").agg(F.sum("n").alias("n"))

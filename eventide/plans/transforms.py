@@ -85,13 +85,15 @@ def word_count_window(spark, d):
 
 @query(
     "union_all",
-    "SELECT event_id, event_type FROM events WHERE event_type IN ('view', 'click', 'purchase')",
+    "SELECT event_id, event_type FROM events",
 )
 def union_all(spark, d):
-    """Bag union of three same-typed streams."""
+    """Bag union of same-typed streams: three event types and all others."""
     ev = load(spark, d, "events").select("event_id", "event_type")
-    parts = [(t, ev.where(F.col("event_type") == t)) for t in ("view", "click", "purchase")]
-    return tagged_union(parts, "_src").drop("_src")
+    own = ("view", "click", "purchase")
+    parts = [(t, ev.where(F.col("event_type") == t)) for t in own]
+    others = F.col("event_type").isNull() | ~F.col("event_type").isin(*own)
+    return tagged_union([*parts, ("others", ev.where(others))], "_src").drop("_src")
 
 
 @query(
