@@ -16,8 +16,8 @@ from eventide.operators.late import disordered_arrival
 from eventide.operators.ranking import top_n_per_group
 from eventide.plans.keyed import LOGIN_FAIL_SQL, SEQ3_SQL
 from eventide.plans.registry import ARRIVAL, BEHAVIOR_CTE, query, slide_ends, tumble_end
-from eventide.plans.windows import HOT_ITEMS_SQL, HOT_ITEMS_SQL5, hot_items_df
-from eventide.sources.tables import behavior_view, load, login_view, marketing_view, page_views, sensor_view
+from eventide.plans.windows import HOT_ITEMS_SQL, HOT_ITEMS_SQL5, hot_items_df, top_items_sql
+from eventide.sources.tables import load, login_view, marketing_view, page_views, sensor_view
 from eventide.streaming.sinks import (
     read_json_docs,
     read_upserted,
@@ -276,28 +276,13 @@ def sink_upsert(spark, d):
     ev = load(spark, d, "events")
     cut = (time_quantiles(ev, "ts", 2) or [None])[0]
     first_half = ev if cut is None else ev.where(F.col("ts") < F.lit(cut))
-    upsert_windows(_top5_sql(spark, first_half), target)
-    full = _top5_sql(spark, ev)
+    upsert_windows(top_items_sql(spark, first_half), target)
+    full = top_items_sql(spark, ev)
     upsert_windows(full, target)
     upsert_windows(full, target)
     return read_upserted(spark, target).select("item_id", "cnt", "window_end", "row_num")
 
 
-def _top5_sql(spark, events):
-    src = behavior_view(events).select("item_id", "behavior", "ts")
-    return spark.sql(
-        """
-        SELECT item_id, cnt, window_end, CAST(row_num AS BIGINT) AS row_num
-        FROM (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id) AS row_num
-              FROM (SELECT item_id, count(item_id) AS cnt, window(ts, '1 hour', '5 minutes').end AS window_end
-                    FROM {src} WHERE behavior = 'pv'
-                    GROUP BY window(ts, '1 hour', '5 minutes'), item_id))
-        WHERE row_num <= 5
-        """,
-        src=src,
-    )
-
-
 def _run_changelog(spark, d):
     """Top 5 items per hop window, kept by an update-mode stream over 4
     event-time slices."""

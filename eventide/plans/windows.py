@@ -15,8 +15,7 @@ from eventide.operators.windows import (
     tumbling,
 )
 from eventide.plans.registry import BEHAVIOR_CTE, query, slide_ends, tumble_end
-from eventide.sources.tables import behavior_view, load, marketing_view, page_views, sensor_view
-from eventide.sources.text import access_log_lines, parse_access_log
+from eventide.sources.tables import load, marketing_view, page_views, sensor_view
 
 
 def _pv(spark, d):
@@ -63,26 +62,37 @@ WHERE row_num <= 5
 """
 
 
-@query("hot_items_sql", HOT_ITEMS_SQL5)
-def hot_items_sql(spark, d):
-    """The SQL job: view with three fields, hop window, row_number <= 5."""
-    data_table = behavior_view(load(spark, d, "events")).select("item_id", "behavior", "ts")
+def top_items_sql(spark, events, n=5):
+    """Top ``n`` items per 1 h / 5 min hop window in SQL.  The type filter is on
+    the stored column, so the scan takes it; views are counted in 5 minute
+    panes before a pane is added to the windows that hold it."""
     return spark.sql(
         """
-        SELECT item_id, cnt, window_end, CAST(row_num AS BIGINT) AS row_num
-        FROM (
-          SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id) AS row_num
-          FROM (
-            SELECT item_id, count(item_id) AS cnt, window(ts, '1 hour', '5 minutes').end AS window_end
-            FROM {data_table}
-            WHERE behavior = 'pv'
-            GROUP BY window(ts, '1 hour', '5 minutes'), item_id))
-        WHERE row_num <= 5
+        WITH panes AS (
+          SELECT item_id, pane, count(item_id) AS views
+          FROM (SELECT item_id, unix_micros(CAST(ts AS TIMESTAMP)) AS us, us - pmod(us, {slide}) AS pane FROM {views})
+          GROUP BY item_id, pane),
+        hops AS (
+          SELECT item_id, explode(sequence(pane + {slide}, pane + {size}, {slide})) AS hop, views FROM panes),
+        counts AS (
+          SELECT item_id, CAST(timestamp_micros(hop) AS TIMESTAMP_NTZ) AS window_end, sum(views) AS cnt FROM hops GROUP BY item_id, hop),
+        ranked AS (
+          SELECT item_id, cnt, window_end, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id) AS place FROM counts)
+        SELECT item_id, cnt, window_end, CAST(place AS BIGINT) AS row_num FROM ranked WHERE place <= {n}
         """,
-        data_table=data_table,
+        views=page_views(events).select("item_id", "ts"),
+        slide=300_000_000,
+        size=3_600_000_000,
+        n=n,
     )
 
 
+@query("hot_items_sql", HOT_ITEMS_SQL5)
+def hot_items_sql(spark, d):
+    """The SQL job: top 5 items of every hop window."""
+    return top_items_sql(spark, load(spark, d, "events"))
+
+
 @query(
     "hot_urls",
     f"""
@@ -98,8 +108,11 @@ WHERE rank <= 5
 """,
 )
 def hot_urls(spark, d):
-    """Parsed access log, 1 min / 5 s windows, top 5 URLs per window."""
-    log = parse_access_log(access_log_lines(load(spark, d, "events")))
+    """Access log records, 1 min / 5 s windows, top 5 URLs per window.  URL and
+    second are projected from the rows; ``parse_access_log`` has the way through
+    log lines."""
+    url = F.concat(F.lit("/p/"), F.get_json_object("props", "$.k"))
+    log = load(spark, d, "events").select(url.alias("url"), F.date_trunc("second", F.col("ts")).cast("timestamp_ntz").alias("ts"))
     counts = sliding_count(log, "ts", "1 minute", "5 seconds", ["url"], "cnt")
     return top_n_per_group(counts, ["window_end"], [F.desc("cnt"), F.asc("url")], 5).select(
         "window_end", "url", "cnt", "rank"

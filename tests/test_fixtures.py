@@ -294,14 +294,3 @@ def test_window_process_per_group_and_salted(spark):
 
     salted = window_process(df, ["k", "w"], part, schema, combine=comb, salt_buckets=8)
     assert rows(salted, "k", "lo", "hi") == [(1, 0.0, 49.0), (2, 7.0, 7.0)]
-
-
-def test_batch_watermarks_both_paths(spark):
-    from eventide.operators.late import split_late_records
-
-    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    ev = ev.withColumn("arrival", F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("event_id") * 7919) % 10800))
-    small = split_late_records(ev, "ts", "arrival", "1 hour").select("event_id", "tag")
-    big = split_late_records(ev, "ts", "arrival", "1 hour", single_task_max=0).select("event_id", "tag")
-    assert small.exceptAll(big).count() == 0 and big.exceptAll(small).count() == 0
-    assert small.where("tag = 'late'").count() > 0
