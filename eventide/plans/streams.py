@@ -10,6 +10,8 @@ still open then are emitted too and the results are those of the batch forms.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from eventide.operators.late import disordered_arrival
@@ -17,7 +19,7 @@ from eventide.operators.ranking import top_n_per_group
 from eventide.plans.keyed import LOGIN_FAIL_SQL, SEQ3_SQL
 from eventide.plans.registry import ARRIVAL, BEHAVIOR_CTE, query, slide_ends, tumble_end
 from eventide.plans.windows import HOT_ITEMS_SQL, HOT_ITEMS_SQL5, hot_items_df, top_items_sql
-from eventide.sources.tables import load, login_view, marketing_view, page_views, sensor_view
+from eventide.sources.tables import behavior_view, load, login_view, marketing_view, page_views, sensor_view
 from eventide.streaming.sinks import (
     read_json_docs,
     read_upserted,
@@ -38,7 +40,7 @@ from eventide.streaming.sources import (
 )
 from eventide.streaming.carry import counter_writer, last_state, sequence_writer, state_kinds_writer, state_list
 from eventide.streaming.changelog import VersionedTable, top_n_writer
-from eventide.streaming.late import late_split_writer, run_per_slice
+from eventide.streaming.late import close_firing_log, firing_log_writer, late_split_writer, run_per_slice
 from eventide.streaming.state import (
     jump_alerts,
     login_fail_alerts,
@@ -351,6 +353,7 @@ def sink_json_docs(spark, d):
 # -- late data on streams: micro-batch = 3-day arrival slice ------------------
 
 TRIGGER_DAYS = 3
+LONGEST = dt.timedelta(hours=3)  # of an arrival after its event
 STREAM_LATE_CTE = f"""
 a AS (SELECT *, {ARRIVAL} AS arrival,
              time_bucket(INTERVAL '{TRIGGER_DAYS} days', {ARRIVAL}, TIMESTAMP '1970-01-01') AS batch FROM events),
@@ -378,7 +381,7 @@ def stream_late_split(spark, d):
     out, state = dirs["output"], f"{dirs['base']}/batch-max"
     src = dir_stream(spark, f"{dirs['input']}/slice-*", ev.schema, max_files=None)
     writer = src.writeStream.foreachBatch(late_split_writer(state, out))
-    run_per_slice(ev, "arrival", TRIGGER_DAYS, dirs["input"], lambda: run_available(writer, dirs["checkpoint"]))
+    run_per_slice(ev, "arrival", TRIGGER_DAYS, dirs["input"], lambda: run_available(writer, dirs["checkpoint"]), "ts", LONGEST)
     return spark.read.parquet(out).select("event_id", "tag")
 
 
@@ -410,11 +413,55 @@ def stream_allowed_lateness(spark, d):
         batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     writer = counts.writeStream.outputMode("update").foreachBatch(write)
-    run_per_slice(ev, "arrival", TRIGGER_DAYS, dirs["input"], lambda: run_available(writer, dirs["checkpoint"]))
+    run_per_slice(ev, "arrival", TRIGGER_DAYS, dirs["input"], lambda: run_available(writer, dirs["checkpoint"]), "ts", LONGEST)
     fired = spark.read.parquet(out)
     return fired.groupBy("user_id", "window_end").agg(F.max_by("n", "batch_id").alias("n"))
 
 
+@query(
+    "stream_lateness_firings",
+    f"""WITH {STREAM_LATE_CTE},
+nx AS (SELECT batch, max(mx) OVER (ORDER BY batch) AS after FROM b),
+y AS (SELECT user_id, {tumble_end('ts', '1 hour')} AS window_end, batch, wm FROM x),
+c AS (SELECT window_end, (SELECT min(batch) FROM nx WHERE after >= window_end) AS closed_in FROM (SELECT DISTINCT window_end FROM y)),
+f AS (SELECT user_id, window_end, CASE WHEN closed_in IS NOT NULL THEN greatest(batch, closed_in) END AS fired_in, count(*) AS c
+      FROM y JOIN c USING (window_end) WHERE wm IS NULL OR window_end + INTERVAL 1 HOUR > wm GROUP BY ALL)
+SELECT user_id, window_end, CAST(sum(c) OVER (PARTITION BY user_id, window_end ORDER BY fired_in NULLS LAST) AS BIGINT) AS n,
+       CASE WHEN row_number() OVER (PARTITION BY user_id, window_end ORDER BY fired_in NULLS LAST) = 1 THEN 'first' ELSE 'update' END AS kind
+FROM f""",
+)
+def stream_lateness_firings(spark, d):
+    """Every firing of 1 h windows with 1 h of allowed lateness on a stream of
+    3-day arrival micro-batches: first results and updates by late rows."""
+    dirs = new_stream_dirs(spark, "lateness-firings")
+    ev, out = _arrivals(spark, d), dirs["output"]
+    src = dir_stream(spark, f"{dirs['input']}/slice-*", ev.schema, max_files=None)
+    writer = src.writeStream.foreachBatch(firing_log_writer(out, "user_id", "1 hour", "1 hour"))
+    run_per_slice(ev, "arrival", TRIGGER_DAYS, dirs["input"], lambda: run_available(writer, dirs["checkpoint"]), "ts", LONGEST)
+    close_firing_log(spark, out, "user_id", "1 hour")
+    return spark.read.parquet(f"{out}/firings").select("user_id", "window_end", "n", "kind")
+
+
+@query(
+    "stream_group_count",
+    f"WITH {BEHAVIOR_CTE} SELECT item_id, behavior, count(item_id) AS cnt FROM behavior GROUP BY item_id, behavior",
+)
+def stream_group_count(spark, d):
+    """SQL GROUP BY and count as an updating stream: each micro-batch replaces
+    the counts it changes in a versioned table."""
+    dirs, src, run_slices = _staged_events(spark, d, "group-count")
+    counts = spark.sql(
+        "SELECT item_id, behavior, count(item_id) AS cnt FROM {b} GROUP BY item_id, behavior", b=behavior_view(src)
+    )
+    group = ["item_id", "behavior"]
+
+    def update(batch, batch_id):
+        VersionedTable(batch.sparkSession, dirs["output"], group).replace(batch, batch.select(*group), batch_id)
+
+    run_slices(counts.writeStream.outputMode("update").foreachBatch(update))
+    return VersionedTable(spark, dirs["output"], group).read().select("item_id", "behavior", "cnt")
+
+
 @query("stream_login_fail", LOGIN_FAIL_SQL)
 def stream_login_fail(spark, d):
     """Login-failure timer on a stream (event-time timeouts in keyed state),

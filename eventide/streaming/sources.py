@@ -55,11 +55,12 @@ def stage_slices(df: DataFrame, path: str, ts: str, bounds: list, start_index: i
     return out
 
 
-def run_in_slices(df: DataFrame, ts: str, bounds: list, input_path: str, run) -> None:
+def run_in_slices(df: DataFrame, ts: str, bounds: list, input_path: str, run, stored=None) -> None:
     """Stage one event-time slice [b_i, b_i+1) at a time under
     ``input_path/slice-<i>`` and let ``run()`` drain it (``availableNow`` on
     one checkpoint): every micro-batch is exactly one slice, however many
-    files the slice was written as."""
+    files the slice was written as.  Where ``ts`` is computed, ``stored(lo, hi)``
+    gives a condition on stored columns that every row of a slice meets."""
     edges = [None, *bounds, None]
     for i in range(len(edges) - 1):
         lo, hi = edges[i], edges[i + 1]
@@ -68,7 +69,8 @@ def run_in_slices(df: DataFrame, ts: str, bounds: list, input_path: str, run) ->
             cond = cond & (F.col(ts) >= F.lit(lo))
         if hi is not None:
             cond = cond & (F.col(ts) < F.lit(hi))
-        stage_slices(df.where(cond), input_path, ts, [], i)
+        part = df if stored is None else df.where(stored(lo, hi))
+        stage_slices(part.where(cond), input_path, ts, [], i)
         run()
 
 

@@ -18,6 +18,7 @@ from eventide.operators.transforms import side_outputs, write_outputs
 from eventide.operators.windows import sliding_approx_distinct, sliding_distinct
 from eventide.streaming.carry import counter_writer, last_state, restored_count, sequence_writer, state_kinds_writer, state_list
 from eventide.streaming.changelog import VersionedTable, top_n_writer
+from eventide.streaming.late import close_firing_log, firing_log_writer
 
 T0 = dt.datetime(2024, 1, 1)
 EVENT = "user_id long, ts timestamp_ntz, event_id long, event_type string, value double"
@@ -231,6 +232,24 @@ def test_firing_log(spark, seed):
     assert {"first", "update"} == {w[4] for w in want} and got == want
 
 
+def test_firing_log_of_a_stream(spark, tmp_path):
+    rng, rows, path = random.Random(9), [], str(tmp_path)
+    for i in range(120):
+        ts = i * 10 + rng.randrange(10)
+        rows.append((rng.choice(["x", "x", "y", None]), ts, ts + rng.choice([0, 0, 30, 100, 300])))
+    run = firing_log_writer(path, "k", "60 seconds", "60 seconds", delay_us=10_000_000)
+    for b, start in enumerate(sorted({a // 200 for _, _, a in rows})):
+        batch = spark.createDataFrame([(k, at(t)) for k, t, a in rows if a // 200 == start], "k string, ts timestamp_ntz")
+        run(batch, b)
+        if b == 2:
+            run(batch, b)  # replayed
+    close_firing_log(spark, path, "k", "60 seconds", 10_000_000)
+    got = spark.read.parquet(f"{path}/firings").collect()
+    got = Counter((r.k, int((r.window_end - T0).total_seconds()), r.n, r.kind) for r in got)
+    want = plain_firings(rows, 60, 60, 200, 10)
+    assert got == Counter((k, e, n, kind) for k, e, _, n, kind in want.elements()) and "update" in {w[4] for w in want}
+
+
 def test_grid_fires_without_own_rows(spark):
     rows = [("x", 5), ("y", 12), ("y", 31), ("x", 33), ("y", 47), ("x", 70)]
     df = spark.createDataFrame([(k, at(t)) for k, t in rows], "k string, ts timestamp_ntz")
