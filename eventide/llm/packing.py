@@ -14,11 +14,14 @@ rows; only doc_id and text are read."""
 
 from __future__ import annotations
 
+import json
+import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,41 +32,147 @@ CAPACITY = 2048
 END_ID = 0
 SHARD_PIECES = 1 << 15
 MEMO_WORDS = 1_000_000  # words whose ids a task remembers
-GROUP = 256  # texts whose unknown words are encoded together
+LONG_WORD = 64  # characters; longer words are encoded each time
+BATCH_BYTES = 1 << 23  # of text whose distinct words are looked up together
+BLOCK_WORDS = 1 << 14  # whose ids are gathered together, within the processor's cache
+PLAIN = "\u0250"  # characters below are composed and have simple small letters
+
+
+def _split_pattern(conf: dict) -> str | None:
+    """The pattern by which a tokenizer cuts a printable word of characters
+    below PLAIN, if it only lower-cases and cuts it and takes the parts' bytes
+    before its model runs; else None."""
+    normal, cut = conf["normalizer"] or {}, conf["pre_tokenizer"] or {}
+    steps = {n["type"] for n in normal.get("normalizers", []) if n["type"] != "Replace" or n["pattern"] == {"Regex": "\\s+"}}
+    parts = cut.get("pretokenizers", [])
+    # composition and white space do not concern such words
+    if len(steps) != len(normal.get("normalizers", [])) or "Lowercase" not in steps or steps - {"NFC", "Replace", "Lowercase"}:
+        return None
+    if [p["type"] for p in parts] != ["Split", "ByteLevel"] or conf["post_processor"] or conf["truncation"]:
+        return None
+    split, byte_level = parts
+    if (split["behavior"], split["invert"]) != ("Removed", True) or byte_level["add_prefix_space"] or byte_level["use_regex"]:
+        return None
+    return split["pattern"].get("Regex")
+
+
+def _byte_letters() -> dict[int, int]:
+    """The byte-level alphabet: printable bytes stand for themselves, the
+    others for the characters from 256 on, in turn."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + n for n, b in enumerate(hidden)}
+
+
+def _as_bytes(ids: list[int]) -> bytes:
+    """Little-endian, unsigned, 32 bits each; bytes cost Python's collector nothing."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class _PartIds(dict):
+    """Ids of the parts of words, from the tokenizer's model when first asked for."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.model = tokenizer.model
+        self.letters = _byte_letters()
+
+    def __missing__(self, part: str) -> bytes:
+        letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+        ids = self[part] = _as_bytes([t.id for t in self.model.tokenize(letters)])
+        return ids
 
 
 class WordEncoder:
-    """Token ids of texts as little-endian uint32 bytes, for a tokenizer whose
-    white space only separates: the ids of a text are those of its words in
-    turn, so each distinct word is encoded once.  Words are remembered in a
-    bounded table."""
+    """Token ids of texts, for a tokenizer whose white space only separates:
+    the ids of a text are those of its words in turn.  Arrow splits a batch
+    and numbers its distinct words; only these are looked up, in a bounded
+    table, and the ids of all words are gathered from one array.  Where the
+    tokenizer cuts words by a pattern, each part of a word is encoded once."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end_id: int):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.ids: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> Iterator[bytes]:
-        for e in self.tokenizer.encode_batch(texts, add_special_tokens=False):
-            yield np.array(e.ids, "<u4").tobytes()
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [t.split() for t in texts]
-        if len(self.ids) > MEMO_WORDS:
-            self.ids.clear()
-        new = list(set().union(*cut) - self.ids.keys())
-        self.ids.update(zip(new, self._encode(new), strict=True))
-        out = [b"".join([self.ids[w] for w in words]) for words in cut]
-        for k, t in enumerate(texts):
-            # str.split also cuts at the four ASCII separators, the tokenizer does not
-            if any(c in t for c in "\x1c\x1d\x1e\x1f"):
-                out[k] = next(self._encode([t]))
+        with open(path, encoding="utf-8") as f:
+            conf = json.load(f)
+        pattern = _split_pattern(conf)
+        self.parts = regex.compile(pattern).findall if pattern else None
+        self.added = [t["content"] for t in conf["added_tokens"]]
+        self.end_id = end_id
+        self._forget()
+
+    def _forget(self) -> None:
+        self.part_ids = _PartIds(self.tokenizer)
+        self.number: dict[str, int] = {"": 1}  # place in start and length; 0 is the end id
+        self.start, self.length, self.ids = np.array([0, 1]), np.array([1, 0]), np.array([self.end_id], "<u4")
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        out: list = [None] * len(words)
+        rest = []
+        parts, part_ids = self.parts, self.part_ids
+        joined = "\n".join(words)
+        added = [a for a in self.added if a in joined]
+        for k, w in enumerate(words):
+            if parts and w.isprintable() and (w.isascii() or max(w) < PLAIN) and not (added and any(a in w for a in added)):
+                out[k] = b"".join([part_ids[p] for p in parts(w.lower())])
+            else:
+                rest.append(k)
+        for k, e in zip(rest, self.tokenizer.encode_batch([words[k] for k in rest], add_special_tokens=False), strict=True):
+            out[k] = _as_bytes(e.ids)
         return out
 
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """Places of distinct words, encoding those not known."""
+        number = self.number
+        places = [number.get(w, -1) for w in words]
+        new = [k for k, n in enumerate(places) if n < 0]
+        if new:
+            encoded = self._encode([words[k] for k in new])
+            length = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
+            start = len(self.ids) + np.cumsum(length) - length
+            at = len(self.start)
+            self.start, self.length = np.concatenate([self.start, start]), np.concatenate([self.length, length])
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(encoded), "<u4")])
+            for n, k in enumerate(new, at):
+                places[k] = n
+                if len(words[k]) <= LONG_WORD:
+                    number[words[k]] = n
+        return np.array(places, np.int64)
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, the end id behind each, and each text's first place."""
+        if len(self.start) > MEMO_WORDS or len(self.ids) > 8 * MEMO_WORDS:
+            self._forget()
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        words = lists.flatten().dictionary_encode()
+        places = self._numbers(words.dictionary.to_numpy(zero_copy_only=False).tolist())[words.indices.to_numpy(zero_copy_only=False)]
+        ends = lists.offsets.to_numpy()[1:].astype(np.int64)
+        places = np.insert(places, ends, 0)
+        length = self.length[places]
+        bounds = np.concatenate([[0], np.cumsum(length)])
+        out = np.empty(int(bounds[-1]), "<u4")
+        for at in range(0, len(places), BLOCK_WORDS):
+            own = slice(at, at + BLOCK_WORDS)
+            first, last = bounds[at], bounds[min(at + BLOCK_WORDS, len(places))]
+            out[first:last] = self.ids[np.repeat(self.start[places[own]] - bounds[:-1][own], length[own]) + np.arange(first, last)]
+        return out, np.concatenate([[0], bounds[ends + np.arange(1, len(ends) + 1)]])
+
+
+def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch in turn, about BATCH_BYTES of text at a time."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        read = size[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(size, read + BATCH_BYTES, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) of ``docs``."""
@@ -78,28 +187,24 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
             *([T.StructField("ids", T.BinaryType())] if keep_ids else []),
         ]
     )
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = kept_by_process(("packing", tokenizer), lambda: WordEncoder(tokenizer))
+        encode = kept_by_process(("packing", tokenizer, end_id), lambda: WordEncoder(tokenizer, end_id))
         for whole in batches:
-            for at in range(0, whole.num_rows, GROUP):
-                b = whole.slice(at, GROUP)
-                row, piece, start, length, crc, ids = [], [], [], [], [], []
-                for k, tokens in enumerate(encode([t or "" for t in b.column(1).to_pylist()])):
-                    tokens += end
-                    for p, s in enumerate(range(0, len(tokens), 4 * capacity)):
-                        part = tokens[s : s + 4 * capacity]
-                        row.append(k)
-                        piece.append(p)
-                        start.append(s // 4)
-                        length.append(len(part) // 4)
-                        crc.append(zlib.crc32(part))
-                        if keep_ids:
-                            ids.append(part)
+            for b in _slices(whole, 1):
+                ids, bounds = encode(b.column(1))
+                size = np.diff(bounds)
+                parts = -(-size // capacity)
+                row = np.repeat(np.arange(len(size)), parts)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
+                start = piece * capacity
+                length = np.minimum(size[row] - start, capacity)
+                places = np.concatenate([[0], np.cumsum(length)])
+                raw = memoryview(ids).cast("B")
+                cut = [raw[4 * i : 4 * j] for i, j in zip(places[:-1].tolist(), places[1:].tolist(), strict=True)]
                 columns = [
-                    b.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                    pa.array(length, pa.int64()), pa.array(crc, pa.int64()), *([pa.array(ids, pa.binary())] if keep_ids else []),
+                    b.column(0).take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
+                    pa.array([zlib.crc32(c) for c in cut], pa.int64()), *([pa.array(map(bytes, cut), pa.binary())] if keep_ids else []),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
