@@ -77,7 +77,7 @@ def _fold():
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(_fold() != TEST_FOLD)
-    model = toxicity.fit(docs.join(labels, "doc_id"))
+    model = toxicity.fit(docs, labels)
     scored = toxicity.score(docs, model)
     return scored.select(
         "doc_id", F.coalesce(_fold() == TEST_FOLD, F.lit(False)).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted")

@@ -21,8 +21,9 @@ bounded sample of training rows (``MAX_DOCS`` documents by hash order, see
 
 Defined results: null and empty texts have no subsequences and get the
 curve's value at 0; equal texts get equal scores; without any labelled row of
-both kinds every score is the share of toxic labels (0 without labels); only
-doc_id and text are read."""
+both kinds every score is the share of toxic labels (0 without labels); rows
+without a doc_id are scored but have no label; only doc_id and text are read.
+Letters of other alphabets are symbols by their number, whole texts count."""
 
 from __future__ import annotations
 
@@ -60,28 +61,38 @@ PATTERNS = [(0, *c) for c in combinations(range(1, SPAN), LETTERS - 1)]
 WEIGHTS = [DECAY ** (p[-1] + 1 - LETTERS) for p in PATTERNS]
 
 
-def _fold_table() -> bytes:
-    """Latin-1 bytes to symbols: 1..26 letters without accents and case,
-    27 anything else; digits and signs that stand for letters are read so."""
+OTHER = 27
+
+
+def _fold_table() -> np.ndarray:
+    """Characters to symbols: 1..26 letters without accents and case, OTHER
+    anything else; digits and signs that stand for letters are read so, and
+    letters of other alphabets take the symbols in turn."""
     import unicodedata
 
-    out = []
+    out = np.full(1 << 16, OTHER, np.uint8)
     alike = dict(zip("013457@$", "oieastas", strict=True))
-    for c in range(256):
+    for c in range(len(out)):
         ch = unicodedata.normalize("NFKD", chr(c).lower())[:1]
         ch = alike.get(ch, ch)
-        out.append(ord(ch) - 96 if "a" <= ch <= "z" else 27)
-    return bytes(out)
+        if "a" <= ch <= "z":
+            out[c] = ord(ch) - 96
+        elif ch.isalpha():
+            out[c] = 1 + ord(ch) % 26
+    return out
 
 
 FOLD = _fold_table()
-OTHER = 27
 
 
 def codes(text: str | None) -> np.ndarray:
     """Symbols of a text; each run of other characters is one symbol, and none
     between letters that stand alone."""
-    raw = np.frombuffer(f" {text or ''} ".encode("latin-1", "replace").translate(FOLD), np.uint8)
+    points = np.frombuffer(f" {text or ''} ".encode("utf-32-le", "surrogatepass"), "<u4")
+    raw = FOLD[np.minimum(points, len(FOLD) - 1)]
+    far = points >= len(FOLD)
+    if far.any():
+        raw[far] = 1 + points[far] % 26
     keep = np.ones(len(raw), bool)
     keep[1:] = (raw[1:] != OTHER) | (raw[:-1] != OTHER)
     x = raw[keep]
@@ -187,12 +198,23 @@ def _least_evidence(candidates: DataFrame, tested: int) -> float | None:
     return least
 
 
-def landmark_words(labelled: DataFrame, n: int = LANDMARKS) -> tuple[list[str], list[str]]:
+def _identity(docs: DataFrame) -> DataFrame:
+    """``docs`` with 128 bits of its text's hashes, which stand for the text in shuffles."""
+    text = F.coalesce("text", F.lit(""))
+    return docs.select("doc_id", "text", F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"))
+
+
+def landmark_words(docs: DataFrame, keys: DataFrame, n: int = LANDMARKS) -> tuple[list[str], list[str]]:
     """All stems that are telling of toxic documents, the most telling first,
     and the n most frequent stems of clean ones, by counts of different texts
-    over all rows of ``labelled``."""
-    labelled = labelled.dropDuplicates(["text", "toxic"])  # copies are one piece of evidence
-    rows = labelled.select("toxic", F.explode(_words(F.col("text"))).alias("w"))
+    over all rows of ``keys``, the labelled (doc_id, h1, h2, toxic) of
+    ``docs``.  The texts stay where they are: one row of each text and label
+    is chosen by the hashes, and only its stems are shuffled."""
+    # copies are one piece of evidence
+    labelled = staged(keys.groupBy("h1", "h2", "toxic").agg(F.min("doc_id").alias("doc_id")), "toxicity-texts")
+    stems = docs.select("doc_id", "h1", "h2", _words(F.col("text")).alias("stems"))
+    chosen = stems.join(labelled, ["doc_id", "h1", "h2"]).dropDuplicates(["doc_id", "h1", "h2", "toxic"])
+    rows = chosen.select("toxic", F.explode("stems").alias("w"))
     counts = staged(
         rows.groupBy("w")
         .agg(F.sum("toxic").cast("double").alias("bad"), F.sum(1 - F.col("toxic")).cast("double").alias("good")),
@@ -257,21 +279,24 @@ def _best_window(text: str, found: dict[str, float]) -> str:
     return text[max(0, at - 6) : at + WINDOW - 6]
 
 
-def fit(labelled: DataFrame) -> Model:
-    """``labelled``: (doc_id, text, toxic) of the training rows."""
-    labelled = labelled.where("toxic in (0, 1)")
-    bad, good = landmark_words(labelled)
-    share = labelled.agg(F.avg("toxic")).first()[0] or 0.0
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """``docs``: (doc_id, text); ``labels``: (doc_id, toxic) of the training rows."""
+    docs = _identity(docs)
+    keys = staged(docs.drop("text").join(labels.where("toxic in (0, 1)").select("doc_id", "toxic"), "doc_id"), "toxicity-labelled")
+    bad, good = landmark_words(docs, keys)
+    share = keys.agg(F.avg("toxic")).first()[0] or 0.0
     if not bad:
         return _constant(share)
     # bounded sample: MAX_DOCS documents by hash, MAX_SENTENCES sentences of each by hash
+    taken = keys.distinct().orderBy(F.xxhash64("doc_id", "h1"), "doc_id", "h2", "toxic").limit(MAX_DOCS)
+    taken = F.broadcast(staged(taken, "toxicity-taken"))
     sentences = F.filter(F.split(F.coalesce("text", F.lit("")), r"[.!?\n|]+"), lambda s: F.length(s) >= LETTERS)
     sample = (
-        labelled.orderBy(F.xxhash64("doc_id", "text")).limit(MAX_DOCS)
-        .select("toxic", F.slice(F.array_sort(F.transform(sentences, lambda s: F.struct(F.xxhash64(s).alias("h"), F.substring(s, 1, 400).alias("s")))), 1, MAX_SENTENCES).alias("x"))
-        .select("toxic", F.col("x.s").alias("x"))
+        docs.join(taken, ["doc_id", "h1", "h2"]).dropDuplicates(["doc_id", "h1", "h2", "toxic"])
+        .select("doc_id", "toxic", F.slice(F.array_sort(F.transform(sentences, lambda s: F.struct(F.xxhash64(s).alias("h"), F.substring(s, 1, 400).alias("s")))), 1, MAX_SENTENCES).alias("x"))
+        .select("doc_id", "toxic", F.col("x.s").alias("x"))
     )
-    rows = staged(sample, "toxicity-sample").collect()
+    rows = staged(sample, "toxicity-sample").orderBy("doc_id", "toxic", "x").collect()
     landmarks = [features(w) for w in bad + good]
     landmarks = [m for m in landmarks if m]
     gram = np.array([[kernel(a, b) for b in landmarks] for a in landmarks])

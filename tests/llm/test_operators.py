@@ -293,7 +293,8 @@ def test_toxicity(spark):
         return (k, text(k, 60) + (" you idiot " if bad else " ") + text(1000 + k, 20), int(bad))
 
     rows = [doc(k, k % 4 == 0) for k in range(160)]
-    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    known = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(known, known)
     fresh = [doc(5000 + k, k % 2 == 0) for k in range(40)]
     got = {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame(fresh, "doc_id long, text string, toxic int"), model).collect()}
     assert all((got[k] >= 0.3) == bool(y) for k, _, y in fresh)
@@ -307,13 +308,22 @@ def test_landmarks_of_rare_insults(spark):
     rare = [(f"{'bcdfghjklm'[k % 10]}{'aeiouwxy'[k // 10]}zurro {text(5000 + 10 * k + j, 30)} r{j}", 1) for k in range(80) for j in range(8)]
     clean = [(f"{text(9000 + k, 30)} c{k}", 0) for k in range(3000)]
     rows = [(i, t, y) for i, (t, y) in enumerate(bad + rare + clean)]
-    found, _ = toxicity.landmark_words(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    known = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    docs = toxicity._identity(known)
+    found, _ = toxicity.landmark_words(docs, docs.drop("text").join(known.select("doc_id", "toxic"), "doc_id"))
     assert set(found) == {t.split()[0][: toxicity.STEM] for t, y in bad + rare}
 
 
 def test_toxicity_without_labels(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, toxic int")
-    assert toxicity.fit(empty).score("anything") < 0.01
+    assert toxicity.fit(empty, empty).score("anything") < 0.01
+
+
+def test_symbols_of_all_alphabets():
+    assert toxicity.codes("Šé Éš").tolist() == toxicity.codes("se es").tolist()
+    assert len(set(toxicity.codes("слово λέξη").tolist()) - {toxicity.OTHER}) > 4
+    assert toxicity.codes("\U0001d400\ud800").size == toxicity.codes("a").size
+    assert toxicity.codes(None).tolist() == toxicity.codes("").tolist() == [toxicity.OTHER]
 
 
 def test_kernel_counts_subsequences():
