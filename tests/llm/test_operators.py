@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -387,3 +388,20 @@ def test_tool_calls(spark):
     assert got[1, "e"].errors == got[1, "f"].errors == "order: cycle"
     assert got[1, "z"].status == "orphan" and got[None, "a"].status == "linked"
     assert toolcalls.link(calls.where("false"), results.where("false")).count() == 0
+
+
+def test_word_ids_equal_the_library():
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("word_bpe_49k.json")
+    odd = [
+        *(f"a{chr(c)}b {chr(c)}X{chr(c)}" for c in range(0x250)), "a<|endoftext|>b x", "A\u00a0b\u2003c\u3000", "x\x1cy \x1f", "don't I'LL 12345 $$$",
+        "e\u0301 \u03a3\u0391\u03a3 \u039f\u0394\u039f\u03a3.", "\x00\x01ab", "", None, "  lead\ttrail \n", "a" * 200 + " " + "b" * 70, text(1, 6000),
+    ]
+    encode, plain = packing.WordEncoder(path, 0), Tokenizer.from_file(path)
+    assert encode.parts is not None
+    for _ in range(2):  # the second time words are known
+        ids, bounds = encode(pa.array(odd, pa.string()))
+        got = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        assert got == [[*plain.encode(t or "", add_special_tokens=False).ids, 0] for t in odd]
+    assert encode(pa.array([], pa.string()))[0].size == 0
