@@ -10,24 +10,35 @@ to there, relative to now.  Each transition is annotated with the change of
 the token count.
 
 States and transitions are compiled when first used, from the model's pieces
-and the model's own encoding of token pairs, and kept in a table of bounded
-size.  Long texts are cut into chunks.  The map of a chunk takes an entry
-state to (exit state, tokens): beyond the chunk's first word boundary it does
-not depend on the entry state, so the map is stored as that head, the count of
-the rest and the exit state.  Maps compose associatively, and are combined in
-a tree.  The map of a whole word is a constant for the same reason; the ones
-in use are remembered as single transitions, in a table of bounded size.
+and the model's own encoding of token pairs, and kept in tables of bounded
+size.
+
+Texts are cut into chunks: words, and pieces of ``CHUNK`` characters of longer
+words.  The map of a chunk takes an entry state to (exit state, tokens).  A
+whole word's map is a constant, since nothing merges across a word boundary:
+Arrow cuts and numbers the words of a batch, each distinct word is run once,
+and the maps of all chunks of the batch compose in one prefix scan (for
+constants a running sum), read off at the ends of the documents.  The map of a
+piece of a long word is its run from the first state; another entry state only
+has to be followed until both runs are in the same state.  Such maps compose
+associatively, and are combined in a tree.  The scan is parallel over the
+chunks of a batch within a task, and Spark's tasks run beside each other; one
+text is never dealt over several tasks.
 
 Defined results: null and empty texts have no tokens; special strings in a
-text are ordinary text, as in the library; equal rows get equal counts."""
+text are ordinary text, as in the library; equal rows get equal counts, null
+and repeated doc_ids stay; an empty table gives no rows; very long texts and
+words take time in proportion to their length; only doc_id and text are read,
+so further columns cannot clash."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,10 +46,13 @@ from pyspark.sql import types as T
 from eventide.llm.common import kept_by_process
 
 BLANK = "▁"  # the model's word mark
-CHUNK = 1 << 16
-MAX_STATES = 150_000  # then the table is dropped and compiled anew
+CHUNK = 1 << 12
+SHORT = 64  # characters of a word that is remembered
+SLICE_BYTES = 8 << 20  # text cut into words at a time
+MAX_STATES = 250_000  # then the tables are dropped and compiled anew
+MAX_PAIRS = 600_000
+MAX_PLANS = 300_000
 MAX_WORDS = 400_000
-WORD = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+$")
 
 
 class _State(dict):
@@ -50,26 +64,14 @@ class _State(dict):
         super().__init__()
         self.suffix = suffix  # longest suffix of the text that starts a piece
         # (token ending there, tokens up to there minus tokens up to now), for
-        # the positions 0..len(suffix) characters back
+        # the positions 0..len(suffix) characters back at which a piece can start
         self.ends = ends
 
 
-class _Words(dict):
-    """Tokens of whole words, run when first asked for."""
-
-    def __init__(self, transducer: Transducer):
-        super().__init__()
-        self.transducer = transducer
-
-    def __missing__(self, word: str) -> int:
-        n = self[word] = self.transducer.run(self.transducer.origin, word)[1]
-        return n
-
-
 class ChunkMap(NamedTuple):
-    head: str  # read from the entry state
-    tokens: int | None  # of what follows; None: the chunk is all head
-    exit: _State | None
+    text: str
+    tokens: int  # from the first state on
+    exit: _State
 
 
 class Transducer:
@@ -84,9 +86,10 @@ class Transducer:
             raise ValueError("pieces that go on after a word boundary are not supported")
         self.starts = {p[:k] for p in self.pieces for k in range(len(p) + 1)}
         self.pairs: dict[tuple[str | None, str], bool] = {}
+        self.plans: dict[str, tuple] = {}
         self.states: dict[tuple, _State] = {}
         self.origin = self._state("", ((None, 0),))
-        self.words = _Words(self)
+        self.words: dict[str, int] = {}
 
     def _state(self, suffix: str, ends: tuple) -> _State:
         key = (suffix, ends)
@@ -103,6 +106,22 @@ class Transducer:
             self.pairs[key] = found == ([token] if before is None else [before, token])
         return self.pairs[key]
 
+    def _plan(self, text: str) -> tuple[list[tuple[int, str]], int, list[bool]]:
+        """What ``text``, a state's suffix and the next character, leaves to
+        decide: the tokens that may end it, longest first, the length of the
+        suffix to keep, and from which of its positions a piece can come."""
+        plan = self.plans.get(text)
+        if plan is None:
+            size = len(text)
+            tails = [text[size - n :] for n in range(size + 1)]
+            keep = next(n for n in range(size, -1, -1) if tails[n] in self.starts)
+            plan = self.plans[text] = (
+                [(n, tails[n]) for n in range(size, 0, -1) if tails[n] in self.pieces],
+                keep,
+                [tails[n] in self.starts for n in range(1, keep + 1)],
+            )
+        return plan
+
     def _compile(self, state: _State, c: str) -> tuple[_State, int]:
         """The transition of ``state`` on ``c``."""
         if c not in self.pieces:  # bytes; nothing merges across them
@@ -112,18 +131,17 @@ class Transducer:
             if c == BLANK and not suffix.endswith(BLANK):  # nor across a word boundary
                 suffix, ends = "", ((None, 0),)
             text = suffix + c
-            for n in range(len(text), 0, -1):
-                token = text[len(text) - n :]
-                if token in self.pieces:
-                    before, count = ends[n - 1]
-                    if self._stays(before, token):
-                        break
+            tokens, keep, open_at = self._plan(text)
+            for n, token in tokens:
+                before, count = ends[n - 1]
+                if self._stays(before, token):
+                    break
             else:
                 raise ValueError(f"no token ends at {text!r}")
             emitted = count + 1
-            keep = next(k for k in range(len(text) + 1) if text[k:] in self.starts)
-            after = ((token, 0), *((t, n - emitted) for t, n in ends))[: len(text) - keep + 1]
-            step = (self._state(text[keep:], after), emitted)
+            after = [(token, 0)]  # a position from which no piece can come has no future
+            after += [(e[0], e[1] - emitted) if going else None for e, going in zip(ends, open_at, strict=False)]
+            step = (self._state(text[len(text) - keep :], tuple(after)), emitted)
         state[c] = step
         return step
 
@@ -136,36 +154,104 @@ class Transducer:
         return state, total
 
     def chunk_map(self, chunk: str) -> ChunkMap:
-        at = next((i for i in range(1, len(chunk)) if chunk[i] == BLANK and chunk[i - 1] != BLANK), None)
-        if at is None:
-            return ChunkMap(chunk, None, None)
-        *whole, cut = WORD.findall(chunk, at)
-        exit_state, tokens = self.run(self.origin, cut)
-        return ChunkMap(chunk[:at], tokens + sum(map(self.words.__getitem__, whole)), exit_state)
+        state, tokens = self.run(self.origin, chunk)
+        return ChunkMap(chunk, tokens, state)
+
+    def apply(self, state: _State, chunk: ChunkMap) -> tuple[_State, int]:
+        """Exit state and tokens of a chunk that is entered in ``state``."""
+        mine, usual, more = state, self.origin, 0
+        for c in chunk.text:
+            if mine is usual:
+                return chunk.exit, chunk.tokens + more
+            a, b = mine.get(c) or self._compile(mine, c), usual.get(c) or self._compile(usual, c)
+            mine, usual, more = a[0], b[0], more + a[1] - b[1]
+        return mine, chunk.tokens + more
 
     def compose(self, a: ChunkMap, b: ChunkMap) -> ChunkMap:
-        if a.tokens is None:
-            return ChunkMap(a.head + b.head, b.tokens, b.exit)
-        state, n = self.run(a.exit, b.head)
-        if b.tokens is None:
-            return ChunkMap(a.head, a.tokens + n, state)
-        return ChunkMap(a.head, a.tokens + n + b.tokens, b.exit)
+        state, n = self.apply(a.exit, b)
+        return ChunkMap(a.text + b.text, a.tokens + n, state)
 
-    def count(self, text: str | None) -> int:
-        if not text:
-            return 0
+    def _bounded(self) -> None:
+        """Drop tables that have grown too large; not within a word."""
         if len(self.states) > MAX_STATES:
             self.states.clear()
             self.origin = self._state("", ((None, 0),))
+        if len(self.pairs) > MAX_PAIRS:
+            self.pairs.clear()
+        if len(self.plans) > MAX_PLANS:
+            self.plans.clear()
         if len(self.words) > MAX_WORDS:
             self.words.clear()
-        text = BLANK + text.replace(" ", BLANK)
-        if len(text) <= CHUNK:
-            return sum(map(self.words.__getitem__, WORD.findall(text)))
-        maps = [self.chunk_map(text[i : i + CHUNK]) for i in range(0, len(text), CHUNK)]
-        while len(maps) > 1:
-            maps = [self.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
-        return self.run(self.origin, maps[0].head)[1] + (maps[0].tokens or 0)
+
+    def word(self, word: str) -> int:
+        """Tokens of a whole word with its marks."""
+        n = self.words.get(word)
+        if n is None:
+            self._bounded()
+            maps = [self.chunk_map(word[i : i + CHUNK]) for i in range(0, len(word), CHUNK)]
+            while len(maps) > 1:
+                maps = [self.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
+            n = maps[0].tokens
+            if len(word) <= SHORT:
+                self.words[word] = n
+        return n
+
+    def _read(self, words: list[str]) -> None:
+        """Tokens of whole words, remembered; in order, so that a word goes on
+        from where it parts from the one before."""
+        path, previous = [(self.origin, 0)], ""
+        for w in sorted(words):
+            if len(self.states) > MAX_STATES or len(self.pairs) > MAX_PAIRS or len(self.plans) > MAX_PLANS:
+                self._bounded()
+                path, previous = [(self.origin, 0)], ""
+            same = 0
+            for a, b in zip(previous, w, strict=False):
+                if a != b:
+                    break
+                same += 1
+            del path[same + 1 :]
+            state, total = path[-1]
+            for c in w[same:]:
+                step = state.get(c) or self._compile(state, c)
+                state = step[0]
+                total += step[1]
+                path.append((state, total))
+            self.words[w] = total
+            previous = w
+
+    def counts(self, texts: pa.StringArray) -> np.ndarray:
+        """Tokens of each text."""
+        parts = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), BLANK, " "), " ")
+        ends = parts.offsets.to_numpy()[1:] - parts.offsets[0].as_py()
+        starts = np.append(0, ends[:-1])
+        coded = parts.flatten().dictionary_encode()
+        code, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        # a mark stands before each part, the text's first one included; empty
+        # parts leave theirs to the next word, or to the end of the text
+        marked = [BLANK + w for w in distinct]
+        if len(self.words) + len(marked) > MAX_WORDS:
+            self.words.clear()
+        self._read([w for w in marked if w not in self.words and 1 < len(w) <= SHORT])
+        one = np.array([self.word(w) if len(w) > 1 else 0 for w in marked], np.int64)
+        tokens = one[code]
+        if "" in distinct:
+            full = code != distinct.index("")
+            at = np.arange(len(code))
+            last = np.zeros(len(code), bool)
+            last[ends - 1] = True
+            before = np.maximum.accumulate(np.maximum(np.where(full, at, -1), np.repeat(starts - 1, ends - starts)))
+            before = np.append(-1, before[:-1])  # the last full part, or the end of the text before
+            before = np.maximum(before, np.repeat(starts - 1, ends - starts))
+            marks = at - before
+            odd = np.flatnonzero(np.where(full, marks > 1, last))
+            kinds, which = np.unique(np.stack([marks[odd], code[odd]]), axis=1, return_inverse=True)
+            own = [self.word(BLANK * m + distinct[c]) for m, c in kinds.T.tolist()]
+            tokens[odd] = np.array(own, np.int64)[which.reshape(-1)] if own else 0
+        scan = np.append(0, np.cumsum(tokens))
+        return np.where(pc.binary_length(pc.fill_null(texts, "")).to_numpy() > 0, scan[ends] - scan[starts], 0)
+
+    def count(self, text: str | None) -> int:
+        return int(self.counts(pa.array([text], pa.string()))[0])
 
 
 def token_counts(docs: DataFrame, model: str) -> DataFrame:
@@ -174,11 +260,12 @@ def token_counts(docs: DataFrame, model: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = kept_by_process(("tokens", model), lambda: Transducer(model))
         for b in batches:
-            texts = b.column(1).to_pylist()
-            counts = [transducer.count(t) for t in texts]
-            size = [len(t.encode()) if t else 0 for t in texts]
+            size = pc.binary_length(pc.fill_null(b.column(1), "")).cast(pa.int64())
+            part = np.cumsum(size.to_numpy()) // SLICE_BYTES
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), b.num_rows]
+            counts = [transducer.counts(b.column(1).slice(i, j - i)) for i, j in zip(cuts, cuts[1:], strict=False) if i < j]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(size, pa.int64()), pa.array(counts, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"]
+                [b.column(0), size, pa.array(np.concatenate([np.zeros(0, np.int64), *counts]))], names=["doc_id", "n_bytes", "n_tokens"]
             )
 
     schema = T.StructType(
