@@ -2,10 +2,12 @@
 from them.
 
 Base entities (email, ip, card, phone) come from regular expressions.  They
-are the seeds of a bootstrap over identifier-like tokens (any run without
-blanks that has a digit or an "@"): the two words before a token and the two
-after it are its lexical patterns.  Spark builds the graph of patterns and
-values over the whole corpus; in each round
+are the seeds of a bootstrap over candidates: any run without blanks that has
+a digit or an "@", and groups of digits joined by single blanks.  The two words
+before a candidate and the two after it, whatever stands there, are its lexical
+patterns; digits in them count as 0.  A seed has the patterns of the candidate
+that it starts in, so the same place always gives the same patterns.  Spark
+builds the graph of patterns and values over the whole corpus; in each round
 
 * a pattern's confidence is the share of known values among all distinct
   values that it extracts, if it extracts enough known ones, and it takes the
@@ -14,18 +16,22 @@ values over the whole corpus; in each round
   ``MIN_PATTERNS`` distinct confident patterns extract it (their confidences
   are combined by noisy-or).
 
+Rounds go on until one adds no value; known values only grow, so this ends.
 Values that are known at the end mark further spans wherever a confident
-pattern extracts them, unless a base span overlaps.  All of it is DataFrame
-expressions: no Python runs on the executors.
+pattern extracts them, unless a base span overlaps the candidate.  All of it
+is DataFrame expressions: no Python runs on the executors.
 
-Defined results: null text counts as empty; repeated rows get equal spans;
-texts without entities give zero counts and empty strings; an empty table
-gives no rows; only doc_id and text are read, so further columns cannot
-clash."""
+Defined results: null text counts as empty; repeated rows get equal spans, and
+are one node of the graph; null doc_ids stay rows; texts without entities give
+zero counts and empty strings; an empty table gives no rows; long words and
+long rows of numbers take time in proportion to their length, many matches in
+one text at most their number to the power of 1.5; at the start or end of a
+text one word may be a context; only doc_id and text are read, and ``redact``
+names its own columns so that further ones cannot clash."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventide.llm.common import staged
@@ -44,12 +50,13 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
-TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+#: Groups of digits joined by single blanks, or a word with a digit or "@".
+CANDIDATE = (
+    r"(?<![^\x20\x09-\x0D])(?:[+(]*+[0-9][0-9().+-]*+(?:\x20[(]?+[0-9][0-9().-]*+)++|[^\x20\x09-\x0D0-9@]*+[0-9@])[^\x20\x09-\x0D]*+"
+)
 
-ROUNDS = 3
 MIN_SEEDS = 3  # known values that a pattern must extract
 CONFIDENT = 0.8
-REACH = 200  # characters around a base span in which its neighbouring words are looked for
 MIN_PATTERNS = 2  # confident patterns that must extract a new value
 
 
@@ -62,22 +69,43 @@ def _matches(text: Column, pattern: str) -> Column:
 
     def place(values: Column, rests: Column) -> Column:
         steps = F.zip_with(F.slice(rests, 1, F.size(values)), values, lambda g, v: F.struct(F.length(g).alias("g"), v.alias("v")))
-        return F.aggregate(
-            steps,
-            F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("out")),
-            lambda a, s: let(
+        start = F.struct(F.lit(0).alias("at"), _none().alias("out"))
+
+        def step(a: Column, s: Column) -> Column:
+            return let(
                 a["at"] + s["g"],
                 lambda b: F.struct(
                     (b + F.length(s["v"])).alias("at"),
                     F.array_append(a["out"], F.struct(b.alias("start"), (b + F.length(s["v"])).alias("end"), s["v"].alias("value"))).alias("out"),
                 ),
-            ),
-            lambda a: a["out"],
+            )
+
+        def moved(block: Column, by: Column) -> Column:
+            return F.transform(
+                block["out"], lambda m: F.struct((m["start"] + by).alias("start"), (m["end"] + by).alias("end"), m["value"].alias("value"))
+            )
+
+        # appending copies the array, so places are found in blocks, and the blocks moved by running sums
+        blocks = let(steps, lambda x: F.transform(_blocks(x), lambda own: F.aggregate(own, start, step)))
+        none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        before = lambda x: F.aggregate(
+            x, none, lambda a, k: F.struct((a["at"] + k["at"]).alias("at"), F.array_append(a["out"], a["at"]).alias("out")), lambda a: a["out"]
         )
+        return let(blocks, lambda x: F.flatten(F.zip_with(x, before(x), moved)))
 
     return let(found, lambda v: F.when(F.size(v) > 0, let(gaps, lambda g: place(v, g))).otherwise(_none()))
 
 
+def _block_size(n: Column) -> Column:
+    return F.greatest(F.lit(32), F.ceil(F.sqrt(n)).cast("int"))
+
+
+def _blocks(rows: Column) -> Column:
+    """An array that is not empty, cut into about as many blocks as each has entries."""
+    n = F.size(rows)
+    return let(_block_size(n), lambda b: F.transform(F.sequence(F.lit(0), n - 1, b), lambda i: F.slice(rows, i + 1, b)))
+
+
 def _none() -> Column:
     return F.array().cast("array<struct<start:int,end:int,value:string>>")
 
@@ -132,49 +160,41 @@ def span_string(spans: Column) -> Column:
     )
 
 
-LAST_WORDS = r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)[\x20\x09-\x0D]+$"
-NEXT_WORDS = r"^[\x20\x09-\x0D]+([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)"
-
+#: One or two words; anchored, so that a long word is read once.
+FIRST_WORDS = r"^[\x20\x09-\x0D]*+([^\x20\x09-\x0D]++(?:[\x20\x09-\x0D]++[^\x20\x09-\x0D]++)?+)"
 
-def _before(rest: Column) -> Column:
-    return F.lower(F.regexp_extract(rest, LAST_WORDS, 1)).alias("before")
 
+def _context(rest: Column) -> Column:
+    return F.regexp_replace(F.lower(F.regexp_extract(rest, FIRST_WORDS, 1)), "[0-9]", "0")
 
-def _after(rest: Column) -> Column:
-    return F.lower(F.regexp_extract(rest, NEXT_WORDS, 1)).alias("after")
 
-
-def _contexts(text: Column) -> Column:
-    """Array of identifier-like tokens with the two words before and after."""
+def _candidates(text: Column) -> Column:
+    """Array of candidates with the two words before and after."""
     text = F.coalesce(text, F.lit(""))
-    gaps = F.split(text, TOKEN, -1)
+    gaps = F.split(text, CANDIDATE, -1)
+    shape = "array<struct<start:int,end:int,value:string,before:string,after:string>>"
 
     def around(found: Column, g: Column) -> Column:
+        # gaps hold whole words, so the two words next to a candidate lie in two gaps and the two candidates there
+        def value(i: Column) -> Column:
+            return F.coalesce(F.get(found, i)["value"], F.lit(""))
+
+        def gap(i: Column) -> Column:
+            return F.coalesce(F.get(g, i), F.lit(""))
+
         return F.transform(
             found,
             lambda m, i: F.struct(
-                m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value"), _before(F.get(g, i)), _after(F.get(g, i + 1))
+                m["start"].alias("start"),
+                m["end"].alias("end"),
+                m["value"].alias("value"),
+                F.reverse(_context(F.reverse(F.concat(value(i - 2), gap(i - 1), value(i - 1), gap(i))))).alias("before"),
+                _context(F.concat(gap(i + 1), value(i + 1), gap(i + 2), value(i + 2))).alias("after"),
             ),
-        )
+        ).cast(shape)
 
-    empty = F.array().cast("array<struct<start:int,end:int,value:string,before:string,after:string>>")
-    return let(_matches(text, TOKEN), lambda m: F.when(F.size(m) > 0, let(gaps, lambda g: around(m, g))).otherwise(empty))
-
-
-def _seeds(text: Column, base: Column) -> Column:
-    """The base spans with the two words before and after."""
-    text = F.coalesce(text, F.lit(""))
-    return F.transform(
-        base,
-        lambda s: F.struct(
-            s["start"].alias("start"),
-            s["end"].alias("end"),
-            s["value"].alias("value"),
-            _before(let(F.greatest(s["start"] - REACH, F.lit(0)), lambda a: F.substring(text, a + 1, s["start"] - a))),
-            _after(F.substring(text, s["end"] + 1, F.lit(REACH))),
-            s["kind"].alias("seed"),
-        ),
-    )
+    found = let(_matches(text, CANDIDATE), lambda m: F.when(F.size(m) > 0, let(gaps, lambda g: around(m, g))).otherwise(F.array().cast(shape)))
+    return F.when(text.rlike("[0-9@]"), found).otherwise(F.array().cast(shape))
 
 
 def _trimmed(value: Column) -> Column:
@@ -195,33 +215,45 @@ def suits(kind: Column, value: Column) -> Column:
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, base, seeds, tokens) for each row of ``docs``: key
-    identifies doc_id and text, base is the array of base spans, seeds the same
-    with their contexts, tokens the identifier-like tokens with theirs."""
-    both = let(base_spans(F.col("text")), lambda b: F.struct(b.alias("base"), _seeds(F.col("text"), b).alias("seeds")))
-    return docs.select(
-        "doc_id", F.xxhash64("doc_id", "text").alias("key"), both.alias("x"), _contexts(F.col("text")).alias("tokens")
-    ).select("doc_id", "key", "x.base", "x.seeds", "tokens")
-
-
-def bootstrap(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """(doc_id, key, base, tokens) for each row of ``docs``: key identifies
+    doc_id and text, base is the array of base spans, tokens the candidates
+    with their contexts."""
+    return docs.select("doc_id", _key().alias("key"), base_spans(F.col("text")).alias("base"), _candidates(F.col("text")).alias("tokens"))
+
+
+def _key() -> Column:
+    """Identity of doc_id and text, in two hashes."""
+    return F.concat(F.hex(F.xxhash64("doc_id", "text")), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+
+
+def _placed(found: DataFrame) -> DataFrame:
+    """(key, value, start, end, before, after, seed): the base spans as seeds,
+    with the contexts of the candidates that they start in, and the candidates
+    that no base span overlaps (seed null)."""
+    once = found.where(F.size("tokens") > 0).dropDuplicates(["key"])
+    kinds = F.transform("base", lambda s: F.struct(s["start"].alias("at"), F.lit(1).alias("turn"), s["end"].alias("end"), s["value"].alias("value"),
+                                                   F.lit("").alias("before"), F.lit("").alias("after"), s["kind"].alias("seed")))
+    tokens = F.transform("tokens", lambda m: F.struct(m["start"].alias("at"), F.lit(0).alias("turn"), m["end"].alias("end"), m["value"].alias("value"),
+                                                      m["before"].alias("before"), m["after"].alias("after"), F.lit(None).cast("int").alias("seed")))
+    rows = once.select("key", F.explode(F.concat(tokens, kinds)).alias("x")).select("key", "x.*")
+    order = Window.partitionBy("key").orderBy("at", "turn", "end").rowsBetween(Window.unboundedPreceding, 0)
+    own = F.last(F.when(F.col("turn") == 0, F.struct(F.col("at").alias("first"), "before", "after")), ignorenulls=True).over(order)
+    reach = F.max(F.when(F.col("turn") == 1, F.col("end"))).over(order)
+    rows = rows.select("key", "at", "turn", "end", "value", "seed", own.alias("own"), reach.alias("reach"))
+    inside = F.max("turn").over(Window.partitionBy("key", "own.first"))
+    rows = rows.select("*", inside.alias("inside"))
+    free = (F.col("inside") == 0) & (F.coalesce("reach", F.lit(0)) <= F.col("at"))
+    rows = rows.where((F.col("turn") == 1) | free)
+    value = F.when(F.col("turn") == 1, F.col("value")).otherwise(_trimmed(F.col("value")))
+    lead = F.when(F.col("turn") == 1, 0).otherwise(F.length(F.regexp_extract("value", r"^[^A-Za-z0-9@+(]+", 0)))
+    rows = rows.select("key", value.alias("value"), (F.col("at") + lead).alias("start"), "own.before", "own.after", "seed")
+    return rows.where(F.length("value") >= 4).withColumn("end", F.col("start") + F.length("value"))
+
+
+def bootstrap(found: DataFrame) -> DataFrame:
     """(key, start, kind, end, value): spans of unseen identifiers.  ``found``
     is the staged result of ``find``."""
-    token = F.explode("tokens").alias("t")
-    cut = found.select("key", "base", token).select(
-        "key",
-        "base",
-        _trimmed(F.col("t.value")).alias("value"),
-        (F.col("t.start") + F.length(F.regexp_extract("t.value", r"^[^A-Za-z0-9@+(]+", 0))).alias("start"),
-        F.col("t.before").alias("before"),
-        F.col("t.after").alias("after"),
-    ).where(F.length("value") >= 4)
-    cut = cut.withColumn("end", F.col("start") + F.length("value"))
-    # base spans are the seeds, other tokens what may be found
-    over = F.filter("base", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
-    cut = cut.where(F.size(over) == 0).withColumn("seed", F.lit(None).cast("int"))
-    seeds = found.select("key", F.explode("seeds").alias("t")).select("key", "t.value", "t.start", "t.before", "t.after", "t.end", "t.seed")
-    cut = cut.drop("base").unionByName(seeds)
+    cut = _placed(found)
     sides = F.array(
         F.struct(F.lit("<").alias("side"), F.col("before").alias("words")),
         F.struct(F.lit(">").alias("side"), F.col("after").alias("words")),
@@ -231,8 +263,7 @@ def bootstrap(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     # graph of distinct patterns and values; a hot word pair is aggregated before it is shuffled
     graph = staged(edge.groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "pii-graph")
     known = graph.where("seed is not null").groupBy("value").agg(F.max("seed").alias("kind"))
-    sure = None
-    for _ in range(rounds):
+    while True:
         known = staged(known, "pii-known")
         flagged = graph.join(known, "value", "left")
         sums = [F.count(F.when(F.col("kind") == k, 1)).alias(f"n{k}") for k in range(len(KINDS))]
@@ -249,6 +280,9 @@ def bootstrap(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             .groupBy("value").agg(F.min("kind").alias("kind"))
             .join(known.select("value"), "value", "left_anti")
         )
+        fresh = staged(fresh, "pii-fresh")
+        if fresh.isEmpty():
+            break
         known = known.unionByName(fresh)
     new = edge.where("seed is null").join(sure, "pattern").where(suits(F.col("kind"), F.col("value")))
     new = new.select("key", "start", "end", "value", "kind").join(known, ["value", "kind"])
@@ -267,29 +301,52 @@ def detect(docs: DataFrame) -> DataFrame:
 
 
 def _redacted(text: Column, spans: Column) -> Column:
+    """``text`` with its sorted spans (at least one) replaced.  Cutting a long
+    text costs its length, so it is cut into stretches of many spans first."""
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    return F.aggregate(
-        spans,
-        start,
-        lambda a, s: F.struct(
-            F.when(s["start"] >= a["at"], F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.element_at(names, s["kind"] + 1)))
-            .otherwise(a["out"])
-            .alias("out"),
-            F.greatest(a["at"], s["end"]).alias("at"),
-        ),
-        lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))),
-    )
+
+    def stretch(own: Column, low: Column, high: Column, done: Column) -> Column:
+        start = F.struct(F.lit("").alias("out"), F.greatest(low, done).alias("at"))
+
+        def step(t: Column, a: Column, s: Column) -> Column:
+            more = F.concat(a["out"], F.substring(t, a["at"] - low + 1, s["start"] - a["at"]), F.element_at(names, s["kind"] + 1))
+            return F.struct(F.when(s["start"] >= a["at"], more).otherwise(a["out"]).alias("out"), F.greatest(a["at"], s["end"]).alias("at"))
+
+        return let(
+            F.substring(text, low + 1, high - low),
+            lambda t: F.aggregate(own, start, lambda a, s: step(t, a, s), lambda a: F.concat(a["out"], F.substring(t, a["at"] - low + 1, F.length(t)))),
+        )
+
+    def whole(x: Column) -> Column:
+        none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        done = F.aggregate(
+            x,
+            none,
+            lambda a, own: F.struct(
+                F.greatest(a["at"], F.array_max(F.transform(own, lambda s: s["end"]))).alias("at"), F.array_append(a["out"], a["at"]).alias("out")
+            ),
+            lambda a: a["out"],
+        )
+        parts = let(
+            done,
+            lambda d: F.transform(
+                x, lambda own, i: stretch(own, own[0]["start"], F.coalesce(F.get(x, i + 1)[0]["start"], F.length(text)), F.get(d, i))
+            ),
+        )
+        return F.concat(F.substring(text, F.lit(1), x[0][0]["start"]), F.array_join(parts, ""))
+
+    return let(_blocks(spans), whole)
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; other
     columns, and texts without spans, stay as they are."""
     found = staged(find(docs.select("doc_id", "text")), "pii-found")
-    extra = bootstrap(found).groupBy("key").agg(F.collect_set(F.struct("start", "kind", "end", "value")).alias("__pii_more"))
+    mark = "k" + "_" * max(map(len, docs.columns))  # longer than any column's name
+    more = bootstrap(found).groupBy("key").agg(F.collect_set(F.struct("start", "kind", "end", "value")).alias(f"{mark}more"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.withColumn("__pii_key", F.xxhash64("doc_id", "text"))
-    joined = keyed.join(extra.withColumnRenamed("key", "__pii_key"), "__pii_key", "left")
-    spans = F.sort_array(F.concat(base_spans(F.col("text")), F.coalesce(F.col("__pii_more"), F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>"))))
+    joined = docs.withColumn(mark, _key()).join(more.withColumnRenamed("key", mark), mark, "left")
+    none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
+    spans = F.sort_array(F.concat(base_spans(F.col("text")), F.coalesce(F.col(f"{mark}more"), none)))
     text = let(spans, lambda s: F.when(F.size(s) > 0, _redacted(F.col("text"), s)).otherwise(F.col("text")))
     return joined.select(*[text.alias(c) if c == "text" else col for c, col in zip(docs.columns, columns, strict=True)])
