@@ -4,7 +4,8 @@ Calls and results meet in a hash join by (conversation, call id).  Calls are
 ordered topologically: a call may name the call it comes after, and its level
 is the length of that chain, found by pointer doubling (each round doubles the
 distance that a pointer spans, so a chain of a million calls takes twenty
-joins; what still points somewhere after that is a cycle).  Arguments are
+joins; what still points somewhere after that is a cycle).  Only calls whose
+chain is not yet known take part in a further round.  Arguments are
 parsed once and checked against the tool's schema, and every linked pair is
 serialised as canonical JSON: keys sorted, no blanks.
 
@@ -14,8 +15,10 @@ keys are call ids, so a conversation of any size is spread over the cluster.
 Defined results: of calls (results) with the same id in a conversation the
 first by sequence counts, ``copies`` tells how many there were; a result
 without a call is an orphan, a call without a result unanswered; null
-conversation ids join each other; null ids never link; invalid or missing JSON
-is an error and serialised as null; an empty table gives no rows."""
+conversation ids join each other, whatever the type of the ids; null call ids
+never link; invalid or missing JSON is an error and serialised as null; very
+long texts are kept whole; an empty table gives no rows; only the columns
+named in ``link`` are read, so further ones cannot clash."""
 
 from __future__ import annotations
 
@@ -30,7 +33,6 @@ SCHEMAS = {
     "lookup": {"depth": ("BIGINT", False), "key": ("STRING", True)},
     "search": {"limit": ("BIGINT", True), "query": ("STRING", True)},
 }
-ROUNDS = 48
 NO_CONV = "none"
 
 
@@ -84,14 +86,16 @@ def levels(calls: DataFrame) -> DataFrame:
     same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("after") == F.col("p"))
     now = calls.select("conv_id", "call_id", "after").join(ids, same, "left")
     now = staged(now.select("conv_id", "call_id", F.col("p").alias("to"), F.col("p").isNotNull().cast("long").alias("level")), "toolcalls-levels")
-    for _ in range(ROUNDS):
-        if now.where("to is not null").isEmpty():
+    still, done = now.where("to is not null"), now.where("to is null")
+    for _ in range(calls.count().bit_length()):  # pointers then span more calls than there are
+        if still.isEmpty():
             break
-        hop = now.select(F.col("conv_id").alias("c"), F.col("call_id").alias("i"), F.col("to").alias("next"), F.col("level").alias("more"))
-        step = now.join(hop, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("to") == F.col("i")), "left")
+        hop = done.unionByName(still).select(F.col("conv_id").alias("c"), F.col("call_id").alias("i"), F.col("to").alias("next"), F.col("level").alias("more"))
+        step = still.join(hop, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("to") == F.col("i")), "left")
         new = step.select("conv_id", "call_id", F.col("next").alias("to"), (F.col("level") + F.coalesce("more", F.lit(0))).alias("level"))
-        now = staged(new.withColumn("level", F.least("level", F.lit(1 << 60))), "toolcalls-levels")
-    return now.select("conv_id", "call_id", F.when(F.col("to").isNull(), F.col("level")).otherwise(F.lit(-1)).alias("level"))
+        new = staged(new, "toolcalls-levels")
+        still, done = new.where("to is not null"), done.unionByName(new.where("to is null"))
+    return done.unionByName(still).select("conv_id", "call_id", F.when(F.col("to").isNull(), F.col("level")).otherwise(F.lit(-1)).alias("level"))
 
 
 def argument_errors(name: Column, parsed: Column, keys: Column, schemas: dict) -> Column:
@@ -118,14 +122,16 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict | None = None) -> D
     calls = staged(_first(calls), "toolcalls-calls")
     order = levels(calls)
     left = calls.join(order.withColumnRenamed("conv_id", "c2"), (calls["call_id"] == order["call_id"]) & calls["conv_id"].eqNullSafe(F.col("c2"))).drop(order["call_id"]).drop("c2")
-    left = left.select(F.struct("conv_id").alias("k"), "call_id", "name", "arguments", "after", F.col("seq").alias("call_seq"), F.col("copies").alias("call_copies"), "level")
-    right = _first(results).select(F.struct("conv_id").alias("k"), "call_id", "content", F.col("seq").alias("result_seq"), F.col("copies").alias("result_copies"))
-    # the key is packed so that null conversations join as well
-    both = left.withColumn("k", F.to_json("k")).join(right.withColumn("k", F.to_json("k")), ["k", "call_id"], "full")
+    left = left.select("conv_id", "call_id", "name", "arguments", "after", F.col("seq").alias("call_seq"), F.col("copies").alias("call_copies"), "level")
+    right = _first(results).select(
+        F.col("conv_id").alias("c3"), F.col("call_id").alias("i3"), "content", F.col("seq").alias("result_seq"), F.col("copies").alias("result_copies")
+    )
+    same = F.col("conv_id").eqNullSafe(F.col("c3")) & (F.col("call_id") == F.col("i3"))
+    both = left.join(right.hint("shuffle_hash"), same, "full")
     parsed = F.try_parse_json("arguments")
     keys = F.json_object_keys(F.when(parsed.isNotNull(), F.col("arguments")))
     both = both.select(
-        F.from_json("k", "conv_id bigint")["conv_id"].alias("conv_id"), "call_id", "name", "arguments", "after", "call_seq", "call_copies",
+        F.when(F.col("call_id").isNull(), F.col("c3")).otherwise(F.col("conv_id")).alias("conv_id"), F.coalesce("call_id", "i3").alias("call_id"), "name", "arguments", "after", "call_seq", "call_copies",
         "level", "content", "result_seq", "result_copies", parsed.alias("parsed"), keys.alias("keys"),
     )
     status = F.when(F.col("name").isNull() & F.col("call_seq").isNull(), "orphan").when(F.col("result_seq").isNull(), "unanswered").otherwise("linked")
