@@ -11,7 +11,10 @@ after the other, so memory stays bounded and no match is lost.
 
 Defined results: null texts have no words; an item without words has no
 window; items with a null id mark words but have no id to report; repeated
-rows give repeated results; an empty benchmark contaminates nothing."""
+rows give repeated results; very long texts are read whole, in proportion to
+their length; an empty benchmark contaminates nothing, an empty table gives no
+rows; a table may have a column of any name, the result's own column then gets
+another (``hits_column``)."""
 
 from __future__ import annotations
 
@@ -117,8 +120,17 @@ _ARROW = pa.struct(
 )
 
 
-def _pass(docs: DataFrame, patterns: list, keep_text: bool) -> DataFrame:
-    """One automaton over all rows; hits of an earlier pass are joined in."""
+def hits_column(columns: list[str]) -> str:
+    """Name of the column that ``scan`` adds to a table with these columns."""
+    name = HITS
+    while name.lower() in [c.lower() for c in columns]:
+        name += "_"
+    return name
+
+
+def _pass(docs: DataFrame, patterns: list, keep_text: bool, own: str, again: bool) -> DataFrame:
+    """One automaton over all rows; hits of an earlier pass, in the column
+    ``own``, are joined in."""
     import ahocorasick
 
     automaton = ahocorasick.Automaton()
@@ -127,9 +139,8 @@ def _pass(docs: DataFrame, patterns: list, keep_text: bool) -> DataFrame:
     if patterns:
         automaton.make_automaton()
     shared = docs.sparkSession.sparkContext.broadcast(automaton)
-    again = HITS in docs.columns
     text_at = docs.columns.index("text")
-    kept = [i for i, c in enumerate(docs.columns) if c != HITS and (keep_text or i != text_at)]
+    kept = [i for i, c in enumerate(docs.columns) if c != own and (keep_text or i != text_at)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = shared.value
@@ -157,19 +168,20 @@ def _pass(docs: DataFrame, patterns: list, keep_text: bool) -> DataFrame:
 
     fields = [T.StructField(str(i), docs.schema[i].dataType) for i in kept]
     out = docs.mapInArrow(run, T.StructType([*fields, T.StructField("hits", _HITS)]))
-    return out.toDF(*[docs.columns[i] for i in kept], HITS)
+    return out.toDF(*[docs.columns[i] for i in kept], own)
 
 
 def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW, keep_text: bool = True) -> DataFrame:
-    """``docs`` with a struct column ``HITS``: n_words, word ranges hit, ids of
+    """``docs`` with a struct column ``hits_column(docs.columns)``: n_words, word ranges hit, ids of
     the items found, and the spans of the hits in the original text."""
     patterns = staged(item_windows(items, window), "decontam-patterns")
     size = patterns.agg(F.sum(F.octet_length("pattern"))).first()[0] or 0
     shards = int(size // SHARD_BYTES) + 1
+    name = hits_column(docs.columns)
     for k in range(shards):
         own = patterns.where(F.pmod(F.xxhash64("pattern"), F.lit(shards)) == k).collect()  # at most about SHARD_BYTES
         final = k == shards - 1
-        docs = _pass(docs, own, keep_text or not final)
+        docs = _pass(docs, own, keep_text or not final, name, k > 0)
         if not final:
             docs = staged(docs, "decontam-pass")
     return docs
@@ -181,4 +193,5 @@ def n_hit():
 
 def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Rows of ``docs`` in which no benchmark window occurs."""
-    return scan(docs, items, window).where(F.size(f"{HITS}.words") == 0).drop(HITS)
+    own = hits_column(docs.columns)
+    return scan(docs, items, window).where(F.size(f"{own}.words") == 0).drop(own)
