@@ -38,7 +38,7 @@ from eventide.streaming.sources import (
     to_event_time,
     watermarked,
 )
-from eventide.streaming.carry import counter_writer, last_state, sequence_writer, state_kinds_writer, state_list
+from eventide.streaming.carry import counter_writer, last_state, list_texts, sequence_writer, state_kinds_writer, state_list
 from eventide.streaming.changelog import VersionedTable, top_n_writer
 from eventide.streaming.late import close_firing_log, firing_log_writer, late_split_writer, run_per_slice
 from eventide.streaming.state import (
@@ -197,20 +197,24 @@ def _run_state_kinds(spark, d):
 WITH {STATE_CTE},
 agg AS (SELECT user_id, count(*) AS n, max(ts) AS max_ts, min(value) AS min_value FROM seg GROUP BY user_id),
 tc AS (SELECT user_id, string_agg(event_type || ':' || c, ',' ORDER BY event_type) AS type_counts
-       FROM (SELECT user_id, event_type, count(*) AS c FROM seg GROUP BY ALL) GROUP BY user_id)
-SELECT agg.user_id, n, type_counts, max_ts, min_value
-FROM agg JOIN tc ON agg.user_id IS NOT DISTINCT FROM tc.user_id
+       FROM (SELECT user_id, event_type, count(*) AS c FROM seg GROUP BY ALL) GROUP BY user_id),
+l3 AS (SELECT user_id, string_agg(event_type, ',' ORDER BY pos) FILTER (k <= 3) AS last_types, string_agg(event_type, ',' ORDER BY pos) AS types
+       FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY pos DESC) AS k FROM seg) GROUP BY user_id)
+SELECT agg.user_id, n, last_types, types, type_counts, max_ts, min_value
+FROM agg JOIN l3 ON agg.user_id IS NOT DISTINCT FROM l3.user_id JOIN tc ON agg.user_id IS NOT DISTINCT FROM tc.user_id
 """,
 )
 def stream_state_kinds(spark, d):
-    """Value, map and reducing state per user, cleared by signup, after the
-    stream (4 event-time slices) has drained; the map's entries as text."""
+    """Value, list, map and reducing state per user, cleared by signup, after
+    the stream (4 event-time slices) has drained; the list (whole, and its last
+    three entries) and the map's entries as text."""
     path = _run_state_kinds(spark, d)
     now, counts = last_state(spark, path, "values"), last_state(spark, path, "counts")
     entry = F.struct("item", F.concat_ws(":", "item", "c").alias("t"))
     texts = counts.groupBy("user_id").agg(F.array_sort(F.collect_list(entry)).alias("e")).select(F.col("user_id").alias("_u"), F.array_join("e.t", ",").alias("type_counts"))
-    out = now.join(texts, now["user_id"].eqNullSafe(texts["_u"]))
-    return out.select("user_id", "n", "type_counts", _ntz("max_ts"), "min_value")
+    lists = list_texts(state_list(spark, path, "user_id"), "user_id", 3).withColumnRenamed("user_id", "_l")
+    out = now.join(texts, now["user_id"].eqNullSafe(texts["_u"])).join(lists, now["user_id"].eqNullSafe(lists["_l"]))
+    return out.select("user_id", "n", F.col("last").alias("last_types"), F.col("whole").alias("types"), "type_counts", _ntz("max_ts"), "min_value")
 
 
 @query("stream_state_list", f"WITH {STATE_CTE} SELECT user_id, pos, event_id, event_type FROM seg")

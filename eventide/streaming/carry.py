@@ -128,6 +128,17 @@ def state_list(spark: SparkSession, path: str, key: str) -> DataFrame:
     return rows.join(now, rows[key].eqNullSafe(now[key]) & (rows["epoch"] == now["epoch"]), "left_semi")
 
 
+def list_texts(held: DataFrame, key: str, last: int) -> DataFrame:
+    """(key, whole, last) of ``state_list``: each key's list as text, whole and
+    its ``last`` latest entries; null entries have no text."""
+    entries = held.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "item"))).alias("e")).select(key, F.col("e.item").alias("e"))
+
+    def text(e: Column) -> Column:
+        return F.when(F.exists(e, lambda x: x.isNotNull()), F.array_join(e, ","))
+
+    return entries.select(key, text(F.col("e")).alias("whole"), text(F.slice("e", F.greatest(F.size("e") - (last - 1), F.lit(1)), F.lit(last))).alias("last"))
+
+
 def counter_writer(path: str) -> Writer:
     """Running counter as list state: each task adds its number of rows to the
     list, under the batch id.  What is restored after a restart is the list;
