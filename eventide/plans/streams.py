@@ -24,6 +24,7 @@ from eventide.streaming.sinks import (
     read_json_docs,
     read_upserted,
     run_available,
+    state_on_disk,
     upsert_windows,
     write_json_docs,
 )
@@ -137,7 +138,8 @@ def stream_order_timeout(spark, d):
     p = p.dropDuplicates(["pay_order", "pay_ts"])
     cond = F.expr("order_id = pay_order AND pay_ts <= create_ts + INTERVAL 30 DAYS")
     j = o.join(p, cond, "left_outer").where(F.col("pay_order").isNull()).select(F.col("order_id").alias("o_orderkey"))
-    return _drain(spark, j, dirs, tails)
+    with state_on_disk(spark):
+        return _drain(spark, j, dirs, tails)
 
 
 def _staged_events(spark, d, name, slices=4):
@@ -638,4 +640,5 @@ def stream_order_reconcile(spark, d):
         F.col("order_ts").cast("timestamp_ntz").alias("order_ts"),
         F.col("pay_ts").cast("timestamp_ntz").alias("pay_ts"),
     )
-    return _drain(spark, j, dirs, tails)
+    with state_on_disk(spark):
+        return _drain(spark, j, dirs, tails)

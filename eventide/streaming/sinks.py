@@ -11,6 +11,9 @@ batch writes the same partitions again - idempotent.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -92,6 +95,34 @@ def run_available(writer, checkpoint: str, timeout_s: float | None = None):
     return q
 
 
+_ROCKSDB = "spark.sql.streaming.stateStore.rocksdb"
+DISK_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_ROCKSDB}.changelogCheckpointing.enabled": "true",
+    f"{_ROCKSDB}.boundedMemoryUsage": "true",
+}
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams started here keep their state in RocksDB, with a bound on its
+    memory, and commit the changes of a micro-batch only: for joins whose state
+    holds a row for each of the input.  Every partition opens and commits
+    several stores a micro-batch, so there are no more partitions than a few a
+    core.  The session's own settings come back afterwards."""
+    parts = "spark.sql.shuffle.partitions"
+    few = min(int(spark.conf.get(parts)), max(32, 3 * spark.sparkContext.defaultParallelism))
+    conf = {**DISK_STATE, parts: str(few)}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def console(df: DataFrame, mode: str = "append", rows: int = 20):
     """Print sink: a stream writer to the console (batch frames: ``show``)."""
     return df.writeStream.format("console").outputMode(mode).option("numRows", rows).option("truncate", False)
