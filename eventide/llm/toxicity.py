@@ -209,12 +209,13 @@ def landmark_words(docs: DataFrame, keys: DataFrame, n: int = LANDMARKS) -> tupl
     and the n most frequent stems of clean ones, by counts of different texts
     over all rows of ``keys``, the labelled (doc_id, h1, h2, toxic) of
     ``docs``.  The texts stay where they are: one row of each text and label
-    is chosen by the hashes, and only its stems are shuffled."""
+    is chosen by the hashes, and only its stems are shuffled, as one line (an
+    array has 16 to 24 bytes for each, whatever its length)."""
     # copies are one piece of evidence
     labelled = staged(keys.groupBy("h1", "h2", "toxic").agg(F.min("doc_id").alias("doc_id")), "toxicity-texts")
-    stems = docs.select("doc_id", "h1", "h2", _words(F.col("text")).alias("stems"))
+    stems = docs.select("doc_id", "h1", "h2", F.array_join(_words(F.col("text")), " ").alias("stems"))
     chosen = stems.join(labelled, ["doc_id", "h1", "h2"]).dropDuplicates(["doc_id", "h1", "h2", "toxic"])
-    rows = chosen.select("toxic", F.explode("stems").alias("w"))
+    rows = chosen.where("stems <> ''").select("toxic", F.explode(F.split("stems", " ")).alias("w"))
     counts = staged(
         rows.groupBy("w")
         .agg(F.sum("toxic").cast("double").alias("bad"), F.sum(1 - F.col("toxic")).cast("double").alias("good")),

@@ -315,6 +315,29 @@ def test_landmarks_of_rare_insults(spark):
     assert set(found) == {t.split()[0][: toxicity.STEM] for t, y in bad + rare}
 
 
+def test_landmarks_shuffle_stems_as_lines(spark, monkeypatch):
+    rows = [(k, f"blockhead {text(k, 30)}", 1) for k in range(20)] + [(100 + k, text(200 + k, 30), 0) for k in range(60)]
+    rows += [(None, "blockhead", 1), (500, "", 0), (501, None, 0), (502, "Ärger, ärgerlich! a b", 0), (502, "Ärger, ärgerlich! a b", 0)]
+    known = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    kept = {}
+    monkeypatch.setattr(toxicity, "staged", lambda df, name: kept.setdefault(name, df))
+    docs = toxicity._identity(known)
+    toxicity.landmark_words(docs, docs.drop("text").join(known.select("doc_id", "toxic"), "doc_id"))
+    want = {}
+    for t, y in {(t or "", y) for i, t, y in rows if i is not None}:
+        for w in {w[: toxicity.STEM] for w in re.split(r"[\W_]+", t.lower()) if len(w) >= toxicity.LETTERS}:
+            want.setdefault(w, [0, 0])[1 - y] += 1
+    assert {r.w: [r.bad, r.good] for r in kept["toxicity-words"].collect()} == want
+
+    def joined(plan):  # types of the columns that go into joins
+        below = [plan.children().apply(k) for k in range(plan.children().size())]
+        own = [c.output().apply(k).dataType().typeName() for c in below for k in range(c.output().size())] if plan.nodeName() == "Join" else []
+        return own + [t for c in below for t in joined(c)]
+
+    types = joined(kept["toxicity-words"]._jdf.queryExecution().optimizedPlan())
+    assert "string" in types and "array" not in types
+
+
 def test_toxicity_without_labels(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, toxic int")
     assert toxicity.fit(empty, empty).score("anything") < 0.01
