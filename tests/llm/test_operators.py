@@ -178,6 +178,53 @@ def test_substrings_against_all_windows(docs, none, shard_rows, monkeypatch):
     assert substrings.deduplicate(none).count() == 0
 
 
+def test_substrings_words_of_slices(monkeypatch):
+    texts = ["a\u00a0b\x1cc\u0085  d\x0b\x0c\r\n\t", None, "", " ", "e", "f", " Šé \U0001d400\ng ", "h" * 50, "i j"]
+    for size in (1, 10, 1 << 19):
+        monkeypatch.setattr(substrings, "SLICE_BYTES", size)
+        batch = pa.RecordBatch.from_arrays([pa.array(["x", *texts, "y"], pa.string())], names=["t"]).slice(1, len(texts))
+        got = []
+        for part, words in substrings._slices(batch, 0):
+            line, begin, end = words.line()
+            assert np.diff(words.first).sum() == len(words.doc) == len(begin)
+            for k in range(part.num_rows):
+                got.append([bytes(line[begin[i] : end[i]]) for i in range(words.first[k], words.first[k + 1])])
+        assert got == [(t or "").encode().split() for t in texts]
+
+
+def test_substrings_automaton_stays_small(monkeypatch):
+    import ahocorasick
+
+    lines = [f"{text(k, 300)} n{k}" for k in range(40)]
+    rows = [(k, [5, 400], t) for t in lines for k in (1, 2, 3)]
+    table = pa.table(
+        {
+            "salted": pa.array([False] * len(rows)),
+            "doc_id": pa.array([k for k, _, _ in rows]),
+            "uid": pa.array(range(len(rows))),
+            "firsts": pa.array([f for _, f, _ in rows], pa.list_(pa.int32())),
+            "words": pa.array([t for _, _, t in rows]),
+        }
+    )
+    added = []
+
+    class Automaton:
+        def __init__(self, make=ahocorasick.Automaton):
+            self.own = make()
+            self.make_automaton, self.iter = self.own.make_automaton, self.own.iter
+
+        def add_word(self, word, value):
+            added.append(word)
+            return self.own.add_word(word, value)
+
+    monkeypatch.setattr(ahocorasick, "Automaton", Automaton)
+    got = {(r["uid"], r["a"], r["b"]) for r in substrings._locate(table).to_pylist()}
+    # of each line, every window of the two later rows, at both places
+    assert got == {(u, x, x + len(t.split()) - 13) for u, (k, _, t) in enumerate(rows) if k > 1 for x in (5, 400)}
+    # nodes have few children whatever the vocabulary, and chains are shorter than windows of single words
+    assert len({w[0] for w in added}) <= 256 and max(map(len, added)) <= 2 * 6
+
+
 def test_decontamination(spark, docs, none):
     whole = text(9, 5000).split()
     items = spark.createDataFrame(
