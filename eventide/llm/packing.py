@@ -31,9 +31,11 @@ from eventide.llm.common import kept_by_process, staged
 CAPACITY = 2048
 END_ID = 0
 SHARD_PIECES = 1 << 15
-MEMO_WORDS = 1_000_000  # words whose ids a task remembers
+MEMO_WORDS = 600_000  # words whose ids a worker remembers
+MEMO_PARTS = 150_000  # parts of words, likewise
 LONG_WORD = 64  # characters; longer words are encoded each time
-BATCH_BYTES = 1 << 23  # of text whose distinct words are looked up together
+BATCH_BYTES = 1 << 21  # of text whose distinct words are looked up together
+ENCODE_WORDS = 1 << 12  # that the library encodes together
 BLOCK_WORDS = 1 << 14  # whose ids are gathered together, within the processor's cache
 PLAIN = "\u0250"  # characters below are composed and have simple small letters
 
@@ -79,6 +81,8 @@ class _PartIds(dict):
 
     def __missing__(self, part: str) -> bytes:
         letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+        if len(self) >= MEMO_PARTS:
+            self.clear()
         ids = self[part] = _as_bytes([t.id for t in self.model.tokenize(letters)])
         return ids
 
@@ -87,8 +91,10 @@ class WordEncoder:
     """Token ids of texts, for a tokenizer whose white space only separates:
     the ids of a text are those of its words in turn.  Arrow splits a batch
     and numbers its distinct words; only these are looked up, in a bounded
-    table, and the ids of all words are gathered from one array.  Where the
-    tokenizer cuts words by a pattern, each part of a word is encoded once."""
+    Arrow array of known words, and the ids of all words are gathered from one
+    array.  Where the tokenizer cuts words by a pattern, parts of words are
+    remembered too.  Python strings are made of new words alone: the memory of
+    a worker must leave room for the JVM's and the other workers'."""
 
     def __init__(self, path: str, end_id: int):
         import os
@@ -108,7 +114,8 @@ class WordEncoder:
 
     def _forget(self) -> None:
         self.part_ids = _PartIds(self.tokenizer)
-        self.number: dict[str, int] = {"": 1}  # place in start and length; 0 is the end id
+        # by place; 0 is the end id, " " is in no word and so stands for what is not looked up
+        self.known = pa.array([" ", ""], pa.large_string())
         self.start, self.length, self.ids = np.array([0, 1]), np.array([1, 0]), np.array([self.end_id], "<u4")
 
     def _encode(self, words: list[str]) -> list[bytes]:
@@ -122,27 +129,27 @@ class WordEncoder:
                 out[k] = b"".join([part_ids[p] for p in parts(w.lower())])
             else:
                 rest.append(k)
-        for k, e in zip(rest, self.tokenizer.encode_batch([words[k] for k in rest], add_special_tokens=False), strict=True):
-            out[k] = _as_bytes(e.ids)
+        for at in range(0, len(rest), ENCODE_WORDS):
+            own = rest[at : at + ENCODE_WORDS]
+            for k, e in zip(own, self.tokenizer.encode_batch([words[k] for k in own], add_special_tokens=False), strict=True):
+                out[k] = _as_bytes(e.ids)
         return out
 
-    def _numbers(self, words: list[str]) -> np.ndarray:
+    def _numbers(self, words: pa.Array) -> np.ndarray:
         """Places of distinct words, encoding those not known."""
-        number = self.number
-        places = [number.get(w, -1) for w in words]
-        new = [k for k, n in enumerate(places) if n < 0]
-        if new:
-            encoded = self._encode([words[k] for k in new])
+        words = words.cast(pa.large_string())
+        places = pc.index_in(words, self.known)
+        new = words.filter(places.is_null())
+        places = pc.fill_null(places, -1).to_numpy().astype(np.int64)
+        if len(new):
+            encoded = self._encode(new.to_pylist())
             length = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
             start = len(self.ids) + np.cumsum(length) - length
-            at = len(self.start)
+            places[places < 0] = len(self.start) + np.arange(len(new))
             self.start, self.length = np.concatenate([self.start, start]), np.concatenate([self.length, length])
             self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(encoded), "<u4")])
-            for n, k in enumerate(new, at):
-                places[k] = n
-                if len(words[k]) <= LONG_WORD:
-                    number[words[k]] = n
-        return np.array(places, np.int64)
+            self.known = pa.concat_arrays([self.known, pc.if_else(pc.greater(pc.utf8_length(new), LONG_WORD), " ", new)])
+        return places
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, the end id behind each, and each text's first place."""
@@ -150,7 +157,7 @@ class WordEncoder:
             self._forget()
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         words = lists.flatten().dictionary_encode()
-        places = self._numbers(words.dictionary.to_numpy(zero_copy_only=False).tolist())[words.indices.to_numpy(zero_copy_only=False)]
+        places = self._numbers(words.dictionary)[words.indices.to_numpy(zero_copy_only=False)]
         ends = lists.offsets.to_numpy()[1:].astype(np.int64)
         places = np.insert(places, ends, 0)
         length = self.length[places]
@@ -207,6 +214,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
                     pa.array([zlib.crc32(c) for c in cut], pa.int64()), *([pa.array(map(bytes, cut), pa.binary())] if keep_ids else []),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
+                pa.default_memory_pool().release_unused()  # else the worker keeps all it ever held
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 

@@ -475,3 +475,31 @@ def test_word_ids_equal_the_library():
         got = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         assert got == [[*plain.encode(t or "", add_special_tokens=False).ids, 0] for t in odd]
     assert encode(pa.array([], pa.string()))[0].size == 0
+
+
+def test_word_ids_take_bounded_memory(monkeypatch):
+    import tracemalloc
+
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("word_bpe_49k.json")
+    monkeypatch.setattr(packing, "MEMO_PARTS", 1000, raising=False)
+    encode = packing.WordEncoder(path, 0)
+    encode(pa.array(["warm up"]))
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    for k in range(0, 100_000, 20_000):
+        encode(pa.array([" ".join(f"q{n:x}z" for n in range(k, k + 20_000))]))
+    held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert held < 100 * 100_000  # bytes for 100,000 words
+    monkeypatch.setattr(packing, "MEMO_WORDS", 40)
+    monkeypatch.setattr(packing, "MEMO_PARTS", 5, raising=False)
+    monkeypatch.setattr(packing, "ENCODE_WORDS", 3, raising=False)
+    encode, plain = packing.WordEncoder(path, 0), Tokenizer.from_file(path)
+    for k in range(0, 120, 10):  # much is forgotten and learnt again
+        texts = [f"Don't {n % 50}abc \u4e2d{n % 7}\u6587 {'y' * 70} x{n}y  \n12345" for n in range(k, k + 10)] + [None, ""]
+        for kind in (pa.string(), pa.large_string()):
+            ids, bounds = encode(pa.array(texts, kind))
+            got = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            assert got == [[*plain.encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
