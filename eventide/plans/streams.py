@@ -42,6 +42,7 @@ from eventide.streaming.sources import (
 from eventide.streaming.carry import counter_writer, last_state, list_texts, sequence_writer, state_kinds_writer, state_list
 from eventide.streaming.changelog import VersionedTable, top_n_writer
 from eventide.streaming.late import close_firing_log, firing_log_writer, late_split_writer, run_per_slice
+from eventide.streaming.range_join import SMALL_TASKS, Side, range_join_writer, side_by_side
 from eventide.streaming.state import (
     jump_alerts,
     login_fail_alerts,
@@ -77,11 +78,27 @@ GROUP BY window_end
 """
 
 
-def _drain(spark, out, dirs, tails, mode="append"):
-    """Write ``out`` to the output folder until all inputs are closed."""
-    writer = out.writeStream.format("parquet").option("path", dirs["output"]).outputMode(mode)
+def _drain(spark, out, dirs, tails, mode="append", by_batch=None):
+    """Write ``out`` to the output folder until all inputs are closed; with
+    ``by_batch`` that function writes there, by batch id."""
+    if by_batch is None:
+        writer = out.writeStream.format("parquet").option("path", dirs["output"]).outputMode(mode)
+    else:
+        writer = out.writeStream.foreachBatch(by_batch)
     run_to_the_end(lambda: run_available(writer, dirs["checkpoint"]), spark, tails)
-    return spark.read.parquet(dirs["output"])
+    return spark.read.parquet(dirs["output"]).drop(*([] if by_batch is None else ["batch_id"]))
+
+
+DAY = dt.timedelta(days=1)
+
+
+def _range_join(spark, dirs, tails, o, p, low, how, result):
+    """Orders and their payments (distinct by order and time), due up to 30
+    days after the order; both inputs have a watermark of 1 day."""
+    left, right = Side(*o.columns, DAY), Side(*p.columns, DAY, unique=True)
+    writer = range_join_writer(spark, f"{dirs['base']}/state", dirs["output"], left, right, low, 30 * DAY, how, result)
+    with state_on_disk(spark, SMALL_TASKS):
+        return _drain(spark, side_by_side(o, p), dirs, tails, by_batch=writer)
 
 
 @query("stream_tumbling_closed", TUMBLING_SQL)
@@ -617,28 +634,29 @@ WHERE NOT EXISTS (SELECT 1 FROM o WHERE p.order_id = o.order_id
 """,
 )
 def stream_order_reconcile(spark, d):
-    """Order/receipt reconciliation between two streams: full outer
-    stream-stream join on the order with receipts due within 30 days of the
+    """Order/receipt reconciliation between two streams: full outer time-range
+    join on the order with receipts due within 30 days of the
     order; matched pairs at once, orders without a receipt and receipts
     without an order once the watermark (min of both inputs, 1 day delay)
     rules out a partner.  Receipts of an order at one time are one receipt, so
-    a hot order keeps few rows in the state."""
+    a hot order keeps few rows in the join."""
     dirs, tails = new_stream_dirs(spark, "reconcile"), []
     o = to_event_time(
         table_stream(spark, d, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").alias("order_ts")), "order_ts")
-    o = watermarked(o, "order_ts", "1 day", tails, dirs["base"])
+    o = watermarked(o, "order_ts", "1 day", tails, dirs["base"], closing_row=True)
     p = to_event_time(
         table_stream(spark, d, "lineitem").select(F.col("l_orderkey").alias("pay_order"), F.col("l_shipdate").alias("pay_ts")), "pay_ts")
-    p = watermarked(p, "pay_ts", "1 day", tails, dirs["base"]).dropDuplicates(["pay_order", "pay_ts"])
-    cond = F.expr("order_id = pay_order AND pay_ts >= order_ts AND pay_ts <= order_ts + INTERVAL 30 DAYS")
-    j = o.join(p, cond, "full_outer").select(
-        F.when(F.col("order_id").isNotNull() & F.col("pay_order").isNotNull(), "matched")
-        .when(F.col("pay_order").isNull(), "left_only")
-        .otherwise("right_only")
-        .alias("tag"),
-        F.coalesce("order_id", "pay_order").alias("order_id"),
-        F.col("order_ts").cast("timestamp_ntz").alias("order_ts"),
-        F.col("pay_ts").cast("timestamp_ntz").alias("pay_ts"),
-    )
-    with state_on_disk(spark):
-        return _drain(spark, j, dirs, tails)
+    p = watermarked(p, "pay_ts", "1 day", tails, dirs["base"], closing_row=True)
+
+    def tagged(j):
+        return j.select(
+            F.when(F.col("order_id").isNotNull() & F.col("pay_order").isNotNull(), "matched")
+            .when(F.col("pay_order").isNull(), "left_only")
+            .otherwise("right_only")
+            .alias("tag"),
+            F.coalesce("order_id", "pay_order").alias("order_id"),
+            F.col("order_ts").cast("timestamp_ntz").alias("order_ts"),
+            F.col("pay_ts").cast("timestamp_ntz").alias("pay_ts"),
+        )
+
+    return _range_join(spark, dirs, tails, o, p, 0 * DAY, "full_outer", tagged)

@@ -104,15 +104,16 @@ DISK_STATE = {
 
 
 @contextmanager
-def state_on_disk(spark: SparkSession) -> Iterator[None]:
+def state_on_disk(spark: SparkSession, settings: dict[str, str] | None = None) -> Iterator[None]:
     """Streams started here keep their state in RocksDB, with a bound on its
     memory, and commit the changes of a micro-batch only: for joins whose state
     holds a row for each of the input.  Every partition opens and commits
     several stores a micro-batch, so there are no more partitions than a few a
-    core.  The session's own settings come back afterwards."""
+    core; ``settings`` stand in for that where state is in files, without
+    stores.  The session's own settings come back afterwards."""
     parts = "spark.sql.shuffle.partitions"
     few = min(int(spark.conf.get(parts)), max(32, 3 * spark.sparkContext.defaultParallelism))
-    conf = {**DISK_STATE, parts: str(few)}
+    conf = {**DISK_STATE, **({parts: str(few)} if settings is None else settings)}
     before = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():

@@ -110,7 +110,7 @@ class Tail:
         spark.range(1).select(*row).write.mode("overwrite").parquet(f"{self.path}/closed")
 
 
-def watermarked(stream: DataFrame, ts: str, delay: str, tails: list[Tail], base: str) -> DataFrame:
+def watermarked(stream: DataFrame, ts: str, delay: str, tails: list[Tail], base: str, closing_row: bool = False) -> DataFrame:
     """``stream`` with a watermark that can be brought to its end.
 
     Spark keeps what the last row's watermark leaves open; a bounded source
@@ -118,7 +118,8 @@ def watermarked(stream: DataFrame, ts: str, delay: str, tails: list[Tail], base:
     The stream is joined by a second folder, empty until ``Tail.close`` puts a
     row of ``END_OF_TIME`` there: that row moves the watermark and goes no
     further.  (The filter names the event time, so it is not pushed below the
-    watermark.)  The tail is added to ``tails``, to be closed by
+    watermark.)  With ``closing_row`` it is left in, for an operator that keeps
+    the watermark itself.  The tail is added to ``tails``, to be closed by
     ``run_to_the_end``."""
     tail = Tail(f"{base}/tail-{len(tails)}", ts, stream.schema)
     spark = stream.sparkSession
@@ -126,7 +127,8 @@ def watermarked(stream: DataFrame, ts: str, delay: str, tails: list[Tail], base:
     spark.createDataFrame([], stream.schema).write.mode("ignore").parquet(f"{tail.path}/open")
     tails.append(tail)
     both = stream.unionByName(spark.readStream.schema(stream.schema).parquet(f"{tail.path}/*"))
-    return both.withWatermark(ts, delay).where(F.col(ts).isNull() | (F.col(ts) < F.lit(END_OF_TIME)))
+    marked = both.withWatermark(ts, delay)
+    return marked if closing_row else marked.where(F.col(ts).isNull() | (F.col(ts) < F.lit(END_OF_TIME)))
 
 
 def run_to_the_end(run, spark: SparkSession, tails: list[Tail]) -> None:
