@@ -141,7 +141,7 @@ WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey
 """,
 )
 def stream_order_timeout(spark, d):
-    """Order timeout as a left-outer stream-stream time-range join: an order
+    """Order timeout as a left-outer time-range join of two streams: an order
     is reported once the watermark passes its payment deadline unmatched.  A
     payment of any time before the deadline counts, so payments stay in the
     state; they are deduplicated by (order, time) before the join."""
@@ -150,13 +150,13 @@ def stream_order_timeout(spark, d):
         F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").alias("create_ts")), "create_ts")
     p = to_event_time(table_stream(spark, d, "lineitem").select(
         F.col("l_orderkey").alias("pay_order"), F.col("l_shipdate").alias("pay_ts")), "pay_ts")
-    o = watermarked(o, "create_ts", "1 day", tails, dirs["base"])
-    p = watermarked(p, "pay_ts", "1 day", tails, dirs["base"])
-    p = p.dropDuplicates(["pay_order", "pay_ts"])
-    cond = F.expr("order_id = pay_order AND pay_ts <= create_ts + INTERVAL 30 DAYS")
-    j = o.join(p, cond, "left_outer").where(F.col("pay_order").isNull()).select(F.col("order_id").alias("o_orderkey"))
-    with state_on_disk(spark):
-        return _drain(spark, j, dirs, tails)
+    o = watermarked(o, "create_ts", "1 day", tails, dirs["base"], closing_row=True)
+    p = watermarked(p, "pay_ts", "1 day", tails, dirs["base"], closing_row=True)
+
+    def unpaid(j):
+        return j.where(F.col("pay_order").isNull()).select(F.col("order_id").alias("o_orderkey"))
+
+    return _range_join(spark, dirs, tails, o, p, None, "left_outer", unpaid)
 
 
 def _staged_events(spark, d, name, slices=4):
